@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("chat", "quality", "media")
+MODULES = ("secrets", "chat", "quality", "media")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
