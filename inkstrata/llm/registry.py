@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("toxicity", "secrets", "chat", "quality", "media")
+MODULES = ("toxicity", "secrets", "chat", "licenses", "quality", "media")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
