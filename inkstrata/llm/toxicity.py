@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from inkstrata.llm import _bytes as B
 from inkstrata.session import table
 
-TRAIN_DOCS = 2500
+TRAIN_DOCS = 2000
 TRAIN_CHARS = 20_000
 BUCKETS = 1 << 18
 DIM = 4
@@ -129,13 +129,15 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Model:
         return Model(np.zeros(BUCKETS, np.float32), 0.0, -40.0 if not y.any() else 40.0)
     rng = np.random.default_rng(seed)
     buf, offsets = B.buffers(_spaced(pa.array(texts, pa.large_string())), lower=True)
-    first, hashes, pairs = subwords(buf, offsets)
-    unique, at, word = np.unique(hashes, return_index=True, return_inverse=True)
-    new = np.full(len(hashes), -1, np.int64)
-    new[at] = np.arange(len(unique))
-    kept = [(new[w], b) for w, b in pairs]
-    owner = np.concatenate([w[w >= 0] for w, _ in kept])
-    bucket = np.concatenate([b[w >= 0] for w, b in kept])
+    starts, ends, first = B.words(buf, offsets, B.NOT_ALNUM)
+    unique, at, word = np.unique(B.word_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+    word = word.astype(np.int32)
+    # subwords of each distinct word once: what training holds follows the vocabulary of a bounded sample
+    spelled = pa.array([buf[starts[i] : ends[i]].tobytes() for i in at], pa.binary()).cast(pa.string())
+    pairs = subwords(*B.buffers(_spaced(spelled)))[2]
+    owner = np.concatenate([w for w, _ in pairs]).astype(np.int32)
+    bucket = np.concatenate([b for _, b in pairs]).astype(np.int32)
+    del pairs
     order = np.argsort(owner, kind="stable")
     owner, bucket = owner[order], bucket[order]
     count = np.bincount(owner, minlength=len(unique)).astype(np.float32)
@@ -145,21 +147,21 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Model:
     windows = -(-sizes // WINDOW)
     doc = np.repeat(np.arange(len(texts)), windows)
     w0 = np.concatenate([np.arange(a, b, WINDOW) for a, b in zip(first[:-1], first[1:])]) if windows.sum() else np.zeros(0, np.int64)
-    lengths = np.diff(np.append(w0, len(hashes)))
+    lengths = np.diff(np.append(w0, len(starts)))
     held = rng.permutation(len(texts)) % 5 == 0
 
     # a subword's step is its gradient over the root of its frequency: chance in rare subwords moves them little
-    table_ = rng.normal(0, 0.05, (BUCKETS, DIM)).astype(np.float32)
+    table_ = rng.normal(0, 0.05, (DIM, BUCKETS)).astype(np.float32)
     pace = np.zeros_like(table_)
-    root = np.sqrt(np.maximum(np.bincount(bucket, (np.bincount(word, minlength=len(unique)) / count)[owner], BUCKETS), 1))[:, None]
+    root = np.sqrt(np.maximum(np.bincount(bucket, (np.bincount(word, minlength=len(unique)) / count)[owner], BUCKETS), 1)).astype(np.float32)
     softmax = _Adam(rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), 0.05)
     bias = _Adam(np.zeros(2, np.float32), 0.05)
 
-    def vectors() -> np.ndarray:
-        return np.add.reduceat(table_[bucket], begins, axis=0) / count[:, None]
-
     def forward() -> tuple[np.ndarray, np.ndarray]:
-        x = np.add.reduceat(vectors()[word], w0, axis=0)
+        x = np.empty((len(w0), DIM), np.float32)
+        for d in range(DIM):
+            vector = np.add.reduceat(table_[d][bucket], begins) / count
+            x[:, d] = np.add.reduceat(vector[word], w0)
         z = x @ softmax.value + bias.value
         z -= z.max(1, keepdims=True)
         p = np.exp(z)
@@ -170,14 +172,13 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Model:
         g = p.copy()
         g[np.arange(len(g)), y[doc]] -= 1
         g *= weight[:, None]
-        dx = (g @ softmax.value.T)[np.repeat(np.arange(len(w0)), lengths)]
-        dword = np.stack([np.bincount(word, dx[:, d], len(unique)) for d in range(DIM)], 1) / count[:, None]
-        dsub = dword[owner]
-        dtable = np.stack([np.bincount(bucket, dsub[:, d], BUCKETS) for d in range(DIM)], 1)
+        dx = g @ softmax.value.T
+        for d in range(DIM):
+            dword = np.bincount(word, np.repeat(dx[:, d], lengths), len(unique)) / count
+            pace[d] = 0.9 * pace[d] + np.bincount(bucket, dword[owner], BUCKETS).astype(np.float32) / root
         total = max(weight.sum(), 1)
         softmax.step(x.T @ g / total)
         bias.step(g.sum(0) / total)
-        pace[:] = 0.9 * pace + dtable / root
         table_[:] -= RATE * pace
 
     fit = ~held[doc]
@@ -193,7 +194,8 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Model:
             weight = np.where(y[doc] == 1, np.where(p[:, 1] >= top[doc], np.where(clear[doc], 12.0, 0.5), 0.0), 1.0) * fit
         descend(weight.astype(np.float32))
 
-    weights = (table_ @ (softmax.value[:, 1] - softmax.value[:, 0])).astype(np.float32)
+    weights = ((softmax.value[:, 1] - softmax.value[:, 0]) @ table_).astype(np.float32)
+    del table_, pace, owner, bucket, word
     z = Model(weights, 1.0, 0.0).logits(buf, offsets)
     some = np.isfinite(z)
     if not some.any():
