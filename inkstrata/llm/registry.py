@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("toxicity", "packing", "secrets", "chat", "licenses", "quality", "media")
+MODULES = ("toxicity", "ngram_join", "packing", "secrets", "chat", "licenses", "quality", "media")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
