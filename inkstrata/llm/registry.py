@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("toxicity", "ngram_join", "packing", "secrets", "chat", "licenses", "quality", "line_dedup", "media")
+MODULES = ("toxicity", "ngram_join", "packing", "secrets", "chat", "licenses", "quality", "line_dedup", "mixing", "media")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
