@@ -1,6 +1,441 @@
-"""The registered queries of the content index and their DuckDB oracles."""
+"""The registered queries of the content index and their DuckDB oracles.
+
+Each query applies operators of the engine to whole tables; the mapping of the tables to the engine's records (pages
+as fetched bodies, events as runs, parts as authors) is in the query.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from inkstrata import schemas
+from inkstrata.functions import dates, ids, text, urls
+from inkstrata.operators import canary, export, extract, fetch_policy, resolution, store, views
+from inkstrata.session import table
+from inkstrata.sources import documents, feeds, pages
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+NOW = "2026-01-01T00:00:00+00:00"
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def null(kind: str = "string"):
+    return F.lit(None).cast(kind)
+
+
+# URLs and links -------------------------------------------------------------------------------------------------
+
+CANONICAL = r"""
+'https://' || lower(regexp_extract({u}, '^[A-Za-z]+://([^/?#]*)', 1)) || lower(CASE WHEN regexp_extract({u}, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) = '' THEN '/' ELSE regexp_extract({u}, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) END)
+|| coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(regexp_extract({u}, '^[^?#]*\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT starts_with(lower(p), 'utm_') AND lower(string_split(p, '=')[1]) NOT IN ('session', 'sessionid', 'sid', 'phpsessid', 'jsessionid'))), '&'), ''), '')"""
+HOST = "lower(regexp_extract({u}, '^[A-Za-z]+://([^/?#:]*)', 1))"
+UUID = """(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || substr('89ab', instr('0123456789abcdef', substr({h}, 17, 1)) % 4 + CASE WHEN instr('0123456789abcdef', substr({h}, 17, 1)) % 4 = 0 THEN 4 ELSE 0 END, 1) || substr({h}, 18, 3) || '-' || substr({h}, 21, 12))"""
+
+
+def uuid_sql(value: str) -> str:
+    return UUID.format(h=f"sha1(unhex('{ids.URL_NAMESPACE}') || encode({value}))")
+
+
+@query(f"SELECT page_id, {CANONICAL.format(u='url')} AS canonical_url, {HOST.format(u='url')} AS host FROM pages")
+def url_canonicalize(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", urls.canonical_url(F.col("url")).alias("canonical_url"), urls.url_host(F.col("url")).alias("host"))
+
+
+@query(f"SELECT page_id, {CANONICAL.format(u='url')} AS canonical_url FROM pages")
+def url_canonicalize_any(spark, d):
+    return table(spark, d, "pages").select("page_id", urls.canonical_url_any("url").alias("canonical_url"))
+
+
+@query(f"SELECT {HOST.format(u='url')} AS domain, count(*) AS n, count(*) FILTER (WHERE lower(url) LIKE 'https:%') AS n_https FROM pages GROUP BY 1")
+def url_domain(spark, d):
+    rows = table(spark, d, "pages").filter(urls.is_http_url(F.col("url")) & ~urls.is_pdf_link(F.col("url")) & urls.scheme_allowed(F.col("url")))
+    return rows.groupBy(urls.url_host(F.col("url")).alias("domain")).agg(F.count("*").alias("n"), F.count_if(F.lower("url").startswith("https:")).alias("n_https"))
+
+
+HREFS = "SELECT page_id, url, unnest(regexp_extract_all(html, '<a [^>]*href=\"([^\"]*)\"', 1)) AS href, generate_subscripts(regexp_extract_all(html, '<a [^>]*href=\"([^\"]*)\"', 1), 1) - 1 AS pos FROM pages"
+LINK = "regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) || href"
+
+
+def page_links(spark, d) -> DataFrame:
+    """page_id, pos, url: links of each page, resolved against it."""
+    rows = table(spark, d, "pages").select(F.col("url").alias("seed"), F.col("html").alias("body"), "page_id")
+    kept = feeds.links(rows.select(F.concat_ws("\t", "page_id", "seed").alias("seed"), "body").withColumn("seed", F.regexp_replace("seed", "^([0-9]+)\t(.*)$", "$2#$1")), "html:pages")
+    return kept.select(F.regexp_extract("seed", "#([0-9]+)$", 1).cast("bigint").alias("page_id"), "pos", "url")
+
+
+@query(f"SELECT page_id, pos::INTEGER AS pos, {LINK} AS url FROM ({HREFS})")
+def links_ordered(spark, d):
+    return page_links(spark, d)
+
+
+@query(f"""SELECT canonical_url, page_id, pos::INTEGER AS pos, {uuid_sql('canonical_url')} AS id FROM (
+  SELECT *, row_number() OVER (PARTITION BY canonical_url ORDER BY page_id, pos) AS r FROM (SELECT page_id, pos, {CANONICAL.format(u=f'({LINK})')} AS canonical_url FROM ({HREFS}))) WHERE r = 1""")
+def links_first_seen(spark, d):
+    found = page_links(spark, d).withColumn("canonical_url", urls.canonical_url(F.col("url")))
+    return feeds.first_seen(found, "canonical_url", "page_id", "pos").select("canonical_url", "page_id", "pos", ids.uuid5(F.col("canonical_url")).alias("id"))
+
+
+@query("SELECT p_partkey, 'https://export.arxiv.org/api/query?search_query=all:' || replace(p_name, ' ', '+') || '&start=0&max_results=100' AS url FROM part")
+def search_requests(spark, d):
+    return table(spark, d, "part").select("p_partkey", feeds.search_url(F.col("p_name")).alias("url"))
+
+
+# Pages ----------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT page_id, trim(regexp_replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS html_title FROM pages")
+def html_title(spark, d):
+    return pages.parse_pages(table(spark, d, "pages")).select("page_id", "html_title")
+
+
+@query()
+def html_visible_text(spark, d):
+    return pages.parse_pages(table(spark, d, "pages")).select("page_id", "text", F.length("text").alias("n_chars"))
+
+
+def drafts_of(spark, d) -> DataFrame:
+    parsed = pages.parse_pages(table(spark, d, "pages"))
+    return extract.enforce_coverage(extract.extract(parsed, "html:pages", "run-1", NOW))
+
+
+@query()
+def article_draft(spark, d):
+    return drafts_of(spark, d).select("page_id", "canonical_url", "title", "author_hint", "published_at", "snippet", F.size("evidence").alias("n_evidence"), F.size("warnings").alias("n_warnings"), F.size(extract.evidence_errors()).alias("n_errors"))
+
+
+@query()
+def articles_stored(spark, d):
+    """All pages through extraction into an empty store."""
+    begin = store.Store(*(schemas.empty(spark, n) for n in ("articles", "evidence", "versions")))
+    after = store.upsert(begin, drafts_of(spark, d).drop("warnings").withColumnRenamed("page_id", "seq"), "run-1", NOW)
+    return export.with_evidence(after.articles, after.evidence).select("id", "canonical_url", "title", "version", F.size("evidence").alias("n_evidence"))
+
+
+# Text -----------------------------------------------------------------------------------------------------------
+
+
+@query(r"SELECT doc_id, CASE WHEN length(c) <= 1500 THEN c ELSE rtrim(CASE WHEN contains(c[:1500], ' ') THEN regexp_extract(c[:1500], '(?s)^(.*) [^ ]*$', 1) ELSE c[:1500] END, ' ') || '…' END AS snippet FROM (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS c FROM documents)")
+def snippet_truncate(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.truncate(text.collapse(F.col("text")), schemas.SNIPPET_CHARS).alias("snippet"))
+
+
+@query(r"SELECT doc_id, md5(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10) || chr(10))) AS digest, length(text) > 1500 AS clamped FROM documents")
+def whitespace_normalize(spark, d):
+    t = F.col("text")
+    return table(spark, d, "documents").select("doc_id", F.md5(text.paragraphs(t)).alias("digest"), (F.length(text.clamp(t, 1500)) != F.length(t)).alias("clamped"))
+
+
+@query(r"SELECT p_partkey, trim(regexp_replace(lower(p_name), '\s+', ' ', 'g')) AS name, list_distinct_ordered AS parts FROM (SELECT *, [trim(x) FOR x IN string_split(p_name, ' and ') IF trim(x) <> ''] AS list_distinct_ordered FROM part)".replace("list_distinct_ordered AS parts", "array_to_string(list_distinct_ordered, ';') AS parts"))
+def name_normalize(spark, d):
+    return table(spark, d, "part").select("p_partkey", text.normalize_name(F.col("p_name")).alias("name"), F.array_join(text.split_authors(F.col("p_name")), ";").alias("parts"))
+
+
+@query()
+def iso_dates(spark, d):
+    rows = table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("raw"))
+    return rows.select("o_orderkey", dates.iso_date("raw").alias("iso"), dates.exported(dates.iso_date("raw")).alias("exported"))
+
+
+# Ids, digests, duplicates ---------------------------------------------------------------------------------------
+
+
+@query("SELECT sha256(text) AS content, count(*) AS n, min(doc_id) AS first_doc FROM documents GROUP BY 1 HAVING count(*) > 1")
+def content_hash_groups(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", ids.body_hash(F.encode("text", "UTF-8")).alias("content"))
+    return rows.groupBy("content").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).filter("n > 1")
+
+
+@query("SELECT md5(text) AS k, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, k LIMIT 5")
+def duplicate_report(spark, d):
+    return views.duplicated(table(spark, d, "documents").select(F.md5("text").alias("k")), "k", 5)
+
+
+@query(f"SELECT c_custkey, {uuid_sql('c_name')} AS id FROM customer")
+def author_ids(spark, d):
+    return table(spark, d, "customer").select("c_custkey", ids.uuid5(F.col("c_name")).alias("id"))
+
+
+@query("SELECT source, count(*) AS n, count(DISTINCT text) AS n_distinct FROM documents GROUP BY source")
+def evidence_dedup(spark, d):
+    rows = table(spark, d, "documents").withColumn("h", ids.evidence_hash(F.col("source"), F.lit("/title"), F.lit("extracted"), F.col("source"), F.col("text")))
+    return rows.groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("h").alias("n_distinct"))
+
+
+# Evidence -------------------------------------------------------------------------------------------------------
+
+
+def labelled_evidence(spark, d) -> DataFrame:
+    """Documents as drafts, their labels as evidence: a title needs the quality label, an author the toxic one."""
+    docs, labels = table(spark, d, "documents").select("doc_id", "lang", "source"), table(spark, d, "labels")
+    named = [F.when(F.col("quality") == 1, F.lit("/title")), F.when(F.col("toxic") == 0, F.lit("/author_hint"))]
+    return docs.join(labels, "doc_id", "left").select("doc_id", F.col("lang").alias("title"), F.col("source").alias("author_hint"), F.lit("2026").alias("published_at"), F.transform(F.array_compact(F.array(*named)), lambda p: F.struct(p.alias("claim_path"))).alias("evidence"))
+
+
+@query("SELECT d.doc_id, CASE WHEN quality = 1 THEN lang END AS title, CASE WHEN toxic = 0 THEN source END AS author_hint, 3 - (coalesce(quality, 0) = 1)::INT - (coalesce(toxic, 1) = 0)::INT AS n_warnings FROM documents d LEFT JOIN labels l USING (doc_id)")
+def evidence_coverage(spark, d):
+    return extract.enforce_coverage(labelled_evidence(spark, d)).select("doc_id", "title", "author_hint", F.size("warnings").alias("n_warnings"))
+
+
+@query("SELECT doc_id, unnest(list_filter([CASE WHEN quality = 1 THEN '/title' END, CASE WHEN toxic = 0 THEN '/author_hint' END], lambda x: x IS NOT NULL)) AS claim_path FROM documents JOIN labels USING (doc_id)")
+def evidence_explode(spark, d):
+    return labelled_evidence(spark, d).select("doc_id", F.explode("evidence.claim_path").alias("claim_path"))
+
+
+@query("SELECT o_orderkey, o_orderstatus, count(l_linenumber) AS n_evidence, coalesce(string_agg(l_linenumber::VARCHAR, ',' ORDER BY l_linenumber), '') AS lines, count(l_linenumber) = 0 AS empty FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2")
+def articles_with_evidence(spark, d):
+    """Orders as articles, line items as evidence: some have none."""
+    articles = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), "o_orderstatus")
+    evidence = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("article_id"), F.col("l_linenumber").alias("created_at"), F.col("l_linenumber").alias("id"))
+    rows = views.articles_with_evidence(articles, evidence)
+    lines = F.from_json("evidence_json", "array<struct<id:int>>")
+    return rows.select(F.col("id").alias("o_orderkey"), "o_orderstatus", F.size(lines).cast("bigint").alias("n_evidence"), F.array_join(lines["id"].cast("array<string>"), ",").alias("lines"), (F.col("evidence_json") == "[]").alias("empty"))
+
+
+@query("SELECT l_orderkey AS article_id, l_linenumber AS claim_path, l_returnflag AS extracted_text, o_orderstatus AS canonical_url FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R' ORDER BY canonical_url, claim_path, article_id LIMIT 50")
+def evidence_of_run(spark, d):
+    rows = table(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("article_id"), F.col("l_linenumber").alias("claim_path"), F.col("l_returnflag").alias("extracted_text"))
+    return rows.join(table(spark, d, "orders").select(F.col("o_orderkey").alias("article_id"), F.col("o_orderstatus").alias("canonical_url")), "article_id").orderBy("canonical_url", "claim_path", "article_id").limit(50)
+
+
+# Versions, upsert, rollback --------------------------------------------------------------------------------------
+
+FLAGS = """SELECT event_id, user_id, event_type, changed, sum(changed::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS version, ts, day FROM (
+  SELECT *, event_type IS DISTINCT FROM lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS changed, strftime(ts, '%Y-%m-%d') AS day FROM events)"""
+
+
+@query(f"SELECT event_id, changed, version::BIGINT AS version FROM ({FLAGS})")
+def change_flags(spark, d):
+    return store.change_flags(table(spark, d, "events"), ["user_id"], "event_type", ["ts", "event_id"]).select("event_id", "changed", "version")
+
+
+def event_drafts(events: DataFrame) -> DataFrame:
+    """Events as drafts of one article a user, whose title is the event's type."""
+    seq = F.struct("ts", "event_id")
+    proof = F.array(F.struct(*(F.lit(None).cast(f.dataType).alias(f.name) if f.name != "source_url" else F.col("event_id").cast("string").alias("source_url") for f in schema_fields())))
+    return events.select(seq.alias("seq"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("canonical_url"), F.lit("s").alias("source_id"), F.col("event_type").alias("title"), null().alias("author_hint"), null().alias("published_at"), null().alias("snippet"), proof.cast(f"array<{schemas.EVIDENCE}>").alias("evidence"))
+
+
+def schema_fields():
+    from pyspark.sql.types import StructType
+
+    return StructType.fromDDL(schemas.SCHEMAS["evidence"]).fields
+
+
+def empty_store(spark) -> store.Store:
+    return store.Store(*(schemas.empty(spark, n) for n in ("articles", "evidence", "versions")))
+
+
+@query(f"SELECT 'u' || user_id AS canonical_url, max(version)::INTEGER AS version, arg_max(event_type, (ts, event_id)) AS title, arg_max(event_id, (ts, event_id)) FILTER (WHERE changed)::VARCHAR AS proof FROM ({FLAGS}) GROUP BY user_id")
+def versioned_upsert(spark, d):
+    after = store.upsert(empty_store(spark), event_drafts(table(spark, d, "events")), "run-1", NOW)
+    proof = after.evidence.select(F.col("article_id").alias("id"), F.col("source_url").alias("proof"))
+    return after.articles.join(proof, "id", "left").select("canonical_url", "version", "title", "proof")
+
+
+@query(f"SELECT user_id, max(version)::BIGINT AS version, arg_max(event_type, version) AS event_type FROM ({FLAGS}) WHERE changed GROUP BY user_id")
+def latest_version(spark, d):
+    flags = store.change_flags(table(spark, d, "events"), ["user_id"], "event_type", ["ts", "event_id"]).filter("changed")
+    return store.latest(flags.withColumnRenamed("user_id", "article_id"), "event_type").withColumnRenamed("article_id", "user_id")
+
+
+def day_versions(spark, d) -> store.Store:
+    """Changes of each user as versions, a run a day."""
+    flags = store.change_flags(table(spark, d, "events"), ["user_id"], "event_type", ["ts", "event_id"]).filter("changed").withColumn("article_id", F.col("user_id").cast("string"))
+    run = F.date_format("ts", "yyyy-MM-dd")
+    none = F.array().cast(f"array<{schemas.EVIDENCE}>")
+    versions = flags.select(F.col("event_id").cast("string").alias("id"), "article_id", F.col("version").cast("int").alias("version"), F.col("event_type").alias("content_hash"), F.col("event_type").alias("title_snapshot"), *(null().alias(f"{c}_snapshot") for c in store.CONTENT[1:]), none.alias("evidence_snapshot"), null().alias("created_at"), run.alias("run_id"))
+    now = store.latest(versions, "title_snapshot")
+    articles = now.select(F.col("article_id").alias("id"), F.col("article_id").alias("canonical_url"), F.lit("s").alias("source_id"), F.col("title_snapshot").alias("title"), *(null().alias(c) for c in store.CONTENT[1:]), "version", null().alias("created_at"), null().alias("updated_at"))
+    return store.Store(articles, schemas.empty(spark, "evidence"), versions)
+
+
+DAY = "2024-01-15"
+KEPT = f"SELECT user_id::VARCHAR AS id, version::INTEGER AS version, event_type AS title, day FROM ({FLAGS}) WHERE changed"
+
+
+@query(f"SELECT id, max(version) AS version, arg_max(title, version) AS title FROM ({KEPT}) WHERE day <> (SELECT day FROM (SELECT day, row_number() OVER (ORDER BY day) AS r, count(*) OVER () AS c FROM (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day FROM events)) WHERE r = c // 2) GROUP BY id")
+def rollback_run(spark, d):
+    held = day_versions(spark, d)
+    runs = [r[0] for r in table(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("r")).distinct().orderBy("r").collect()]  # days: a few
+    return store.rollback(held, runs[len(runs) // 2 - 1]).articles.select("id", "version", "title")
+
+
+# Runs, alerts ----------------------------------------------------------------------------------------------------
+
+
+def event_log(spark, d) -> DataFrame:
+    e = table(spark, d, "events")
+    return e.select(F.date_format("ts", "yyyy-MM-dd").alias("run_id"), F.col("user_id").cast("string").alias("url"), F.when(F.col("event_type") == "error", F.col("event_type")).alias("error_code"), "ts", "event_id", "event_type", "props")
+
+
+@query("""SELECT strftime(ts, '%Y-%m-%d') AS id, 'events' AS source_id, 'COMPLETED' AS status, round(epoch(max(date_trunc('second', ts))) - epoch(min(date_trunc('second', ts))))::BIGINT AS duration_seconds, count(DISTINCT user_id) AS urls,
+  count(DISTINCT user_id) FILTER (WHERE event_type <> 'error') AS urls_ok, count(DISTINCT event_type) FILTER (WHERE event_type = 'error') AS error_kinds, count(DISTINCT user_id) FILTER (WHERE event_type = 'purchase') AS articles FROM events GROUP BY 1""")
+def run_summary(spark, d):
+    log = event_log(spark, d)
+    runs = log.groupBy(F.col("run_id").alias("id")).agg(F.date_format(F.min("ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("started_at"), F.date_format(F.max("ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("ended_at")).withColumns({"source_id": F.lit("events"), "status": F.lit("COMPLETED")})
+    return views.run_summary(runs, log, log.filter("event_type = 'purchase'").select("run_id", F.col("url").alias("article_id")))
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d') AS run_id, count(*) AS fetched, count(*) FILTER (WHERE event_type = 'signup') AS new_articles, count(*) FILTER (WHERE event_type = 'purchase') AS updated_articles, count(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY 1")
+def run_counters(spark, d):
+    kind = F.col("event_type")
+    return views.run_counters(event_log(spark, d), "run_id", error=kind == "error", new=kind == "signup", updated=kind == "purchase")
+
+
+@query("""SELECT *, CASE WHEN error_rate > 0.2 THEN 1 ELSE 0 END + (missing_run_ids > 0)::INT + (robots_blocks > 20)::INT AS n_critical, CASE WHEN error_rate > 0.2 OR missing_run_ids > 0 OR robots_blocks > 20 THEN 2 ELSE 0 END AS exit_code FROM (
+  SELECT count(*) AS fetched, count(*) FILTER (WHERE event_type = 'error') AS errors, count(*) FILTER (WHERE event_type = 'error') / count(*) AS error_rate, 0::BIGINT AS missing_run_ids, count(*) FILTER (WHERE event_type = 'error') AS robots_blocks FROM events)""")
+def error_rate_alerts(spark, d):
+    log = event_log(spark, d).withColumn("error_code", F.when(F.col("event_type") == "error", "BLOCKED_BY_ROBOTS"))
+    kind = F.col("event_type")
+    rates = canary.error_rate(views.run_counters(log, "run_id", error=kind == "error", new=kind == "signup", updated=kind == "purchase"))
+    rows = canary.alerts(rates.crossJoin(canary.event_counts(log)))  # one row by one row
+    return rows.select("fetched", "errors", "error_rate", "missing_run_ids", "robots_blocks", F.size("critical").alias("n_critical"), "exit_code")
+
+
+@query("SELECT event_type, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1")
+def last_event_by_type(spark, d):
+    rows = table(spark, d, "events").withColumn("at", F.struct("ts", "event_id"))
+    return canary.last_of_type(rows, "event_type", "at", "event_id").select("event_type", "event_id")
+
+
+@query("SELECT event_id, user_id, strftime(ts, '%Y-%m-%d') AS day FROM events ORDER BY ts DESC, event_id LIMIT 20")
+def top_runs_recent(spark, d):
+    return views.recent(table(spark, d, "events"), "ts", "event_id", 20).select("event_id", "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def ndjson_events(spark, d):
+    """Event lines as a log has them, with lines that are no objects among them."""
+    e = table(spark, d, "events")
+    lines = e.select(F.to_json(F.struct("event_type", F.col("event_id").alias("run_id"))).alias("value")).union(e.select(F.lit("not json").alias("value"))).union(e.select(F.lit("[1]").alias("value"))).union(e.select(F.lit("").alias("value")))
+    return documents.events_of(lines).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+# Fetch policy ----------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT event_id, round(epoch_s + 0, 3) AS arrival, round(prev + max(epoch_s - prev) OVER (PARTITION BY user_id ORDER BY ts, event_id), 3) AS start FROM (
+  SELECT *, coalesce(sum(600.0) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prev FROM (SELECT *, epoch(date_trunc('second', ts))::DOUBLE AS epoch_s FROM events))""")
+def politeness_schedule(spark, d):
+    rows = table(spark, d, "events").withColumn("arrival", F.unix_timestamp("ts").cast("double"))
+    return fetch_policy.politeness(rows, "user_id", ["ts", "event_id"], "arrival", F.lit(600.0)).select("event_id", F.round("arrival", 3).alias("arrival"), F.round("start", 3).alias("start"))
+
+
+@query()
+def robots_cache(spark, d):
+    rows = table(spark, d, "events").select("event_id", F.col("user_id").cast("string").alias("domain"), F.unix_timestamp("ts").cast("double").alias("at"), F.lit(86400.0).alias("ttl"))
+    return fetch_policy.cache_misses(rows, "domain", "at", "ttl").groupBy("domain").agg(F.count("*").alias("n"), F.count_if("miss").alias("misses"))
+
+
+@query("SELECT page_id, strlen(html) AS n_bytes, strlen(html) > 3000 AS too_large FROM pages")
+def body_limit_filter(spark, d):
+    body = F.encode("html", "UTF-8")
+    return table(spark, d, "pages").select("page_id", F.octet_length(body).cast("bigint").alias("n_bytes"), fetch_policy.too_large(body, F.lit(3000)).alias("too_large"))
+
+
+IPS = "SELECT c_custkey, (c_custkey * 7 % 256) AS a, (c_custkey * 13 % 256) AS b, (c_custkey % 256) AS c FROM customer"
+
+
+@query(f"""SELECT c_custkey, a || '.' || b || '.' || c || '.1' AS ip, a IN (0, 10, 127) OR a BETWEEN 224 AND 239 OR (a = 172 AND b BETWEEN 16 AND 31) OR (a = 192 AND b = 168) OR (a = 169 AND b = 254) AS blocked FROM ({IPS})""")
+def ip_range_block(spark, d):
+    k = F.col("c_custkey")
+    rows = table(spark, d, "customer").select("c_custkey", F.concat_ws(".", (k * 7 % 256).cast("string"), (k * 13 % 256).cast("string"), (k % 256).cast("string"), F.lit("1")).alias("ip"))
+    return fetch_policy.block_ips(rows, "ip", fetch_policy.blocked_ranges(spark)).select("c_custkey", "ip", "blocked")
+
+
+@query("""SELECT o_orderkey, CASE WHEN s % 11 = 0 THEN 'SECURITY_BLOCKED' WHEN s % 7 = 0 THEN 'BLOCKED_BY_ROBOTS' WHEN s % 5 = 0 THEN 'TIMEOUT' WHEN s % 9 > 5 THEN 'REDIRECT_LIMIT' WHEN s % 13 = 0 THEN 'BODY_TOO_LARGE' END AS error_code,
+  CASE WHEN s % 5 = 0 THEN 3600 WHEN s % 3 = 0 THEN 900 WHEN s % 2 = 0 THEN 14400 ELSE 3600 END AS ttl, CASE WHEN s % 5 <> 0 AND s % 3 = 0 THEN 2.0 ELSE 1.0 END::DOUBLE AS multiplier FROM (SELECT o_orderkey, o_custkey AS s FROM orders)""")
+def fetch_outcomes(spark, d):
+    s = F.col("o_custkey")
+    timeout = F.when(s % 5 == 0, "timeout")
+    code = fetch_policy.outcome(F.lit("https://a.example/x"), F.lit("a.example"), s % 11 == 0, s % 7 != 0, timeout, s % 9, s % 13 == 0)
+    policy = fetch_policy.robots_policy(F.when(s % 3 == 0, 503).when(s % 2 == 0, 404).otherwise(200), timeout)
+    return table(spark, d, "orders").select("o_orderkey", code.alias("error_code"), policy["ttl"].alias("ttl"), policy["multiplier"].alias("multiplier"))
+
+
+@query("""WITH RECURSIVE h AS (SELECT c_custkey AS url, c_custkey // 2 AS location FROM customer WHERE c_custkey > 1), r(url, final_url, redirects) AS (
+  SELECT c_custkey, c_custkey, 0 FROM customer UNION ALL SELECT r.url, h.location, r.redirects + 1 FROM r JOIN h ON h.url = r.final_url WHERE r.redirects < 6)
+SELECT url, arg_max(final_url, redirects) AS final_url, max(redirects)::INTEGER AS redirects, max(redirects) > 5 AS over FROM r GROUP BY url""".replace(" AS over FROM", " AS too_many FROM"))
+def redirect_chains(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("url"))
+    hops = c.filter("url > 1").withColumn("location", F.expr("url div 2"))
+    return fetch_policy.follow_redirects(c, hops).withColumn("too_many", F.col("redirects") > fetch_policy.MAX_REDIRECTS)
+
+
+# Identity resolution ----------------------------------------------------------------------------------------------
+
+
+def part_profiles(spark, d) -> DataFrame:
+    """Parts as articles: brand as domain, name as author, type as source."""
+    articles = table(spark, d, "part").select(F.concat(F.lit("https://"), F.regexp_replace("p_brand", "#", ""), F.lit("/"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("canonical_url"), F.col("p_type").alias("source_id"), F.col("p_name").alias("author_hint"))
+    return resolution.author_profiles(articles)
+
+
+PROFILES = f"""SELECT {uuid_sql("'author|' || source_id || '|' || name || '|' || domain")} AS id, * FROM (
+  SELECT p_type AS source_id, lower(p_name) AS name, lower(replace(p_brand, '#', '')) AS domain, count(*) AS n_articles, arg_min(p_name, lpad(p_partkey::VARCHAR, 9, '0')) AS canonical_name FROM part GROUP BY 1, 2, 3)"""
+
+
+@query(f"SELECT id, source_id, name, domain, n_articles, canonical_name FROM ({PROFILES})")
+def author_profiles(spark, d):
+    return part_profiles(spark, d).select("id", "source_id", "name", "domain", "n_articles", "canonical_name")
+
+
+SCORED = f"""WITH p AS MATERIALIZED ({PROFILES}), s AS (SELECT a.id AS l, b.id AS r, a.name AS x, b.name AS y, levenshtein(a.name, b.name) / greatest(length(a.name), length(b.name), 1) AS dist FROM p a JOIN p b ON a.domain = b.domain AND a.id < b.id)
+SELECT {uuid_sql("'candidate|' || l || '|' || r")} AS id, l, r, CASE WHEN x = y THEN 0.8 ELSE 0.6 END::DOUBLE AS score, CASE WHEN x = y THEN 'HIGH' ELSE 'MEDIUM' END AS confidence FROM s WHERE x = y OR dist <= 0.15"""
+
+
+@query(SCORED)
+def candidate_scores(spark, d):
+    return resolution.candidates(part_profiles(spark, d)).select("id", F.col("from_author.id").alias("l"), F.col("to_author.id").alias("r"), "score", "confidence")
+
+
+@query(f"WITH c AS MATERIALIZED ({SCORED}) SELECT CASE WHEN score = 0.6 THEN 'hold' WHEN id[1] < '8' THEN 'duplicate' ELSE 'accept' END AS outcome, count(*) AS n FROM c GROUP BY 1")
+def merge_decision_insert_or_ignore(spark, d):
+    """Exact names accepted, the rest held; half of the decisions are known already."""
+    found = resolution.candidates(part_profiles(spark, d))
+    review = found.withColumn("decision", F.when(F.col("score") >= 0.8, " Accept "))
+    known = schemas.with_columns_of(found.filter(F.substring("id", 1, 1) < "8").select("id"), "merge_decisions")
+    _, _, tally = resolution.apply_review(review, schemas.empty(spark, "authors"), known, "run-2", NOW)
+    return tally.withColumnRenamed("count", "n")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey % 3 > 0")
+def active_decisions(spark, d):
+    rows = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, "2026").alias("reverted_at"))
+    return views.active_decisions(rows).select("c_custkey")
+
+
+# Validation and export ---------------------------------------------------------------------------------------------
+
+
+def doc_articles(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return docs.select(F.col("doc_id").cast("string").alias("id"), F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("canonical_url"), F.col("source").alias("source_id"), F.col("text").alias("snippet"), F.lit(1).alias("version"), F.lit(NOW).alias("created_at"), F.lit(NOW).alias("updated_at"))
+
+
+@query("SELECT doc_id::VARCHAR AS id, (length(text) > 1500)::INT AS n_violations FROM documents")
+def export_validate(spark, d):
+    return doc_articles(spark, d).select("id", F.size(export.article_violations(None)).alias("n_violations"))
+
+
+@query("SELECT doc_id::VARCHAR AS id FROM documents WHERE doc_id < (SELECT min(doc_id) FROM documents WHERE length(text) > 1500)")
+def export_prefix(spark, d):
+    good, _ = export.exportable(doc_articles(spark, d))
+    return good.select("id")
+
+
+@query("SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1")
+def foreign_key_gaps(spark, d):
+    gaps = export.foreign_key_gaps(table(spark, d, "lineitem"), "l_orderkey", table(spark, d, "orders").filter("o_orderstatus = 'F'"), "o_orderkey")
+    return gaps.groupBy("l_orderkey").agg(F.count("*").alias("n"))
