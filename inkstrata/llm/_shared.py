@@ -5,7 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,7 +29,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts lineage, survives lost executors, computed once."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    # the shuffle files of a table that is written are of no more use: Spark removes them with the write
+    held = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, held)
     out = spark.read.schema(df.schema).parquet(path)
     out._inkstrata_path = path
     return out
@@ -36,6 +46,22 @@ def drop(*tables: DataFrame) -> None:
     for t in tables:
         path = getattr(t, "_inkstrata_path", None)
         if path:
-            jvm = t.sparkSession._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
+            p = t.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def constant_table(values: list[int]) -> Column:
+    """A constant array, folded once; F.get() on it is one step."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def among(df: DataFrame, members: DataFrame, keys: list[str], bits: int = 20) -> DataFrame:
+    """df without most of the rows whose keys members lacks, and with all those that it has: a table of 2**bits bits,
+    whatever the corpus. It saves a shuffle of what a following join would drop."""
+    slot = F.pmod(F.xxhash64(*keys), F.lit(1 << bits)).cast("int")
+    rows = members.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, s & 63)")).alias("bits")).collect()
+    words = [0] * (1 << (bits - 6))
+    for r in rows:
+        words[r["word"]] = r["bits"]
+    held = F.get(constant_table(words), F.shiftright(slot, 6))
+    return df.filter(F.call_function("getbit", held, slot.bitwiseAND(F.lit(63))) == 1)

@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inkstrata.llm._shared import drop, written
+from inkstrata.llm._shared import among, constant_table, drop, written
 from inkstrata.llm.quality import let
 from inkstrata.session import table
 
@@ -45,11 +45,6 @@ def tokens_of(words: Column) -> Column:
     return let(words, lambda w: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - (WORDS - 1)), lambda i: F.xxhash64(F.slice(w, i, WORDS)).bitwiseAND(mask))))
 
 
-def _table(values: list[int]) -> Column:
-    """A constant array, folded once; F.get() on it is one step."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
-
-
 def long_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     each = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("ln", "line"))
     return each.filter(F.col("line").rlike(LONG))
@@ -76,7 +71,7 @@ def by_rarity(tokens: Column, classes: list[int]) -> Column:
     """Tokens in the global order, their class above their hash."""
     if not any(classes):
         return F.sort_array(tokens)
-    known = _table(classes)
+    known = constant_table(classes)
     return F.sort_array(F.transform(tokens, lambda t: t + F.shiftleft(F.get(known, F.shiftrightunsigned(t, TOKEN_BITS - RARITY_BITS).cast("int")), TOKEN_BITS)))
 
 
@@ -99,17 +94,6 @@ def shared_postings(lines: DataFrame, classes: list[int]) -> DataFrame:
     return written(ranked.filter("rank > 1 or next is not null").drop("next"), "postings")
 
 
-def _taking_part(lines: DataFrame, postings: DataFrame) -> DataFrame:
-    """lines without most of those that no posting has: by a bit table of fixed size; written."""
-    slot = F.pmod(F.xxhash64("id", "ln"), F.lit(1 << FILTER_BITS)).cast("int")
-    bits = postings.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, s & 63)")).alias("bits")).collect()
-    words = [0] * (1 << (FILTER_BITS - 6))
-    for r in bits:
-        words[r["word"]] = r["bits"]
-    held = F.get(_table(words), F.shiftright(slot, 6))
-    return written(lines.withColumn("s", slot).filter(F.call_function("getbit", held, F.col("s").bitwiseAND(F.lit(63))) == 1).drop("s"), "part")
-
-
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The later lines (id, ln) of the pairs that reach the similarity."""
     b = sets.select(F.col("id"), F.col("ln"), F.col("tokens").alias("x"))
@@ -121,7 +105,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def later_matches(lines: DataFrame) -> DataFrame:
     """(id, ln) of each distinct line that an earlier distinct line matches."""
     postings = shared_postings(lines, rarity(lines))
-    sets = _taking_part(lines, postings)
+    sets = written(among(lines, postings, ["id", "ln"], FILTER_BITS), "part")
     first = postings.filter("rank > 1").filter(_may_match(F.col("n"), F.col("i"), F.col("first_n"), F.col("first_i")))
     gone = written(_verified(first.select("id", "ln", F.col("first_id").alias("a_id"), F.col("first_ln").alias("a_ln")).distinct(), sets), "gone")
     rest = postings.filter("rank > 2").join(gone, ["id", "ln"], "left_anti").select("t", "id", "ln", "n", "i", "rank")

@@ -1,10 +1,10 @@
 """N-gram Jaccard join by T-occurrence search.
 
 A text is the set of its distinct word k-grams; texts of equal sets are one. Two sets link when the intersection
-is at least num/den of the union. Search space: sets are ordered by rarity (a table of frequent k-grams of fixed
-size goes last), and linked sets share a k-gram of their prefixes and are of like size; chains over prefix k-grams
-make clusters that no link leaves. Frequent k-grams are nodes of their own, so that none gathers its texts in one
-task. Clusters are searched each in one task, large ones as pairs of chunks, in increasing size of sets: a set's
+is at least num/den of the union. Search space: linked sets are of the same size band or of neighbouring ones and
+differ in at most d k-grams, d a number of the band; so of more than d parts of the hash space one at least holds
+the same k-grams of both. Each set is posted under the hash of each of its parts, and chains over equal parts make
+clusters that no link leaves; sets that share but passages have no equal part. Clusters are searched each in one task, large ones as pairs of chunks, in increasing size of sets: a set's
 inverted lists are divided; the short ones are merged by a heap that skips what cannot reach the threshold, the
 long ones are probed by binary search, and sets that reach the required overlap are links. Lists that hold the
 query's own component alone are left out: they cannot connect anything new.
@@ -28,18 +28,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkstrata.llm import _bytes as B
-from inkstrata.llm._shared import drop, written
+from inkstrata.llm._shared import among, drop, written
 from inkstrata.llm.components import Forest, components
 from inkstrata.session import table
 
-#: Frequent k-grams that order and search know, of each task and of all: fixed sizes.
-TASK_FREQUENT, FREQUENT = 8192, 65_536
-#: From this many texts a k-gram is a node of its own.
-HOT = 500
 #: Shingles of a search unit.
 UNIT = 2_000_000
 MU = 0.0085
-KEY_NODE = 1 << 62
+#: Parts beyond those that pigeonholes need, so that an equal part need not be an empty one.
+SPARE = 0.03
 
 
 def _needed(n: int, num: int, den: int) -> int:
@@ -47,92 +44,93 @@ def _needed(n: int, num: int, den: int) -> int:
     return -(-num * n // den)
 
 
-def frequent_shingles(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and counts of the most frequent shingles, counted over all texts, least frequent first; bounded."""
+def size_bands(num: int, den: int, upto: int) -> np.ndarray:
+    """First size of each band, to beyond upto: a size that links with one of a band is in it or in the one before."""
+    first = [1]
+    while first[-1] <= upto:
+        first.append(first[-1] * den // num + 1)
+    return np.array([*first, first[-1] * den // num + 1], np.int64)
+
+
+def part_keys(s: np.ndarray, num: int, den: int, bands: np.ndarray) -> np.ndarray:
+    """Hashes of the parts of a sorted set: in the division of its own band, and of the next, for larger partners."""
+    own = int(np.searchsorted(bands, len(s), "right")) - 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(B.mix(s + np.uint64(1)))])
+    out = []
+    for band in (own, own + 1):
+        differ = 2 * (int(bands[band + 1]) - 1) * (den - num) // (num + den)
+        parts = differ + 1 + (math.ceil(SPARE * (differ + 1)) + 1 if differ else 0)
+        edges = np.array([-(-(i << 64) // parts) for i in range(1, parts)], np.uint64) if parts < 64 else (np.arange(1, parts, dtype=np.float64) * (2.0**64 / parts)).astype(np.uint64)
+        at = np.concatenate([[0], np.searchsorted(s, edges), [len(s)]])
+        filled = np.diff(at) > 0
+        with np.errstate(over="ignore"):
+            keys = B.mix((sums[at[1:]] - sums[at[:-1]]) ^ B.mix(np.arange(parts, dtype=np.uint64) * B.MULTS[5] + np.uint64(band + 1) * B.MULTS[6]))
+        # with that many empty parts all equal parts may be empty: then they count too
+        out.append(keys if (~filled).sum() >= parts - differ else keys[filled])
+    return np.concatenate(out)
+
+
+def signatures(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """id, n, digest of the set, node, and the hashes of its parts, of each text."""
+    schema = pa.schema([("n", pa.int64()), ("digest", pa.binary()), ("node", pa.int64()), ("parts", pa.list_(pa.int64()))])
 
     def run(batches):
-        hashes, counts, held, size = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
-
-        def fold():
-            u, c = np.unique(np.concatenate(held), return_counts=True)
-            u, c = np.concatenate([hashes, u[c > 1]]), np.concatenate([counts, c[c > 1]])
-            order = np.argsort(u, kind="stable")
-            u, c = u[order], c[order]
-            first = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]])) if len(u) else np.zeros(0, np.int64)
-            u, c = u[first], np.add.reduceat(c, first) if len(first) else c
-            if len(u) > 16 * TASK_FREQUENT:
-                top = np.argpartition(-c, 8 * TASK_FREQUENT)[: 8 * TASK_FREQUENT]
-                u, c = u[top], c[top]
-            return u, c
-
+        bands = size_bands(num, den, 1 << 16)
         for b in batches:
-            for _, words in B.each_text(b.column(0), B.WHITESPACE):
-                held.append(B.shingles(words, k))
-                size += len(held[-1])
-                if size > 1 << 20:
-                    (hashes, counts), held, size = fold(), [], 0
-        if held:
-            hashes, counts = fold()
-        top = np.argsort(-counts, kind="stable")[:TASK_FREQUENT]
-        yield pa.RecordBatch.from_arrays([pa.array(hashes[top].view(np.int64)), pa.array(counts[top])], names=["hash", "n"])
-
-    rows = texts.select("text").mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "hash").limit(FREQUENT).collect()
-    return np.array([r.hash for r in rows[::-1]], np.int64).view(np.uint64), np.array([r.n for r in rows[::-1]], np.int64)
-
-
-def signatures(texts: DataFrame, k: int, num: int, den: int, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """id, n, digest of the set, node, rare and hot prefix shingles of each text."""
-    order = np.argsort(frequent)
-    known, rank = frequent[order], order
-    hot_rank = int(np.searchsorted(counts, HOT))
-    schema = pa.schema([("n", pa.int64()), ("digest", pa.binary()), ("node", pa.int64()), ("rare", pa.list_(pa.int64())), ("hot", pa.list_(pa.int64()))])
-
-    def run(batches):
-        for b in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             held = 0
+
+            def flush():
+                return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(out[0], pa.int64())), *(pa.array(c, f.type) for c, f in zip(out[1:], schema))], names=["id", *schema.names])
+
             for r, words in B.each_text(b.column(1), B.WHITESPACE):
                 s = B.shingles(words, k)
-                n = len(s)
-                row = [n, None, None, None, None]
-                if n:
+                row = [len(s), None, None, None]
+                if len(s):
+                    if len(s) >= bands[-2]:
+                        bands = size_bands(num, den, 2 * len(s))
                     digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                    at = np.searchsorted(known, s)
-                    at[at == len(known)] = 0
-                    often = (known[at] == s) if len(known) else np.zeros(n, bool)
-                    ranks = np.sort(rank[at[often]]) if len(known) else np.zeros(0, np.int64)
-                    prefix = n - _needed(n, num, den) + 1
-                    rare = s[~often][:prefix]
-                    last = ranks[: prefix - len(rare)]
-                    rare = np.concatenate([rare, frequent[last[last < hot_rank]]]) if len(last) else rare
-                    row = [n, digest, int.from_bytes(digest[:8], "little") & (KEY_NODE - 1), rare.view(np.int64), frequent[last[last >= hot_rank]].view(np.int64)]
-                    held += len(rare)
+                    parts = part_keys(s, num, den, bands).view(np.int64)
+                    row = [len(s), digest, int.from_bytes(digest[:8], "little") >> 1, parts]
+                    held += len(parts)
                 for c, v in zip(out, [r, *row]):
                     c.append(v)
                 if held > 1 << 18:
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(out[0], pa.int64())), *(pa.array(c, f.type) for c, f in zip(out[1:], schema))], names=["id", *schema.names])
-                    out, held = [[], [], [], [], [], []], 0
+                    yield flush()
+                    out, held = [[], [], [], [], []], 0
             if out[0]:
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(out[0], pa.int64())), *(pa.array(c, f.type) for c, f in zip(out[1:], schema))], names=["id", *schema.names])
+                yield flush()
 
-    return texts.select("id", "text").mapInArrow(run, "id long, n long, digest binary, node long, rare array<long>, hot array<long>")
+    return texts.select("id", "text").mapInArrow(run, "id long, n long, digest binary, node long, parts array<long>")
 
 
-def cluster_edges(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges whose components no link leaves: from each distinct set to the one before it, by size, under each rare
-    prefix shingle if they are of like size; and to a node for each hot one and size band."""
+def cluster_edges(sets: DataFrame) -> DataFrame:
+    """Edges whose components no link leaves: from each distinct set to the one before it under each of its parts."""
     from pyspark.sql import Window
 
-    once = sets.filter("n > 0").groupBy("digest").agg(F.first("node").alias("node"), F.first("n").alias("n"), F.first("rare").alias("rare"), F.first("hot").alias("hot"))
-    once = written(once, "distinct")
-    postings = once.select("node", "n", F.explode("rare").alias("key"))
-    order = Window.partitionBy("key").orderBy("n", "node")
-    chained = postings.select("node", "n", F.lag("node").over(order).alias("before"), F.lag("n").over(order).alias("before_n"))
-    chain = chained.filter((F.col("before_n") * den >= F.col("n") * num) & (F.col("before") != F.col("node"))).select(F.col("node").alias("a"), F.col("before").alias("b"))
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(den / num)) + 1e-9)
-    hot = once.select("node", band.alias("band"), F.explode("hot").alias("key")).select("node", "key", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    nodes = hot.select(F.col("node").alias("a"), (F.xxhash64("key", "band").bitwiseAND(F.lit(KEY_NODE - 1)) + F.lit(KEY_NODE)).alias("b"))
-    return chain.union(nodes)
+    once = sets.filter("n > 0").groupBy("digest").agg(F.first("node").alias("node"), F.first("parts").alias("parts"))
+    before = F.lag("node").over(Window.partitionBy("key").orderBy("node"))
+    chained = once.select("node", F.explode("parts").alias("key")).select(F.col("node").alias("a"), before.alias("b"))
+    return chained.filter("b is not null and a <> b")
+
+
+def size_band(n: str, num: int, den: int):
+    """Sets that can link are of the same band or of neighbouring ones."""
+    return F.floor(F.log(F.col(n).cast("double")) / F.lit(math.log(den / num)) + 1e-9)
+
+
+def dealt_units(members: DataFrame, num: int, den: int, unit: int) -> DataFrame:
+    """id, n and unit (cluster, band, i, j) of each member: a cluster; if that is large, its sets by size band, each
+    band with the one below; if such a band is large, pairs of its chunks."""
+    sizes = members.groupBy("cluster").agg(F.sum("n").alias("total"), F.count("*").alias("sets")).filter("sets > 1")
+    own = size_band("n", num, den)
+    bands = F.when(F.col("total") <= unit, F.array(F.lit(-1).cast("long"))).otherwise(F.array(own, own + 1))
+    banded = members.join(sizes, "cluster").select("rep", "n", "cluster", F.explode(bands).alias("band"))
+    load = banded.groupBy("cluster", "band").agg(F.sum("n").alias("total"), F.count("*").alias("sets")).filter("sets > 1")
+    chunks = F.when(F.col("total") <= unit, F.lit(1)).otherwise(F.ceil(2 * F.col("total") / F.lit(unit)).cast("int"))
+    chunk = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
+    dealt = banded.join(load.select("cluster", "band", chunks.alias("chunks")), ["cluster", "band"]).select("rep", "n", "cluster", "band", chunk.alias("c"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("d"))
+    return dealt.select(F.col("rep").alias("id"), "n", "cluster", "band", F.least("c", "d").alias("i"), F.greatest("c", "d").alias("j"))
 
 
 class TOccurrence:
@@ -243,7 +241,7 @@ class TOccurrence:
 
 
 def search_units(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Links (a, b: ids) within each unit; rows: cluster, i, j, n, id, text, dealt by unit and sorted by size in it."""
+    """Links (a, b: ids) within each unit; rows: cluster, band, i, j, n, id, text, dealt by unit and sorted by size in it."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
@@ -257,14 +255,14 @@ def search_units(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in (0, 1)], schema=schema)
 
         for b in batches:
-            units = list(zip(*(b.column(c).to_pylist() for c in ("cluster", "i", "j", "id"))))
+            units = list(zip(*(b.column(c).to_pylist() for c in ("cluster", "band", "i", "j", "id"))))
             for r, words in B.each_text(b.column("text"), B.WHITESPACE):
-                if units[r][:3] != key:
+                if units[r][:4] != key:
                     close()
-                    key, ids, sets = units[r][:3], [], []
+                    key, ids, sets = units[r][:4], [], []
                 s = B.shingles(words, k)
                 if not (ids and sets and len(sets[-1]) > len(s)):  # an id that repeats with another text comes out of order
-                    ids.append(units[r][3])
+                    ids.append(units[r][4])
                     sets.append(s)
             if len(out) > 10_000:
                 yield flushed()
@@ -278,23 +276,23 @@ def search_units(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85, den: int = 100, unit: int = UNIT) -> DataFrame:
     """id, n_shingles and component_id (smallest id that links reach) of every row."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    frequent, counts = frequent_shingles(texts, k)
-    sets = written(signatures(texts, k, num, den, frequent, counts), "signatures")
+    signed = written(signatures(texts, k, num, den), "signatures")
+    sets = written(signed.select("id", "n", "digest", "node"), "sets")
+    edges = written(cluster_edges(signed.filter("id is not null")), "edges")
+    drop(signed)
+    clusters = components(edges)
     reps = sets.filter("n > 0 and id is not null").groupBy("digest", "n", "node").agg(F.min("id").alias("rep"))
-    clusters = components(cluster_edges(sets.filter("id is not null"), num, den))
     members = written(reps.join(clusters.select("node", F.col("label").alias("cluster")), "node"), "members")
-    sizes = members.groupBy("cluster").agg(F.sum("n").alias("total"), F.count("*").alias("sets")).filter("sets > 1")
-    chunks = F.when(F.col("total") <= unit, F.lit(1)).otherwise(F.ceil(2 * F.col("total") / F.lit(unit)).cast("int"))
-    chunk = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
-    dealt = members.join(sizes.select("cluster", chunks.alias("chunks")), "cluster").select("rep", "n", "cluster", chunk.alias("c"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("d"))
-    units = dealt.select(F.col("rep").alias("id"), "n", "cluster", F.least("c", "d").alias("i"), F.greatest("c", "d").alias("j"))
-    rows = texts.join(units, "id").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "n", "id")
+    drop(edges)
+    units = dealt_units(members, num, den, unit)
+    # texts go to their units once: those of no unit stay where they are
+    rows = among(texts, members.select(F.col("rep").alias("id")), ["id"]).join(units, "id").repartition("cluster", "band", "i", "j").sortWithinPartitions("cluster", "band", "i", "j", "n", "id")
     links = written(search_units(rows, k, num, den), "links")
+    drop(members)
     joined = components(links)
     named = reps.join(joined.select(F.col("node").alias("rep"), "label"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))
     own = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component_id", "id"))
     out = sets.select("id", "n", "digest").join(named, "digest", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), own).alias("component_id"))
-    drop(members)
     return out
 
 

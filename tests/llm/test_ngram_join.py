@@ -42,8 +42,22 @@ def corpus(seed, groups=12, copies=9, words=70):
     return [(int(i), t) for i, t in zip(rng.permutation(len(texts)) * 3 + 1, texts)]
 
 
-def test_components_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(J, "HOT", 6)
+def test_linked_sets_share_a_part():
+    rng = np.random.default_rng(4)
+    for num, den in ((85, 100), (80, 100), (60, 100)):
+        bands = J.size_bands(num, den, 5000)
+        for _ in range(300):
+            n = int(rng.integers(1, 400))
+            a = rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)
+            drop_n = int(rng.integers(0, n // 4 + 1))
+            b = np.unique(np.concatenate([a[drop_n:], rng.integers(0, 2**63, int(rng.integers(0, n // 4 + 1)), dtype=np.uint64)]))
+            a = np.unique(a)
+            both = len(np.intersect1d(a, b))
+            if len(b) and den * both >= num * (len(a) + len(b) - both):
+                assert set(J.part_keys(a, num, den, bands).tolist()) & set(J.part_keys(b, num, den, bands).tolist())
+
+
+def test_components_equal_brute_force(spark):
     for seed, (k, num, den), unit in ((1, (4, 85, 100), 2_000_000), (2, (5, 80, 100), 300), (3, (2, 60, 100), 2_000_000)):
         rows = corpus(seed)
         docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit("x")).repartition(3)
