@@ -56,7 +56,7 @@ def candidate_pairs(profiles: DataFrame) -> DataFrame:
 
 def score_pairs(pairs: DataFrame, profiles: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """Candidates (id, both profiles, score, confidence, breakdown, evidence, decision null) that reach min_score."""
-    keep = ("id", "canonical_name", "name", "domains", "accounts", "profile_urls")
+    keep = ("id", "canonical_name", "source_id", "name", "domains", "accounts", "profile_urls")
     side = lambda p: profiles.select(F.col("id").alias(p), F.struct(*keep).alias(f"{p}_author"))
     rows = pairs.join(side("l"), "l").join(side("r"), "r")
     a, b = F.col("l_author"), F.col("r_author")
@@ -89,8 +89,13 @@ def candidates(profiles: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
 
 def review_document(found: DataFrame, now: str, min_score: float = MIN_SCORE) -> DataFrame:
     """The review file: one JSON text."""
-    return found.agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("o"), F.col("id").alias("i"), F.struct(*found.columns).alias("c")))).alias("s")).select(
-        F.to_json(F.struct(F.lit(now).alias("generated_at"), F.lit(min_score).alias("min_score"), F.transform("s", lambda x: x["c"]).alias("candidates")), {"ignoreNullFields": "false"}).alias("value")
+
+    def better(a: Column, b: Column) -> Column:
+        key = lambda c: F.struct(-c["score"], c["id"])
+        return F.when(key(a) < key(b), -1).when(key(a) > key(b), 1).otherwise(0)
+
+    return found.agg(F.array_sort(F.collect_list(F.struct(*found.columns)), better).alias("s")).select(
+        F.to_json(F.struct(F.lit(now).alias("generated_at"), F.lit(min_score).alias("min_score"), F.col("s").alias("candidates")), {"ignoreNullFields": "false"}).alias("value")
     )
 
 
