@@ -103,9 +103,11 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def later_matches(lines: DataFrame) -> DataFrame:
-    """(id, ln) of each distinct line that an earlier distinct line matches."""
+    """(id, ln) of each distinct line that an earlier distinct line matches. Deletes lines once it has read them: they
+    are the largest table of the join, and no later step needs more than those that share a posting."""
     postings = shared_postings(lines, rarity(lines))
     sets = written(among(lines, postings, ["id", "ln"], FILTER_BITS), "part")
+    drop(lines)
     first = postings.filter("rank > 1").filter(_may_match(F.col("n"), F.col("i"), F.col("first_n"), F.col("first_i")))
     gone = written(_verified(first.select("id", "ln", F.col("first_id").alias("a_id"), F.col("first_ln").alias("a_ln")).distinct(), sets), "gone")
     rest = postings.filter("rank > 2").join(gone, ["id", "ln"], "left_anti").select("t", "id", "ln", "n", "i", "rank")
@@ -119,7 +121,8 @@ def later_matches(lines: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with text_col less the lines that go, and __n_lines, __removed (their numbers, from 0)."""
     lines = distinct_lines(docs, id_col, text_col)
-    kept = lines.select("id", "ln").join(later_matches(lines), ["id", "ln"], "left_anti").groupBy("id").agg(F.collect_list("ln").alias("__kept"))
+    places = written(lines.select("id", "ln"), "places")
+    kept = places.join(later_matches(lines), ["id", "ln"], "left_anti").groupBy("id").agg(F.collect_list("ln").alias("__kept"))
     joined = docs.join(kept.withColumnRenamed("id", "__id"), F.col(id_col) == F.col("__id"), "left").drop("__id")
     text = F.coalesce(F.col(text_col), F.lit(""))
 
