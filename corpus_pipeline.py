@@ -16,8 +16,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that match an earlier line; those that lose their last word go with it."""
-    out = line_dedup.dedup_lines(docs)
+    """Documents without lines, short ones too, that match an earlier line; those that lose their last word go with it."""
+    out = line_dedup.dedup_lines(docs, short=True)
     left = out.filter((F.size("__removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     n_chars = F.when(F.size("__removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", n_chars).select(docs.columns)

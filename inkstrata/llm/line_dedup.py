@@ -8,9 +8,10 @@ left are intersected. A line with an earlier match goes, wherever it stands; equ
 Candidates are first tried against the earliest line of their token alone; only lines that this leaves, and only
 against lines that it has not tried, go on to the full join: groups of near copies never meet pair by pair.
 
-Defined results: lines of fewer than five words always stay, so do blank ones; null text stays null; a line's place
-is (id, line number), rows of equal ids share places, and repeated rows keep the same lines; null ids are left
-alone; an empty table gives an empty result; other columns pass through dedup_lines() unchanged.
+Defined results: lines of fewer than five words always stay, unless short lines are asked for: then such a line has
+one token, its whole word sequence; blank lines always stay; null text stays null; a line's place is (id, line
+number), rows of equal ids share places, and repeated rows keep the same lines; null ids are left alone; an empty
+table gives an empty result; other columns pass through dedup_lines() unchanged.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ NUM, DEN = 8, 10
 SPACE = r"[\x20\x09-\x0D]+"
 #: A line of WORDS words at least.
 LONG = r"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]" % (WORDS - 1)
+#: A line of one word at least.
+ANY = r"[^\x20\x09-\x0D]"
 #: Buckets of token frequency, and of lines that take part in the join: fixed sizes.
 RARITY_BITS, FILTER_BITS = 16, 20
 TOKEN_BITS = 59
@@ -40,19 +43,19 @@ def line_words(line: Column) -> Column:
 
 
 def tokens_of(words: Column) -> Column:
-    """Hashes, of TOKEN_BITS bits, of the distinct shingles of a line of WORDS words at least."""
+    """Hashes, of TOKEN_BITS bits, of the distinct shingles of a line; with fewer than WORDS words the whole sequence is one."""
     mask = F.lit((1 << TOKEN_BITS) - 1)
-    return let(words, lambda w: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - (WORDS - 1)), lambda i: F.xxhash64(F.slice(w, i, WORDS)).bitwiseAND(mask))))
+    return let(words, lambda w: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (WORDS - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, WORDS)).bitwiseAND(mask))))
 
 
-def long_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def lines_like(docs: DataFrame, id_col: str, text_col: str, pattern: str) -> DataFrame:
     each = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("ln", "line"))
-    return each.filter(F.col("line").rlike(LONG))
+    return each.filter(F.col("line").rlike(pattern))
 
 
-def distinct_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def distinct_lines(docs: DataFrame, id_col: str, text_col: str, pattern: str = LONG) -> DataFrame:
     """id, ln (first place) and tokens of each distinct line, written."""
-    first = long_lines(docs, id_col, text_col).groupBy(F.xxhash64("line").alias("k"), F.xxhash64(F.lit(1), "line").alias("k2")).agg(F.min(F.struct("id", "ln")).alias("at"), F.first("line").alias("line"))
+    first = lines_like(docs, id_col, text_col, pattern).groupBy(F.xxhash64("line").alias("k"), F.xxhash64(F.lit(1), "line").alias("k2")).agg(F.min(F.struct("id", "ln")).alias("at"), F.first("line").alias("line"))
     return written(first.select("at.id", "at.ln", tokens_of(line_words(F.col("line"))).alias("tokens")), "lines")
 
 
@@ -118,9 +121,11 @@ def later_matches(lines: DataFrame) -> DataFrame:
     return out
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with text_col less the lines that go, and __n_lines, __removed (their numbers, from 0)."""
-    lines = distinct_lines(docs, id_col, text_col)
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
+    """docs with text_col less the lines that go, and __n_lines, __removed (their numbers, from 0); short: lines of
+    fewer than WORDS words take part."""
+    pattern = ANY if short else LONG
+    lines = distinct_lines(docs, id_col, text_col, pattern)
     places = written(lines.select("id", "ln"), "places")
     kept = places.join(later_matches(lines), ["id", "ln"], "left_anti").groupBy("id").agg(F.collect_list("ln").alias("__kept"))
     joined = docs.join(kept.withColumnRenamed("id", "__id"), F.col(id_col) == F.col("__id"), "left").drop("__id")
@@ -131,7 +136,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         at = F.transform(parts, lambda x, i: F.struct(i.alias("i"), F.lit(0).alias("mark"), x.alias("x")))
         marks = F.transform(F.coalesce("__kept", F.array().cast("array<int>")), lambda i: F.struct(i.alias("i"), F.lit(1).alias("mark"), F.lit("").alias("x")))
         flagged = let(F.array_sort(F.concat(at, marks)), lambda s: F.transform(s, lambda e, j: F.struct(e["i"].alias("i"), e["x"].alias("x"), e["mark"].alias("mark"), (F.coalesce(F.get(s, j + 1)["mark"], F.lit(0)) == 0).alias("goes"))))
-        return F.transform(F.filter(flagged, lambda e: e["mark"] == 0), lambda e: F.struct(e["i"].alias("i"), e["x"].alias("x"), (e["goes"] & e["x"].rlike(LONG)).alias("goes")))
+        return F.transform(F.filter(flagged, lambda e: e["mark"] == 0), lambda e: F.struct(e["i"].alias("i"), e["x"].alias("x"), (e["goes"] & e["x"].rlike(pattern)).alias("goes")))
 
     state = F.when(F.col(id_col).isNull(), F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x"), F.lit(False).alias("goes")))).otherwise(marked(F.split(text, "\n")))
     out = joined.withColumn("__lines", state)

@@ -71,3 +71,10 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     got = sorted((r.doc_id or 0, r.text) for r in D.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == [(0, line), (4, f"{line}\nx"), (4, f"{line}\nx"), (5, "")]
     assert D.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_short_lines_collapse_where_asked_for(spark):
+    line = "one two three four five six"
+    rows = [(1, f"Les.\n{line}\na b c d\n\n"), (2, f"Les.\n{line}\na  b c d\n\nb a"), (3, "les.\nb a\nb a")]
+    got = {r.doc_id: list(r["__removed"]) for r in D.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), short=True).collect()}
+    assert got == {1: [], 2: [0, 1, 2], 3: [1, 2]}

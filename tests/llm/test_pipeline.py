@@ -21,3 +21,10 @@ def test_stages_on_a_small_corpus(spark, tmp_path):
     assert 100 not in seen["dedup_lines"] and set(range(30)) <= seen["dedup_lines"]
     assert seen["near_duplicates"] >= set(range(30)) and seen["mix_sources"] == seen["near_duplicates"] == seen["pack_sequences"]
     assert P.run(spark, str(tmp_path)).count() == docs.count()
+
+
+def test_exact_copy_with_a_short_line_leaves(spark, tmp_path):
+    text = "Les.\n" + " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "en", "s", 0), (2, text, "en", "s", 0), (3, " ".join(f"v{i}" for i in range(40)), "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in P.dedup_lines(spark, docs, str(tmp_path)).collect()} == {1, 3}
