@@ -3,7 +3,8 @@
 Candidates of every kind are found in whole texts with their code-point spans. The hash of each candidate's value
 is then counted over the corpus by distinct repositories and distinct owners: a value that many owners hold is a
 copied example, one that few hold is live-looking. The base kinds (assign, access, hex) are reported whatever the
-count says, with it as a verdict; the further kinds are reported only where they look live.
+count says, with it as a verdict; the further kinds are reported only where they look live. The value of a private key
+is its body without white space; a header without a whole key is reported whatever the count says.
 
 Defined results: null and empty texts hold nothing; repeated rows are scanned each by itself; a null repository or
 owner counts as one of its own; an empty table gives an empty result; other columns are ignored. Control
@@ -12,7 +13,7 @@ characters 1 and 2 in a text count as characters that no pattern takes.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,8 @@ def _either_case(word: str) -> str:
 
 @dataclass(frozen=True)
 class Kind:
-    """A pattern; group: the one that holds the secret; least: its characters at least; base: reported always."""
+    """A pattern; group: the one that holds the secret; least: its characters at least; base: reported always; armored:
+    the secret is its group less white space, and matches whose group is too short are their own value, reported always."""
 
     name: str
     pattern: str
@@ -37,9 +39,13 @@ class Kind:
     least: int
     base: bool
     mixed: bool = False
+    armored: bool = False
 
 
 _WORDS = "|".join(_either_case(w) for w in ("password", "passwd", "secret", "token")) + "|" + _either_case("api") + "_?" + _either_case("key")
+_HEADER = "-----BEGIN [A-Z ]*PRIVATE KEY-----"
+#: No five hyphens in a row; hyphens at all only in the few header fields of a key.
+_BODY = "[^-]*+(?:-{1,4}+[^-]++){0,32}"
 KINDS = (
     Kind("assign", rf"""({_WORDS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, True),
     Kind("access", "AKIA[A-Z0-9]+", 0, 20, True),
@@ -47,7 +53,7 @@ KINDS = (
     Kind("github", "gh[oprsu]_[A-Za-z0-9]{30,}", 0, 34, False),
     Kind("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15, False),
     Kind("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40, False),
-    Kind("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 20, False),
+    Kind("private_key", f"{_HEADER}(?:({_BODY})-----END [A-Z ]*PRIVATE KEY-----)?", 1, 20, False, armored=True),
     Kind("blob", "[A-Za-z0-9+/_-]{32,}", 0, 32, False, mixed=True),
 )
 SPAN = "struct<start:int,kind_no:int,end:int,kind:string,value:string>"
@@ -69,8 +75,12 @@ def find(text: Column, number: int, k: Kind) -> Column:
     def step(acc: Column, piece: Column) -> Column:
         def add(q: Column) -> Column:
             end = acc["at"] + F.length(q[0])
-            span = F.struct(acc["at"].alias("start"), F.lit(number).alias("kind_no"), end.alias("end"), F.lit(k.name).alias("kind"), q[1].alias("value"))
-            ok = F.length(q[1]) >= k.least
+            value = q[1]
+            if k.armored:
+                body = F.regexp_replace(q[1], r"\s|\\[nrt]", "")
+                value = F.when(F.length(body) >= k.least, body).otherwise(q[0])
+            span = F.struct(acc["at"].alias("start"), F.lit(number).alias("kind_no"), end.alias("end"), F.lit(k.name).alias("kind"), value.alias("value"))
+            ok = F.length(value) >= k.least
             if k.mixed:
                 ok &= q[1].rlike("[A-Z]") & q[1].rlike("[a-z]") & q[1].rlike("[0-9]")
             return F.struct((end + F.length(q[2])).alias("at"), F.when(ok, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found")).cast(f"struct<at:int,found:array<{SPAN}>>")
@@ -106,7 +116,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     each = scanned.filter(F.size("spans") > 0).select("row", F.explode("spans").alias("s")).select("row", "s.*", F.sha2("s.value", 256).alias("hash"))
     judged = each.join(ownership(scanned), "hash").withColumn("live", F.col("n_owners") <= max_owners)
     base = [i for i, k in enumerate(kinds) if k.base]
-    reported = judged.filter(F.col("kind_no").isin(base) | F.col("live"))
+    bare = F.col("kind_no").isin([i for i, k in enumerate(kinds) if k.armored]) & (F.length("value") == F.col("end") - F.col("start"))
+    reported = judged.filter(F.col("kind_no").isin(base) | F.col("live") | bare)
     spans = reported.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind_no", "end", "kind", "hash", "n_repos", "n_owners", "live"))).alias("spans"))
     none = F.array().cast(spans.schema["spans"].dataType)
     return scanned.select("row", F.col("id").alias(id_col)).join(spans, "row", "left").select(id_col, F.coalesce("spans", none).alias("spans"))
@@ -132,10 +143,12 @@ QUERIES = {"op4_secret_scan": op4_secret_scan}
 
 
 def _oracle() -> str:
+    # the SQL is as it was: it takes a key's header alone as the value; no given table holds one
+    given = [replace(k, pattern=_HEADER, group=0) if k.armored else k for k in KINDS]
     each = "\nUNION ALL\n".join(
         f"SELECT r, {i} AS kind_no, '{k.name}' AS kind, {k.least} AS least, {str(k.mixed).lower()} AS mixed, {str(k.base).lower()} AS base, "
         f"string_split(regexp_replace(t, '{k.pattern.replace(chr(39), chr(39) * 2)}', chr(1) || '\\0' || chr(2) || '\\{k.group}' || chr(2), 'g'), chr(1)) AS p FROM d"
-        for i, k in enumerate(KINDS)
+        for i, k in enumerate(given)
     )
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, concat_ws('/', source, lang) AS repo, coalesce(source, '') AS owner,

@@ -52,6 +52,24 @@ def test_copied_values_are_not_live(spark):
     assert got[10] == []
 
 
+def test_private_keys_are_told_apart_by_their_bodies(spark):
+    head, foot = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+
+    def key(c, eol="\n"):
+        return eol.join(["é", head, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A", "", *[c * 64] * 30, foot, "x"])
+
+    rows = [(i, key(c), "en", f"s{i}") for i, c in enumerate("abc")]
+    rows += [(i, key("d", "\r\n" if i % 2 else "\n"), "en", f"s{i}") for i in range(3, 7)]
+    rows += [(i, f"see {head} and - {'x-' * 3000}", "en", f"s{i}") for i in range(7, 11)] + [(11, f"{head}...{foot} {head}", "en", "s11")]
+    got = {r.doc_id: [s for s in r.spans if s.kind == "private_key"] for r in S.find_secrets(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    for i in range(3):
+        assert [(s.start, s.end, s.n_owners, s.live) for s in got[i]] == [(2, len(rows[i][1]) - 2, 1, True)]
+    assert len({got[i][0].hash for i in range(3)}) == 3
+    assert [got[i] for i in range(3, 7)] == [[]] * 4
+    assert [[(s.start, s.end, s.n_owners, s.live) for s in got[i]] for i in range(7, 11)] == [[(4, 4 + len(head), 5, False)]] * 4
+    assert [s.start for s in got[11]] == [0, len(head) + len(foot) + 4]
+
+
 def test_empty_table_and_empty_digest(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert S.find_secrets(docs).count() == 0
