@@ -31,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix to target weights says; domains grow to their shares, no document is lost."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return mixing.mix(docs, labels, mixing.production_domain(), mixing.WEIGHTS | {"low": 0.06}, least=1, cover=True)
+    return mixing.mix(docs, labels, mixing.production_domain(), mixing.WEIGHTS, least=1, cover=True)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Mixing to target weights by soft membership.
 
 A softmax on hashed words, fitted on a bounded sample of labelled texts, predicts each text's posterior over the
-domains. Document rates r >= 0 then minimise
+domains. Document rates r >= least (0, or what mix() is asked for) then minimise
 
     |sum_d r_d a_d - target|^2 + RIDGE * sum_d t_d (r_d - 1)^2,    a_d = t_d * posterior_d, token counts t as shares
 
@@ -124,18 +124,18 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(-1, k)
 
 
-def _replay(p: np.ndarray, residuals: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _replay(p: np.ndarray, residuals: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
     """Rates, and the accelerated point, of documents of posteriors p after the steps that had these residuals."""
-    r = y = np.ones(len(p))
+    r = y = np.full(len(p), max(1.0, least))
     momentum = 1.0
     for e in residuals:
-        new = np.maximum(0.0, y - (p @ e + RIDGE * (y - 1)) / (1 + RIDGE))
+        new = np.maximum(least, y - (p @ e + RIDGE * (y - 1)) / (1 + RIDGE))
         after = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         y, r, momentum = new + (momentum - 1) / after * (new - r), new, after
     return r, y
 
 
-def fit_rates(member: DataFrame, target: np.ndarray) -> list[np.ndarray]:
+def fit_rates(member: DataFrame, target: np.ndarray, least: float = 0.0) -> list[np.ndarray]:
     """The residual of each step; _replay() turns them into rates. target: expected tokens by domain over all tokens."""
     k = len(target)
     total = float(member.agg(F.sum("n_tokens")).first()[0] or 0)
@@ -149,7 +149,7 @@ def fit_rates(member: DataFrame, target: np.ndarray) -> list[np.ndarray]:
             sums = np.zeros(2 * k)
             for b in batches:
                 p, t = _matrix(b.column("posterior"), k), np.asarray(b.column("n_tokens")) / total
-                r, y = _replay(p, done)
+                r, y = _replay(p, done, least)
                 sums += np.concatenate([(t * r) @ p, (t * y) @ p])
             from pyspark import TaskContext
 
@@ -163,23 +163,23 @@ def fit_rates(member: DataFrame, target: np.ndarray) -> list[np.ndarray]:
     return steps
 
 
-def rates(member: DataFrame, target: np.ndarray) -> DataFrame:
+def rates(member: DataFrame, target: np.ndarray, least: float = 0.0) -> DataFrame:
     """member with rate."""
-    steps, k, columns = fit_rates(member, target), len(target), member.columns
+    steps, k, columns = fit_rates(member, target, least), len(target), member.columns
 
     def run(batches):
         for b in batches:
-            r, _ = _replay(_matrix(b.column("posterior"), k), steps)
+            r, _ = _replay(_matrix(b.column("posterior"), k), steps, least)
             r = np.where(np.asarray(b.column("n_tokens")) > 0, np.round(r, 6), 1.0)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(r)], names=[*columns, "rate"])
 
     return member.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in member.dtypes) + ", rate double")
 
 
-def mixed_rates(docs: DataFrame, labelled: DataFrame, domain: Column, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", cover: bool = False) -> tuple[DataFrame, tuple[str, ...], np.ndarray]:
+def mixed_rates(docs: DataFrame, labelled: DataFrame, domain: Column, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", cover: bool = False, least: float = 0.0) -> tuple[DataFrame, tuple[str, ...], np.ndarray]:
     """(id, n_tokens, posterior, rate), the domains, and the target shares. weights: wanted share of each domain.
 
-    The total stays what it is; with cover it is the least at which no domain has to shrink.
+    The total stays what it is; with cover it is the least at which no domain has to shrink. No rate is below least.
     """
     sample = labelled_sample(docs, labelled, id_col, text_col, domain)
     if not sample:
@@ -193,12 +193,13 @@ def mixed_rates(docs: DataFrame, labelled: DataFrame, domain: Column, weights: d
         row = member.agg(F.sum("n_tokens").alias("t"), *(F.sum(F.col("n_tokens") * F.col("posterior")[i]).alias(f"s{i}") for i in range(len(target)))).first()
         share = np.array([row[f"s{i}"] or 0.0 for i in range(len(target))]) / max(1, row["t"] or 0)
         target = target * max([s / w for s, w in zip(share, target) if w > 0 and s > 0], default=1.0)
-    return rates(member, target), classifier.domains, target
+    return rates(member, target, least), classifier.domains, target
 
 
 def mix(docs: DataFrame, labelled: DataFrame, domain: Column, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", least: int = 0, cover: bool = False) -> DataFrame:
-    """docs with each row as often as its rate says: the fraction is rounded by a hash of the id; least: times at least."""
-    found, _, _ = mixed_rates(docs, labelled, domain, weights, id_col, text_col, cover)
+    """docs with each row as often as its rate says: the fraction is rounded by a hash of the id; least: times at least,
+    which the fit knows as a bound on the rates."""
+    found, _, _ = mixed_rates(docs, labelled, domain, weights, id_col, text_col, cover, least)
     chance = F.pmod(F.xxhash64(F.col(id_col), F.lit("mix")), F.lit(1 << 20)) / F.lit(1 << 20)
     times = found.groupBy(id_col).agg(F.max("rate").alias("__rate")).withColumn("__times", F.greatest(F.lit(least), F.floor(F.col("__rate") + chance)).cast("int"))
     joined = docs.join(times.withColumnRenamed(id_col, "__id"), F.col(id_col).eqNullSafe(F.col("__id")), "left")

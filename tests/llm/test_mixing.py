@@ -61,6 +61,39 @@ def test_projection_equals_dense_solution(spark, tables):
     assert objective(mine) <= objective(r) + 2e-3
 
 
+def optimum(t, p, target, least):
+    """The least objective, and rates, by projected gradient steps without Spark."""
+    r = y = np.maximum(least, np.ones(len(t)))
+    for i in range(20_000):
+        new = np.maximum(least, y - (p @ ((t * y) @ p - target) + M.RIDGE * (y - 1)) / (1 + M.RIDGE))
+        y, r = new + 0.98 * (new - r), new
+    return value(t, p, target, r), r
+
+
+def value(t, p, target, r):
+    e = (t * r) @ p - target
+    return e @ e + M.RIDGE * t @ (r - 1) ** 2
+
+
+def weakly_separable(spark, n=400, seed=2):
+    """t, p and the table of members: the last domain is in every text, to a fifth or so."""
+    rng = np.random.default_rng(seed)
+    p = np.round(rng.dirichlet([2.0, 1.0, 0.8], n), 9)
+    t = rng.integers(5, 400, n)
+    member = spark.createDataFrame([(i, int(t[i]), [float(x) for x in p[i]]) for i in range(n)], "doc_id long, n_tokens long, posterior array<double>").repartition(3)
+    return t / t.sum(), p, member
+
+
+def test_fit_knows_the_least_rate(spark):
+    t, p, member = weakly_separable(spark)
+    target = np.array([0.6, 0.35, 0.05]) * (t @ p[:, 2] / 0.05)
+    rate = {least: np.array([r.rate for r in M.rates(member, target, least).orderBy("doc_id").collect()]) for least in (0.0, 1.0)}
+    best, _ = optimum(t, p, target, 1.0)
+    assert rate[0.0].min() < 0.5 and rate[1.0].min() == 1
+    bounded, cut = value(t, p, target, rate[1.0]), value(t, p, target, np.maximum(1, rate[0.0]))
+    assert bounded < best + 0.5 * (cut - best)
+
+
 def test_mix_takes_effect_and_keeps_columns(spark, tables):
     rows, docs, labelled = tables
     out = M.mix(docs, labelled, F.col("domain"), {"a": 0.2, "b": 0.4, "c": 0.4}, least=1, cover=True)

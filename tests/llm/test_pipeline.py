@@ -28,3 +28,11 @@ def test_exact_copy_with_a_short_line_leaves(spark, tmp_path):
     rows = [(1, text, "en", "s", 0), (2, text, "en", "s", 0), (3, " ".join(f"v{i}" for i in range(40)), "en", "s", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert {r.doc_id for r in P.dedup_lines(spark, docs, str(tmp_path)).collect()} == {1, 3}
+
+
+def test_mix_has_the_production_weights(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    asked = []
+    monkeypatch.setattr(P.mixing, "mix", lambda docs, labels, domain, weights, **options: asked.append(weights) or docs)
+    P.mix_sources(spark, spark.range(1), str(tmp_path))
+    assert asked == [P.mixing.WEIGHTS]
