@@ -5,9 +5,11 @@ domains. Document rates r >= least (0, or what mix() is asked for) then minimise
 
     |sum_d r_d a_d - target|^2 + RIDGE * sum_d t_d (r_d - 1)^2,    a_d = t_d * posterior_d, token counts t as shares
 
-by accelerated projected gradient steps in the metric of the token counts. The state of every document follows from
-its posterior and the residuals of the steps so far, which are a few numbers: each step is one aggregate over the
-table of posteriors, nothing but domain sums reaches the driver, and rates are never stored between steps.
+where every rate follows from its posterior p and the residual e of the domain sums at the optimum, a few numbers:
+r = max(least, 1 - p.e / RIDGE). e is the minimum of a strongly convex function of as many variables as there are
+domains, found by Newton steps with a line search: each step is one aggregate over the table of posteriors, nothing
+but domain sums reaches the driver, and rates are never stored between steps. The steps end where the projected
+gradient of every rate is below TOLERANCE; if they do not get there, the fit fails.
 
 Defined results: null and empty texts have no tokens, the posterior of the sample's shares and rate 1.0; repeated
 rows get equal rates; null labels are ignored; a domain without labelled texts has no posterior and cannot be met;
@@ -33,8 +35,9 @@ SAMPLE_CHARS = 20_000
 BUCKETS = 1 << 15
 STEPS = 40
 RIDGE = 1e-4
-MAX_STEPS = 60
-TOLERANCE = 1e-4
+TOLERANCE = 1e-9
+#: Newton steps before the fit fails, and step lengths (halved each time) that one aggregate tries.
+MAX_STEPS, LENGTHS = 200, 20
 
 
 @dataclass(frozen=True)
@@ -124,52 +127,62 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(-1, k)
 
 
-def _replay(p: np.ndarray, residuals: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rates, and the accelerated point, of documents of posteriors p after the steps that had these residuals."""
-    r = y = np.full(len(p), max(1.0, least))
-    momentum = 1.0
-    for e in residuals:
-        new = np.maximum(least, y - (p @ e + RIDGE * (y - 1)) / (1 + RIDGE))
-        after = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        y, r, momentum = new + (momentum - 1) / after * (new - r), new, after
-    return r, y
+def _rates(p: np.ndarray, e: np.ndarray, least: float) -> np.ndarray:
+    """Rates of documents of posteriors p, at the residual e."""
+    return np.maximum(least, 1 - p @ e / RIDGE)
 
 
-def fit_rates(member: DataFrame, target: np.ndarray, least: float = 0.0) -> list[np.ndarray]:
-    """The residual of each step; _replay() turns them into rates. target: expected tokens by domain over all tokens."""
+def _sums(t: np.ndarray, p: np.ndarray, e: np.ndarray, least: float) -> np.ndarray:
+    """Over documents: the function's value, the domain sums, and the outer products of the posteriors of free rates."""
+    u = 1 - p @ e / RIDGE
+    free = t * (u > least)
+    value = RIDGE * t @ np.where(u > least, u**2 / 2, least * u - least**2 / 2)
+    return np.concatenate([[value], (t * np.maximum(least, u)) @ p, ((free[:, None] * p).T @ p).reshape(-1)])
+
+
+def fit_rates(member: DataFrame, target: np.ndarray, least: float = 0.0) -> np.ndarray:
+    """The residual at the optimum; _rates() turns it into rates. target: expected tokens by domain over all tokens."""
     k = len(target)
     total = float(member.agg(F.sum("n_tokens")).first()[0] or 0)
-    steps: list[np.ndarray] = []
     if not total:
-        return steps
-    while len(steps) < MAX_STEPS:
-        done = list(steps)
+        return np.zeros(k)
 
+    def summed(points: list[np.ndarray]) -> np.ndarray:
         def run(batches):
-            sums = np.zeros(2 * k)
+            sums = np.zeros((len(points), 1 + k + k * k))
             for b in batches:
                 p, t = _matrix(b.column("posterior"), k), np.asarray(b.column("n_tokens")) / total
-                r, y = _replay(p, done, least)
-                sums += np.concatenate([(t * r) @ p, (t * y) @ p])
+                sums += np.array([_sums(t, p, e, least) for e in points])
             from pyspark import TaskContext
 
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([sums.tolist()])], names=["part", "sums"])
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([sums.reshape(-1).tolist()])], names=["part", "sums"])
 
         rows = member.select("n_tokens", "posterior").mapInArrow(run, "part long, sums array<double>").collect()
-        sums = np.sum([r["sums"] for r in sorted(rows, key=lambda r: r["part"])], axis=0)
-        if steps and np.abs(sums[:k] - target).max() < TOLERANCE:
-            break
-        steps.append(sums[k:] - target)
-    return steps
+        return np.sum([r["sums"] for r in sorted(rows, key=lambda r: r["part"])], axis=0).reshape(len(points), -1)
+
+    e, (s,) = np.zeros(k), summed([np.zeros(k)])
+    for _ in range(MAX_STEPS):
+        gradient = e + target - s[1 : k + 1]
+        # p.gradient is what a free rate's own gradient is off by: posteriors sum to 1
+        if np.abs(gradient).max() < TOLERANCE:
+            return e
+        step = -np.linalg.solve(np.eye(k) + s[k + 1 :].reshape(k, k) / RIDGE, gradient)
+        value = s[0] + e @ e / 2 + target @ e
+        points = [e + step / 2**i for i in range(LENGTHS)]
+        found = summed(points)
+        for i, (e, s) in enumerate(zip(points, found)):
+            if s[0] + e @ e / 2 + target @ e <= value + 1e-4 / 2**i * (gradient @ step) + 1e-14 * (1 + abs(value)):
+                break
+    raise RuntimeError(f"rates did not converge: domain sums are off by {np.abs(gradient).max():.3g} after {MAX_STEPS} steps")
 
 
 def rates(member: DataFrame, target: np.ndarray, least: float = 0.0) -> DataFrame:
     """member with rate."""
-    steps, k, columns = fit_rates(member, target, least), len(target), member.columns
+    e, k, columns = fit_rates(member, target, least), len(target), member.columns
 
     def run(batches):
         for b in batches:
-            r, _ = _replay(_matrix(b.column("posterior"), k), steps, least)
+            r = _rates(_matrix(b.column("posterior"), k), e, least)
             r = np.where(np.asarray(b.column("n_tokens")) > 0, np.round(r, 6), 1.0)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(r)], names=[*columns, "rate"])
 

@@ -94,6 +94,21 @@ def test_fit_knows_the_least_rate(spark):
     assert bounded < best + 0.5 * (cut - best)
 
 
+def test_fit_ends_at_the_optimum(spark):
+    t, p, member = weakly_separable(spark)
+    for target, least in (([0.6, 0.38, 0.02], 0.0), ([0.0, 1.0, 0.0], 0.0), ([3.0, 1.75, 0.25], 1.0), ([0.5, 0.3, 0.2], 0.0)):
+        r = np.array([r.rate for r in M.rates(member, np.array(target), least).orderBy("doc_id").collect()])
+        best, _ = optimum(t, p, np.array(target), least)
+        assert value(t, p, np.array(target), r) <= best + 1e-7
+
+
+def test_fit_fails_loudly(spark, monkeypatch):
+    _, _, member = weakly_separable(spark)
+    monkeypatch.setattr(M, "MAX_STEPS", 1)
+    with pytest.raises(RuntimeError, match="did not converge"):
+        M.rates(member, np.array([0.6, 0.38, 0.02]))
+
+
 def test_mix_takes_effect_and_keeps_columns(spark, tables):
     rows, docs, labelled = tables
     out = M.mix(docs, labelled, F.col("domain"), {"a": 0.2, "b": 0.4, "c": 0.4}, least=1, cover=True)
