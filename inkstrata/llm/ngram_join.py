@@ -255,13 +255,13 @@ def search_units(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in (0, 1)], schema=schema)
 
         for b in batches:
-            units = list(zip(*(b.column(c).to_pylist() for c in ("cluster", "band", "i", "j", "id"))))
+            units = list(zip(*(b.column(c).to_pylist() for c in ("cluster", "band", "i", "j", "id", "n"))))
             for r, words in B.each_text(b.column("text"), B.WHITESPACE):
                 if units[r][:4] != key:
                     close()
                     key, ids, sets = units[r][:4], [], []
                 s = B.shingles(words, k)
-                if not (ids and sets and len(sets[-1]) > len(s)):  # an id that repeats with another text comes out of order
+                if len(s) == units[r][5]:  # an id that repeats with another text brings that too
                     ids.append(units[r][4])
                     sets.append(s)
             if len(out) > 10_000:

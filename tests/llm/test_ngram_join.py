@@ -88,6 +88,14 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert J.ngram_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_an_id_with_two_texts_hides_no_other(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    large = " ".join(f"v{i}" for i in range(300))
+    rows = [(1, base), (1, large), (5, base + " tail"), (6, base + " tail end"), (9, large + " tail")]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in J.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 57): 1, (1, 297): 1, (5, 58): 1, (6, 59): 1, (9, 298): 1}
+
+
 def test_first_of_each_keeps_one_of_a_group(spark):
     base = " ".join(f"w{i}" for i in range(60))
     rows = [(3, base, "x"), (5, base + " tail", "x"), (9, "other words here", "x"), (2, "", "x")]
