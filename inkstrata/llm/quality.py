@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,14 +83,19 @@ def _chars(text: Column) -> Column:
     return F.coalesce(F.length(text), F.lit(0))
 
 
-def default_rules() -> list[Rule]:
+@cache
+def _defaults() -> tuple[Rule, ...]:
     """Lenient rules: they reject junk (markup, tables, repetition) and leave prose of any language alone."""
     few = Rule("few_words", lambda t: F.size(words_of(t)) < MIN_WORDS, _chars, 1.0)
     repeat = Rule("repeated_windows", lambda t: let(words_of(t), lambda w: 100 * n_repeat_words(w) > MAX_REPEAT_PERCENT * F.size(w)), _chars, 6.0)
     symbols = Rule("symbols", lambda t: 100 * n_symbols(t) > 20 * F.size(words_of(t)), _chars, 1.5)
     length = Rule("word_length", lambda t: let(words_of(t), lambda w: (word_chars(w) > 25 * F.size(w)) | (word_chars(w) < 2 * F.size(w))), _chars, 1.3)
     lines = Rule("repeated_lines", lambda t: let(word_lines(t), lambda x: (F.size(x) >= 4) & (100 * n_dup_lines(x) > 50 * F.size(x))), _chars, 0.5)
-    return [few, repeat, symbols, length, lines]
+    return few, repeat, symbols, length, lines
+
+
+def default_rules() -> list[Rule]:
+    return list(_defaults())
 
 
 def ordered_rules(docs: DataFrame, rules: list[Rule], text_col: str = "text", sample_rows: int = 500) -> list[Rule]:
@@ -133,7 +139,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ru
         n_repeat_words(F.col("__words")).alias("n_repeat_words"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    # the counts are there already: the same rules, in the cascade's order, read them instead of the text
+    # the counts are there already: the default rules, in the cascade's order, read them instead of the text
     known = {
         "few_words": F.col("n_words") < MIN_WORDS,
         "repeated_windows": 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"),
@@ -141,7 +147,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ru
         "word_length": (F.col("word_chars") > 25 * F.col("n_words")) | (F.col("word_chars") < 2 * F.col("n_words")),
         "repeated_lines": (F.col("__n_lines") >= 4) & (100 * F.col("n_dup_lines") > 50 * F.col("__n_lines")),
     }
-    by_counts = [Rule(r.name, (lambda _, c=known[r.name]: c) if r.name in known else r.reject, r.work, r.weight) for r in chosen]
+    by_counts = [Rule(r.name, (lambda _, c=known[r.name]: c) if r in _defaults() else r.reject, r.work, r.weight) for r in chosen]
     return counted.select(
         F.col(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & cascade(by_counts, t).isNull()).alias("kept")
     )

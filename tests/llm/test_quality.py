@@ -57,6 +57,12 @@ def test_cascade_puts_cheap_rejecting_rules_first(spark):
     assert Q.ordered_rules(docs, Q.default_rules())[0].name == "few_words"
 
 
+def test_own_rule_of_a_default_name_is_used(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(30 + i))) for i in range(3)], "doc_id long, text string")
+    own = Q.Rule("symbols", lambda t: t.contains("w31"), lambda t: t.isNotNull().cast("int"))
+    assert {r.doc_id: r.kept for r in Q.features(docs, rules=[own, *Q.default_rules()]).collect()} == {0: True, 1: True, 2: False}
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert Q.features(docs).count() == 0 and Q.keep(docs).count() == 0
