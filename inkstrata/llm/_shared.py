@@ -2,19 +2,49 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+class Scratch:
+    """The tables written within a scope: all but those kept are deleted at its end; kept ones go to the scope around it."""
+
+    def __init__(self):
+        self.tables, self.kept = [], []
+
+    def keep(self, *tables: DataFrame) -> None:
+        self.kept.extend(t._inkstrata_path for t in tables)
+
+
+_scopes: list[Scratch] = []
+
+
+@contextmanager
+def scratch():
+    scope = Scratch()
+    _scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        _scopes.remove(scope)
+        drop(*(t for t in scope.tables if t._inkstrata_path not in scope.kept))
+        if _scopes:
+            _scopes[-1].tables.extend(t for t in scope.tables if t._inkstrata_path in scope.kept)
+
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; one of our own only where it is unset (tests, local mode)."""
+    """The folder of spark.checkpoint.dir; one of our own only where it is unset in local mode (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder that they share")
     if not found:
         held = getattr(spark.sparkContext, "_inkstrata_shared", None)
         found = spark.sparkContext._inkstrata_shared = held or tempfile.mkdtemp(prefix="inkstrata-shared-")
@@ -38,6 +68,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
         spark.conf.set(CLEANUP, held)
     out = spark.read.schema(df.schema).parquet(path)
     out._inkstrata_path = path
+    if _scopes:
+        _scopes[-1].tables.append(out)
     return out
 
 

@@ -1,149 +1,248 @@
 """Line dedup by an exact set-similarity join, in DataFrame functions alone.
 
-A line's tokens are its distinct five-word shingles. Equal lines collapse to their first place (document id, then
-line number). Distinct lines are joined exactly at a Jaccard similarity of 0.8: tokens are ordered by rarity
-(frequency classes of hash buckets, counted over all lines: a table of fixed size), a line is posted under the
-prefix of its order, candidates under one token pass the length and the positional filter, and the sets of those
-left are intersected. A line with an earlier match goes, wherever it stands; equal lines stay at their first place.
-Candidates are first tried against the earliest line of their token alone; only lines that this leaves, and only
-against lines that it has not tried, go on to the full join: groups of near copies never meet pair by pair.
+A line's tokens are its distinct five-word shingles, as 64-bit hashes of its words' hashes. Equal lines collapse to
+their first place (document id, then line number). Distinct lines are joined exactly at a Jaccard similarity of 0.8:
+
+1. Texts are read once. A line becomes its digest, its size and its prefix: the first tokens in one global order.
+   That order is by rarity: tokens that are frequent come last, by class of frequency, all others by hash. Which
+   tokens are frequent is seen in the postings of a first order, by hash alone: a frequent-items sketch over all of
+   them names at most TOP tokens, and lines whose prefix holds one are posted again in the order that ranks these
+   last. No other line's prefix can change.
+2. Tokens that two lines or more are posted under keep their postings. Every line is first tried against the
+   earliest line of each of its tokens alone (length filter, positional filter, then the sets), and in further
+   rounds against the earliest line not yet tried, as long as pairs would outnumber postings; only then do the lines
+   left meet all earlier ones under their tokens. Groups of near copies never meet pair by pair.
+3. Sets are computed for the lines of candidate pairs alone, from the texts, and never travel otherwise.
+
+A line with an earlier match goes, wherever it stands; equal lines stay at their first place.
 
 Defined results: lines of fewer than five words always stay, unless short lines are asked for: then such a line has
 one token, its whole word sequence; blank lines always stay; null text stays null; a line's place is (id, line
 number), rows of equal ids share places, and repeated rows keep the same lines; null ids are left alone; an empty
-table gives an empty result; other columns pass through dedup_lines() unchanged.
+table gives an empty result; words and texts may be of any length; other columns, whatever their names, pass through
+dedup_lines() unchanged, but for __n_lines and __removed, which are the operator's. Rows of one id that hold
+different texts share places all the same: a place stays if a line there does.
 """
 
 from __future__ import annotations
 
-import math
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstrata.llm._shared import among, constant_table, drop, written
+from inkstrata.llm._shared import among, constant_table, drop, scratch, written
 from inkstrata.llm.quality import let
 from inkstrata.session import table
 
 WORDS = 5
 NUM, DEN = 8, 10
+BLANKS = " \t\n\x0b\f\r"
 SPACE = r"[\x20\x09-\x0D]+"
-#: A line of WORDS words at least.
-LONG = r"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]" % (WORDS - 1)
+#: A line of WORDS words at least: anchored and possessive, so that a line is passed once whatever its words' length.
+LONG = r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){%d}[^\x20\x09-\x0D]" % (WORDS - 1)
 #: A line of one word at least.
 ANY = r"[^\x20\x09-\x0D]"
-#: Buckets of token frequency, and of lines that take part in the join: fixed sizes.
-RARITY_BITS, FILTER_BITS = 16, 20
-TOKEN_BITS = 59
+#: A token's hash; three bits above it hold its class of frequency.
+TOKEN_BITS = 60
 CLASSES = 7
+#: Frequent tokens: at most TOP of those that a sketch of SKETCH counters sees in FREQUENT lines or more, known by
+#: 2**SLOT_BITS slots of token hashes, 16 a word. All fixed sizes.
+TOP, SKETCH, FREQUENT, SLOT_BITS = 512, 1 << 16, 64, 18
+#: Sketches of tasks are merged in so many groups, then those into one.
+GROUPS = 64
+#: The full join begins when it has at most so many pairs a shared posting, or after so many rounds.
+FEW, ROUNDS = 4, 8
 
 
 def line_words(line: Column) -> Column:
-    return F.filter(F.split(line, SPACE), lambda w: w != "")
+    return F.split(F.btrim(line, F.lit(BLANKS)), SPACE)
 
 
 def tokens_of(words: Column) -> Column:
-    """Hashes, of TOKEN_BITS bits, of the distinct shingles of a line; with fewer than WORDS words the whole sequence is one."""
-    mask = F.lit((1 << TOKEN_BITS) - 1)
-    return let(words, lambda w: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (WORDS - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, WORDS)).bitwiseAND(mask))))
-
-
-def lines_like(docs: DataFrame, id_col: str, text_col: str, pattern: str) -> DataFrame:
-    each = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("ln", "line"))
-    return each.filter(F.col("line").rlike(pattern))
-
-
-def distinct_lines(docs: DataFrame, id_col: str, text_col: str, pattern: str = LONG) -> DataFrame:
-    """id, ln (first place) and tokens of each distinct line, written."""
-    first = lines_like(docs, id_col, text_col, pattern).groupBy(F.xxhash64("line").alias("k"), F.xxhash64(F.lit(1), "line").alias("k2")).agg(F.min(F.struct("id", "ln")).alias("at"), F.first("line").alias("line"))
-    return written(first.select("at.id", "at.ln", tokens_of(line_words(F.col("line"))).alias("tokens")), "lines")
-
-
-def rarity(lines: DataFrame) -> list[int]:
-    """A frequency class for each bucket of tokens, 0 the rarest: counted over all lines."""
-    bucket = F.shiftrightunsigned("t", TOKEN_BITS - RARITY_BITS).cast("int")
-    rows = lines.select(F.explode("tokens").alias("t")).groupBy(bucket.alias("b")).count().collect()
-    mean = sum(r["count"] for r in rows) / max(1, len(rows))
-    classes = [0] * (1 << RARITY_BITS)
-    for r in rows:
-        classes[r["b"]] = min(CLASSES, max(0, int(math.log2(r["count"] / max(mean, 16)))))
-    return classes
+    """Hashes, of TOKEN_BITS bits, of the distinct shingles of a line; with fewer than WORDS words the whole sequence is one.
 
+    A shingle's hash is that of its words' hashes: each word is hashed once; beyond the line's end there is nothing to hash.
+    """
+    mask = F.lit((1 << TOKEN_BITS) - 1)
 
-def by_rarity(tokens: Column, classes: list[int]) -> Column:
-    """Tokens in the global order, their class above their hash."""
-    if not any(classes):
-        return F.sort_array(tokens)
+    def rolled(h: Column) -> Column:
+        every = F.transform(h, lambda x, i: F.xxhash64(x, *(F.get(h, i + j) for j in range(1, WORDS))).bitwiseAND(mask))
+        return F.array_distinct(F.slice(every, 1, F.greatest(F.size(h) - (WORDS - 1), F.lit(1))))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), rolled)
+
+
+@dataclass(frozen=True)
+class Places:
+    """A line's place, (id, line number), as one ordered column: a long where both fit into one, else a struct."""
+
+    kind: str
+    lo: int = 0
+    width: int = 0
+
+    @classmethod
+    def over(cls, docs: DataFrame, id_col: str, text_col: str) -> Places:
+        kind = dict(docs.dtypes)[id_col]
+        if kind in ("tinyint", "smallint", "int", "bigint"):
+            lo, hi, most = docs.agg(F.min(id_col), F.max(id_col), F.max(F.octet_length(text_col))).first()
+            if (hi or 0) - (lo or 0) + 1 < (1 << 62) // ((most or 0) + 2):
+                return cls(kind, lo or 0, (most or 0) + 2)
+        return cls(kind)
+
+    def at(self, id: Column, ln: Column) -> Column:
+        if not self.width:
+            return F.struct(id.alias("id"), ln.alias("ln"))
+        return (id.cast("long") - F.lit(self.lo)) * F.lit(self.width) + ln
+
+    def split(self, p: str) -> list[Column]:
+        if not self.width:
+            return [F.col(p)["id"].alias("id"), F.col(p)["ln"].alias("ln")]
+        return [(F.call_function("div", F.col(p), F.lit(self.width)) + F.lit(self.lo)).cast(self.kind).alias("id"), F.pmod(F.col(p), F.lit(self.width)).cast("int").alias("ln")]
+
+
+@dataclass(frozen=True)
+class Lines:
+    """The lines of a table of texts that match a pattern."""
+
+    docs: DataFrame
+    id_col: str
+    text_col: str
+    pattern: str
+    places: Places
+
+    def each(self) -> DataFrame:
+        """p, line."""
+        lines = self.docs.filter(F.col(self.id_col).isNotNull()).select(F.col(self.id_col).alias("id"), F.posexplode(F.split(self.text_col, "\n")).alias("ln", "line"))
+        return lines.filter(F.col("line").rlike(self.pattern)).select(self.places.at(F.col("id"), F.col("ln")).alias("p"), "line")
+
+    def chosen(self, places: DataFrame) -> DataFrame:
+        """p, line of the places given: the texts that hold one travel once, their other lines stay behind."""
+        wanted = places.select(*self.places.split("p")).distinct().groupBy("id").agg(F.collect_list("ln").alias("lns"))
+        texts = self.docs.filter(F.col(self.id_col).isNotNull()).select(F.col(self.id_col).alias("id"), F.col(self.text_col).alias("text"))
+        held = among(texts, wanted, ["id"]).join(wanted.hint("shuffle_hash"), "id").select("id", "lns", F.split("text", "\n").alias("parts"))
+        each = held.select("id", F.explode(F.transform("lns", lambda i: F.struct(i.alias("ln"), F.get("parts", i).alias("line")))).alias("x"))
+        return each.filter(F.col("x.line").rlike(self.pattern)).select(self.places.at(F.col("id"), F.col("x.ln")).alias("p"), F.col("x.line").alias("line"))
+
+
+def frequent(posts: DataFrame) -> list[int] | None:
+    """A class of frequency for every slot of token hashes, 16 a word: 0 but for the most frequent tokens; None if there are none."""
+    exploded = posts.select(F.explode("prefix").alias("t"))
+    by_task = exploded.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g")).agg(F.expr(f"approx_top_k_accumulate(t, {SKETCH})").alias("s"))
+    merged = by_task.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(s, {SKETCH})").alias("s"))
+    found = [r for r in merged.select(F.expr(f"inline(approx_top_k_estimate(s, {TOP}))")).collect() if r["count"] >= FREQUENT]
+    if not found:
+        return None
+    words = [0] * (1 << (SLOT_BITS - 4))
+    for r in found:
+        slot, value = r["item"] >> (TOKEN_BITS - SLOT_BITS), min(CLASSES, (r["count"] // FREQUENT).bit_length())
+        shift = 4 * (slot & 15)
+        held = words[slot >> 4] >> shift & 15
+        words[slot >> 4] += (max(held, value) - held) << shift
+    return words
+
+
+def _class(t: Column, words: Column) -> Column:
+    slot = F.shiftrightunsigned(t, TOKEN_BITS - SLOT_BITS).cast("int")
+    return F.call_function("shiftright", F.get(words, F.shiftright(slot, 4)), slot.bitwiseAND(F.lit(15)) * 4).bitwiseAND(F.lit(15))
+
+
+def prefix_of(tokens: Column) -> Column:
+    """n, the size of a set, and its prefix in the order of its tokens."""
+    length = lambda n: n - F.ceil(n * NUM / DEN).cast("int") + 1
+    return let(F.sort_array(tokens), lambda s: F.struct(F.size(s).alias("n"), F.slice(s, 1, length(F.size(s))).alias("prefix")))
+
+
+def posted(lines: Lines) -> DataFrame:
+    """p, n and prefix of each distinct line, written; no line of a lower class of frequency is in front of a higher one's."""
+    seen = lines.each().select(F.xxhash64("line").alias("k"), F.xxhash64(F.lit(1), "line").alias("k2"), "p", prefix_of(tokens_of(line_words(F.col("line")))).alias("x"))
+    first = written(seen.groupBy("k", "k2").agg(F.min("p").alias("p"), F.first("x").alias("x")).select("p", "x.n", "x.prefix"), "posts")
+    classes = frequent(first)
+    if classes is None:
+        return first
     known = constant_table(classes)
-    return F.sort_array(F.transform(tokens, lambda t: t + F.shiftleft(F.get(known, F.shiftrightunsigned(t, TOKEN_BITS - RARITY_BITS).cast("int")), TOKEN_BITS)))
+    again = F.exists("prefix", lambda t: _class(t, known) > 0)
+    tokens = F.transform(tokens_of(line_words(F.col("line"))), lambda t: F.shiftleft(_class(t, known), TOKEN_BITS).bitwiseOR(t))
+    late = lines.chosen(first.filter(again).select("p")).select("p", prefix_of(tokens).alias("x")).groupBy("p").agg(F.max("x").alias("x")).select("p", "x.n", "x.prefix")
+    out = written(first.filter(~again).unionByName(late), "posts")
+    drop(first)
+    return out
 
 
 def _may_match(n: Column, i: Column, m: Column, j: Column) -> Column:
     """Length and positional filter for a common token at places i and j (from 0) of sets of n and m."""
-    like = (F.least(n, m) * DEN >= F.greatest(n, m) * NUM)
+    like = F.least(n, m) * DEN >= F.greatest(n, m) * NUM
     return like & (F.least(n - i, m - j) * (NUM + DEN) >= NUM * (n + m))
 
 
-def shared_postings(lines: DataFrame, classes: list[int]) -> DataFrame:
-    """Postings under prefix tokens that two lines or more have, with the token's earliest line and the rank, written."""
-    n = F.size("tokens")
-    prefix = n - F.ceil(n * NUM / DEN).cast("int") + 1
-    posted = lines.select("id", "ln", n.alias("n"), F.posexplode(F.slice(by_rarity(F.col("tokens"), classes), F.lit(1), prefix)).alias("i", "t"))
-    order = Window.partitionBy("t").orderBy("id", "ln")
-    ranked = posted.select(
-        "t", "id", "ln", "n", "i", F.row_number().over(order).alias("rank"), F.lead("ln").over(order).alias("next"),
-        *(F.first(c).over(order).alias(f"first_{c}") for c in ("id", "ln", "n", "i")),
-    )
-    return written(ranked.filter("rank > 1 or next is not null").drop("next"), "postings")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The later lines (id, ln) of the pairs that reach the similarity."""
-    b = sets.select(F.col("id"), F.col("ln"), F.col("tokens").alias("x"))
-    a = sets.select(F.col("id").alias("a_id"), F.col("ln").alias("a_ln"), F.col("tokens").alias("y"))
-    both = pairs.join(b, ["id", "ln"]).join(a, ["a_id", "a_ln"]).withColumn("both", F.size(F.array_intersect("x", "y")))
-    return both.filter(F.col("both") * DEN >= (F.size("x") + F.size("y") - F.col("both")) * NUM).select("id", "ln").distinct()
-
-
-def later_matches(lines: DataFrame) -> DataFrame:
-    """(id, ln) of each distinct line that an earlier distinct line matches. Deletes lines once it has read them: they
-    are the largest table of the join, and no later step needs more than those that share a posting."""
-    postings = shared_postings(lines, rarity(lines))
-    sets = written(among(lines, postings, ["id", "ln"], FILTER_BITS), "part")
-    drop(lines)
-    first = postings.filter("rank > 1").filter(_may_match(F.col("n"), F.col("i"), F.col("first_n"), F.col("first_i")))
-    gone = written(_verified(first.select("id", "ln", F.col("first_id").alias("a_id"), F.col("first_ln").alias("a_ln")).distinct(), sets), "gone")
-    rest = postings.filter("rank > 2").join(gone, ["id", "ln"], "left_anti").select("t", "id", "ln", "n", "i", "rank")
-    earlier = postings.filter("rank > 1").select("t", F.col("id").alias("a_id"), F.col("ln").alias("a_ln"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("rank").alias("a_rank"))
-    pairs = rest.join(earlier, "t").filter("a_rank < rank").filter(_may_match(F.col("n"), F.col("i"), F.col("m"), F.col("j")))
-    out = written(gone.union(_verified(pairs.select("id", "ln", "a_id", "a_ln").distinct(), sets)), "gone")
-    drop(postings, sets, gone)
+def shared_postings(posts: DataFrame) -> DataFrame:
+    """t, p, n, i of postings under tokens that two lines or more have, written. Tokens are counted before anything
+    else travels, so that a token of very many lines is a skewed join's stream, never one task's group."""
+    each = posts.select("p", "n", F.posexplode("prefix").alias("i", "t"))
+    common = each.groupBy("t").count().filter("count > 1").select("t")
+    return written(each.join(common.hint("shuffle_hash"), "t").select("t", "p", "n", "i"), "postings")
+
+
+def _matched(lines: Lines, pairs: DataFrame) -> DataFrame:
+    """p of the pairs (p, a) that reach the similarity, written. Sets are computed from the texts, of these lines alone."""
+    places = pairs.select("p").unionByName(pairs.select(F.col("a").alias("p")))
+    sets = lines.chosen(places).select("p", tokens_of(line_words(F.col("line"))).alias("x"))
+    sets = written(sets.groupBy("p").agg(F.max("x").alias("x")), "sets")
+    both = pairs.join(sets, "p").join(sets.select(F.col("p").alias("a"), F.col("x").alias("y")), "a")
+    shared = both.select("p", (F.size("x") + F.size("y")).alias("n"), F.size(F.array_intersect("x", "y")).alias("both"))
+    out = written(shared.filter(F.col("both") * DEN >= (F.col("n") - F.col("both")) * NUM).select("p").distinct(), "gone")
+    drop(sets)
     return out
 
 
+def later_matches(lines: Lines, posts: DataFrame) -> DataFrame:
+    """p of each distinct line that an earlier distinct line matches, written."""
+    postings = shared_postings(posts)
+    earlier = postings.select("t", F.col("p").alias("a"), F.col("n").alias("m"), F.col("i").alias("j"))
+    fits = (F.col("a") < F.col("p")) & _may_match(F.col("n"), F.col("i"), F.col("m"), F.col("j"))
+    load = postings.groupBy("t").agg(F.count("*").alias("every"))
+    left, hubs, tried, gone = postings, None, [], []
+    for _ in range(ROUNDS):
+        # each token's earliest line that is left and was not a hub meets the others: those that go need no more search
+        free = left if hubs is None else left.join(hubs.select("t", F.col("a").alias("last")), "t").filter("p > last")
+        hubs = written(free.groupBy("t").agg(F.min("p").alias("a"), F.min_by("n", "p").alias("m"), F.min_by("i", "p").alias("j")), "hubs")
+        tried.append(written(left.join(hubs, "t").filter(fits).select("p", "a").distinct(), "pairs"))
+        gone.append(_matched(lines, tried[-1]))
+        left = written(left.join(gone[-1], "p", "left_anti"), "left")
+        pairs = left.groupBy("t").agg(F.count("*").alias("own")).join(load, "t").agg(F.sum(F.col("own") * F.col("every"))).first()[0]
+        if (pairs or 0) <= FEW * postings.count():
+            break
+    pairs = left.join(earlier, "t").filter(fits).select("p", "a").distinct()
+    for t in tried:
+        pairs = pairs.join(t, ["p", "a"], "left_anti")
+    gone.append(_matched(lines, written(pairs, "pairs")))
+    out = gone[0]
+    for g in gone[1:]:
+        out = out.unionByName(g)
+    return written(out.distinct(), "gone")
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
     """docs with text_col less the lines that go, and __n_lines, __removed (their numbers, from 0); short: lines of
     fewer than WORDS words take part."""
-    pattern = ANY if short else LONG
-    lines = distinct_lines(docs, id_col, text_col, pattern)
-    places = written(lines.select("id", "ln"), "places")
-    kept = places.join(later_matches(lines), ["id", "ln"], "left_anti").groupBy("id").agg(F.collect_list("ln").alias("__kept"))
-    joined = docs.join(kept.withColumnRenamed("id", "__id"), F.col(id_col) == F.col("__id"), "left").drop("__id")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-
-    def marked(parts: Column) -> Column:
-        """(number, line, whether it goes) of each line: marks of kept lines are sorted in behind the lines."""
-        at = F.transform(parts, lambda x, i: F.struct(i.alias("i"), F.lit(0).alias("mark"), x.alias("x")))
-        marks = F.transform(F.coalesce("__kept", F.array().cast("array<int>")), lambda i: F.struct(i.alias("i"), F.lit(1).alias("mark"), F.lit("").alias("x")))
-        flagged = let(F.array_sort(F.concat(at, marks)), lambda s: F.transform(s, lambda e, j: F.struct(e["i"].alias("i"), e["x"].alias("x"), e["mark"].alias("mark"), (F.coalesce(F.get(s, j + 1)["mark"], F.lit(0)) == 0).alias("goes"))))
-        return F.transform(F.filter(flagged, lambda e: e["mark"] == 0), lambda e: F.struct(e["i"].alias("i"), e["x"].alias("x"), (e["goes"] & e["x"].rlike(pattern)).alias("goes")))
-
-    state = F.when(F.col(id_col).isNull(), F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x"), F.lit(False).alias("goes")))).otherwise(marked(F.split(text, "\n")))
-    out = joined.withColumn("__lines", state)
-    removed = F.transform(F.filter("__lines", lambda e: e["goes"]), lambda e: e["i"])
-    left = F.array_join(F.transform(F.filter("__lines", lambda e: ~e["goes"]), lambda e: e["x"]), "\n")
-    changed = out.withColumn("__n_lines", F.size("__lines")).withColumn("__removed", removed).withColumn(text_col, F.when(F.col(text_col).isNotNull() & (F.size("__removed") > 0), left).otherwise(F.col(text_col)))
-    return changed.select(*docs.columns, "__n_lines", "__removed")
+    lines = Lines(docs, id_col, text_col, ANY if short else LONG, Places.over(docs, id_col, text_col))
+    with scratch() as held:
+        posts = posted(lines)
+        gone = later_matches(lines, posts)
+        first = posts.select("p").join(gone, "p", "left_anti").select(*lines.places.split("p"))
+        kept = written(first.groupBy("id").agg(F.collect_list("ln").alias("kept")), "kept")
+        held.keep(kept)
+    others = [c for c in docs.columns if c not in ("__n_lines", "__removed")]
+    rows = docs.select(F.struct(*(c for c in others if c != text_col)).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    parts = F.split(F.coalesce("text", F.lit("")), "\n")
+    joined = rows.join(kept.hint("shuffle_hash"), "id", "left").select("row", "id", "text", F.coalesce("kept", F.array().cast("array<int>")).alias("kept"), parts.alias("parts"))
+    taking = F.filter(F.sequence(F.lit(0), F.size("parts") - 1), lambda i: F.get("parts", i).rlike(lines.pattern))
+    removed = F.when(F.col("id").isNull(), F.array().cast("array<int>")).otherwise(F.array_except(taking, "kept"))
+    found = joined.select("row", "text", "parts", removed.alias("removed"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "removed")
+    less = F.array_join(F.transform(stay, lambda i: F.get("parts", i)), "\n")
+    text = F.when(F.col("text").isNotNull() & (F.size("removed") > 0), less).otherwise(F.col("text"))
+    return found.select(*(text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in others), F.size("parts").alias("__n_lines"), F.col("removed").alias("__removed"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

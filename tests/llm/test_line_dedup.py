@@ -61,10 +61,48 @@ def test_equals_brute_force(spark):
 
 
 def test_frequency_classes_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(D, "rarity", lambda lines: [i % 5 for i in range(1 << D.RARITY_BITS)])
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(D, "frequent", lambda posts: [int.from_bytes(rng.integers(0, 8, 16).astype(np.uint8).tobytes(), "big") % 16 if i % 3 else int("".join(map(str, rng.integers(0, 8, 16))), 16) for i in range(1 << (D.SLOT_BITS - 4))])
     check(spark, corpus(3))
 
 
+def test_frequent_tokens_come_last(spark, monkeypatch):
+    monkeypatch.setattr(D, "FREQUENT", 2)
+    check(spark, corpus(5))
+
+
+def test_rounds_and_struct_places_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(D, "FEW", 0)
+    monkeypatch.setattr(D, "ROUNDS", 3)
+    monkeypatch.setattr(D.Places, "over", classmethod(lambda cls, docs, id_col, text_col: cls("bigint")))
+    check(spark, corpus(6))
+
+
+def test_any_id_kind(spark):
+    line = "one two three four five six"
+    docs = spark.createDataFrame([("b", line), ("a", f"x\n{line}"), (None, line)], "doc_id string, text string")
+    assert {r.doc_id: list(r["__removed"]) for r in D.dedup_lines(docs).collect()} == {"a": [], "b": [0], None: []}
+    far = spark.createDataFrame([(2**63 - 1, line), (-(2**63), f"x\n{line}")], "doc_id long, text string")
+    assert {r.doc_id: list(r["__removed"]) for r in D.dedup_lines(far).collect()} == {-(2**63): [], 2**63 - 1: [0]}
+
+
+def test_very_long_words(spark):
+    import time
+
+    word = "Aa0+" * 250_000
+    rows = [(1, word), (2, f"{word} b\n{word} b c d e"), (3, f" {word} b c d  e\n" + "a b c d e " * 10)]
+    began = time.time()
+    got = {r.doc_id: list(r["__removed"]) for r in D.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), short=True).collect()}
+    assert got == {1: [], 2: [], 3: [0]} and time.time() - began < 60
+
+
+def test_clashing_columns(spark):
+    line = "one two three four five six"
+    docs = spark.createDataFrame([(1, line, 7, "x", "y"), (2, line, 8, "x", "y")], "doc_id long, text string, __kept int, id string, __n_lines string")
+    got = {r.doc_id: (r.text, r["__kept"], r.id, r["__n_lines"]) for r in D.dedup_lines(docs).collect()}
+    assert got == {1: (line, 7, "x", 1), 2: ("", 8, "x", 1)}
+
+
 def test_repeated_rows_null_ids_and_empty_table(spark):
     line = "one two three four five six"
     rows = [(4, f"{line}\nx"), (4, f"{line}\nx"), (5, line), (None, line)]
