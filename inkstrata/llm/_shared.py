@@ -97,3 +97,39 @@ def among(df: DataFrame, members: DataFrame, keys: list[str], bits: int = 20) ->
         words[r["word"]] = r["bits"]
     held = F.get(constant_table(words), F.shiftright(slot, 6))
     return df.filter(F.call_function("getbit", held, slot.bitwiseAND(F.lit(63))) == 1)
+
+
+#: Frequent values: at most TOP, known by 2**SLOT_BITS slots of their leading bits, 16 a word; those that are not
+#: counted one by one are seen by a sketch of SKETCH counters. All fixed sizes.
+TOP, SLOT_BITS, SKETCH = 2048, 19, 1 << 16
+CLASSES = 7
+#: Sketches of tasks are merged in so many groups, then those into one.
+GROUPS = 64
+
+
+def slots(found: list, bits: int, least: int) -> list[int] | None:
+    """A class of frequency for every slot of hashes of so many bits: 0 but for those of the (hash, count) rows found; None
+    without any."""
+    words = [0] * (1 << (SLOT_BITS - 4))
+    for value, count in found:
+        slot = (value & ((1 << bits) - 1)) >> (bits - SLOT_BITS)
+        shift = 4 * (slot & 15)
+        held = words[slot >> 4] >> shift & 15
+        words[slot >> 4] += (max(held, min(CLASSES, (count // least).bit_length())) - held) << shift
+    return words if found else None
+
+
+def frequent_slots(values: DataFrame, bits: int, least: int) -> list[int] | None:
+    """slots() of the most frequent values (one column of hashes), of those that occur least times or more, by a
+    frequent-items sketch over all."""
+    (name,) = values.columns
+    by_task = values.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g")).agg(F.expr(f"approx_top_k_accumulate(`{name}`, {SKETCH})").alias("s"))
+    merged = by_task.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(s, {SKETCH})").alias("s"))
+    rows = merged.select(F.expr(f"inline(approx_top_k_estimate(s, {TOP}))")).collect()
+    return slots([(r["item"], r["count"]) for r in rows if r["item"] is not None and r["count"] >= least], bits, least)
+
+
+def slot_class(value: Column, bits: int, words: Column) -> Column:
+    """The class of a hash in the words of frequent_slots(), given as a constant_table()."""
+    slot = F.shiftrightunsigned(value, bits - SLOT_BITS).cast("int")
+    return F.call_function("shiftright", F.get(words, F.shiftright(slot, 4)), slot.bitwiseAND(F.lit(15)) * 4).bitwiseAND(F.lit(15))

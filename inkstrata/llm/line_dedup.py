@@ -3,16 +3,15 @@
 A line's tokens are its distinct five-word shingles, as 64-bit hashes of its words' hashes. Equal lines collapse to
 their first place (document id, then line number). Distinct lines are joined exactly at a Jaccard similarity of 0.8:
 
-1. Texts are read once. A line becomes its digest, its size and its prefix: the first tokens in one global order.
-   That order is by rarity: tokens that are frequent come last, by class of frequency, all others by hash. Which
-   tokens are frequent is seen in the postings of a first order, by hash alone: a frequent-items sketch over all of
-   them names at most TOP tokens, and lines whose prefix holds one are posted again in the order that ranks these
-   last. No other line's prefix can change.
-2. Tokens that two lines or more are posted under keep their postings. Every line is first tried against the
-   earliest line of each of its tokens alone (length filter, positional filter, then the sets), and in further
-   rounds against the earliest line not yet tried, as long as pairs would outnumber postings; only then do the lines
-   left meet all earlier ones under their tokens. Groups of near copies never meet pair by pair.
-3. Sets are computed for the lines of candidate pairs alone, from the texts, and never travel otherwise.
+1. A line becomes its digest, its size and its prefix: the first tokens in one global order. That order is by
+   rarity: tokens that are frequent come last, by class of frequency, all others by hash. Which tokens are frequent is
+   counted over all postings of a first order, by hash alone: the TOP most frequent are ranked last, and the lines whose
+   prefix holds one are posted again. No other line's prefix can change.
+2. Tokens that two lines or more are posted under keep their postings; sets are computed for their lines alone, from the
+   texts, with a sketch of each set (parities of its tokens: sketches never differ by more than the sets do).
+3. Every line is first tried against the earliest line of each of its tokens (length filter, positional filter, sketch,
+   then the sets); where that leaves many, also against the next earliest. The lines left meet all earlier ones under
+   their tokens, in blocks: groups of near copies never meet pair by pair, and no row is made for a pair.
 
 A line with an earlier match goes, wherever it stands; equal lines stay at their first place.
 
@@ -31,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstrata.llm._shared import among, constant_table, drop, scratch, written
+from inkstrata.llm._shared import TOP, among, constant_table, drop, scratch, slot_class, slots, written
 from inkstrata.llm.quality import let
 from inkstrata.session import table
 
@@ -43,20 +42,29 @@ SPACE = r"[\x20\x09-\x0D]+"
 LONG = r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){%d}[^\x20\x09-\x0D]" % (WORDS - 1)
 #: A line of one word at least.
 ANY = r"[^\x20\x09-\x0D]"
-#: A token's hash; three bits above it hold its class of frequency.
-TOKEN_BITS = 60
-CLASSES = 7
-#: Frequent tokens: at most TOP of those that a sketch of SKETCH counters sees in FREQUENT lines or more, known by
-#: 2**SLOT_BITS slots of token hashes, 16 a word. All fixed sizes.
-TOP, SKETCH, FREQUENT, SLOT_BITS = 512, 1 << 16, 64, 18
-#: Sketches of tasks are merged in so many groups, then those into one.
-GROUPS = 64
-#: The full join begins when it has at most so many pairs a shared posting, or after so many rounds.
-FEW, ROUNDS = 4, 8
+#: A token's hash; the bits above it hold its class of frequency. A token of so many lines is frequent.
+TOKEN_BITS, FREQUENT = 60, 32
+#: Lines left meet all others of their tokens, in blocks of so many, when that makes at most so many pairs a shared
+#: posting, or after so many rounds.
+BLOCK, FEW, ROUNDS = 128, 32, 4
 
 
-def line_words(line: Column) -> Column:
-    return F.split(F.btrim(line, F.lit(BLANKS)), SPACE)
+def plain(text: Column) -> Column:
+    """Whether all words of a text stand apart by single blanks or line ends: its lines split at single blanks."""
+    odd = F.lit(False)
+    for x in ("\t", "\x0b", "\f", "\r", "  ", " \n", "\n "):
+        odd |= F.contains(text, F.lit(x))
+    return ~(odd | text.startswith(" ") | text.endswith(" "))
+
+
+def line_words(line: Column, is_plain: Column | None = None) -> Column:
+    """A line's words; of a blank line one empty word."""
+    apart = F.split(F.btrim(line, F.lit(BLANKS)), SPACE)
+    return apart if is_plain is None else F.when(is_plain, F.split(line, " ")).otherwise(apart)
+
+
+def takes_part(words: Column, least: int) -> Column:
+    return (F.size(words) >= least) & (words[0] != "")
 
 
 def tokens_of(words: Column) -> Column:
@@ -103,48 +111,37 @@ class Places:
 
 @dataclass(frozen=True)
 class Lines:
-    """The lines of a table of texts that match a pattern."""
+    """The lines of a table of texts that have so many words at least."""
 
     docs: DataFrame
     id_col: str
     text_col: str
-    pattern: str
+    least: int
     places: Places
 
     def each(self) -> DataFrame:
-        """p, line."""
-        lines = self.docs.filter(F.col(self.id_col).isNotNull()).select(F.col(self.id_col).alias("id"), F.posexplode(F.split(self.text_col, "\n")).alias("ln", "line"))
-        return lines.filter(F.col("line").rlike(self.pattern)).select(self.places.at(F.col("id"), F.col("ln")).alias("p"), "line")
+        """p, line, words."""
+        texts = self.docs.filter(F.col(self.id_col).isNotNull()).select(F.col(self.id_col).alias("id"), F.col(self.text_col).alias("text"), plain(F.col(self.text_col)).alias("plain"))
+        lines = texts.select("id", "plain", F.posexplode(F.split("text", "\n")).alias("ln", "line"))
+        found = lines.select(self.places.at(F.col("id"), F.col("ln")).alias("p"), "line", line_words(F.col("line"), F.col("plain")).alias("words"))
+        return found.filter(takes_part(F.col("words"), self.least))
 
     def chosen(self, places: DataFrame) -> DataFrame:
-        """p, line of the places given: the texts that hold one travel once, their other lines stay behind."""
+        """p, words of the places given: the texts that hold one travel once, their other lines stay behind."""
         wanted = places.select(*self.places.split("p")).distinct().groupBy("id").agg(F.collect_list("ln").alias("lns"))
         texts = self.docs.filter(F.col(self.id_col).isNotNull()).select(F.col(self.id_col).alias("id"), F.col(self.text_col).alias("text"))
         held = among(texts, wanted, ["id"]).join(wanted.hint("shuffle_hash"), "id").select("id", "lns", F.split("text", "\n").alias("parts"))
         each = held.select("id", F.explode(F.transform("lns", lambda i: F.struct(i.alias("ln"), F.get("parts", i).alias("line")))).alias("x"))
-        return each.filter(F.col("x.line").rlike(self.pattern)).select(self.places.at(F.col("id"), F.col("x.ln")).alias("p"), F.col("x.line").alias("line"))
-
-
-def frequent(posts: DataFrame) -> list[int] | None:
-    """A class of frequency for every slot of token hashes, 16 a word: 0 but for the most frequent tokens; None if there are none."""
-    exploded = posts.select(F.explode("prefix").alias("t"))
-    by_task = exploded.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g")).agg(F.expr(f"approx_top_k_accumulate(t, {SKETCH})").alias("s"))
-    merged = by_task.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(s, {SKETCH})").alias("s"))
-    found = [r for r in merged.select(F.expr(f"inline(approx_top_k_estimate(s, {TOP}))")).collect() if r["count"] >= FREQUENT]
-    if not found:
-        return None
-    words = [0] * (1 << (SLOT_BITS - 4))
-    for r in found:
-        slot, value = r["item"] >> (TOKEN_BITS - SLOT_BITS), min(CLASSES, (r["count"] // FREQUENT).bit_length())
-        shift = 4 * (slot & 15)
-        held = words[slot >> 4] >> shift & 15
-        words[slot >> 4] += (max(held, value) - held) << shift
-    return words
+        found = each.select(self.places.at(F.col("id"), F.col("x.ln")).alias("p"), line_words(F.col("x.line")).alias("words"))
+        return found.filter(takes_part(F.col("words"), self.least))
 
 
 def _class(t: Column, words: Column) -> Column:
-    slot = F.shiftrightunsigned(t, TOKEN_BITS - SLOT_BITS).cast("int")
-    return F.call_function("shiftright", F.get(words, F.shiftright(slot, 4)), slot.bitwiseAND(F.lit(15)) * 4).bitwiseAND(F.lit(15))
+    return slot_class(t, TOKEN_BITS, words)
+
+
+def postings_of(posts: DataFrame) -> DataFrame:
+    return posts.select("p", "n", F.posexplode("prefix").alias("i", "t"))
 
 
 def prefix_of(tokens: Column) -> Column:
@@ -153,20 +150,26 @@ def prefix_of(tokens: Column) -> Column:
     return let(F.sort_array(tokens), lambda s: F.struct(F.size(s).alias("n"), F.slice(s, 1, length(F.size(s))).alias("prefix")))
 
 
-def posted(lines: Lines) -> DataFrame:
-    """p, n and prefix of each distinct line, written; no line of a lower class of frequency is in front of a higher one's."""
-    seen = lines.each().select(F.xxhash64("line").alias("k"), F.xxhash64(F.lit(1), "line").alias("k2"), "p", prefix_of(tokens_of(line_words(F.col("line")))).alias("x"))
+def posted(lines: Lines) -> tuple[DataFrame, DataFrame]:
+    """p, n and prefix of each distinct line, and t, the tokens that may have two lines or more, both written.
+
+    The first order is by hash. The tokens of most lines in it, counted over all postings, become the last of the
+    order that holds, by class of frequency, and the lines that have one in their prefix are posted again.
+    """
+    seen = lines.each().select(F.xxhash64("line").alias("k"), F.xxhash64(F.lit(1), "line").alias("k2"), "p", prefix_of(tokens_of(F.col("words"))).alias("x"))
     first = written(seen.groupBy("k", "k2").agg(F.min("p").alias("p"), F.first("x").alias("x")).select("p", "x.n", "x.prefix"), "posts")
-    classes = frequent(first)
+    common = written(postings_of(first).groupBy("t").agg(F.count("*").alias("c")).filter("c > 1"), "common")
+    classes = slots(common.filter(F.col("c") >= FREQUENT).orderBy(F.desc("c"), "t").limit(TOP).collect(), TOKEN_BITS, FREQUENT)
     if classes is None:
-        return first
+        return first, common.select("t")
     known = constant_table(classes)
     again = F.exists("prefix", lambda t: _class(t, known) > 0)
-    tokens = F.transform(tokens_of(line_words(F.col("line"))), lambda t: F.shiftleft(_class(t, known), TOKEN_BITS).bitwiseOR(t))
-    late = lines.chosen(first.filter(again).select("p")).select("p", prefix_of(tokens).alias("x")).groupBy("p").agg(F.max("x").alias("x")).select("p", "x.n", "x.prefix")
-    out = written(first.filter(~again).unionByName(late), "posts")
+    tokens = F.transform(tokens_of(F.col("words")), lambda t: F.shiftleft(_class(t, known), TOKEN_BITS).bitwiseOR(t))
+    found = lines.chosen(first.filter(again).select("p")).select("p", prefix_of(tokens).alias("x"))
+    late = written(found.groupBy("p").agg(F.max("x").alias("x")).select("p", "x.n", "x.prefix"), "late")
+    posts = written(first.filter(~again).unionByName(late), "posts")
     drop(first)
-    return out
+    return posts, common.select("t").unionByName(late.select(F.explode("prefix").alias("t"))).distinct()
 
 
 def _may_match(n: Column, i: Column, m: Column, j: Column) -> Column:
@@ -175,60 +178,99 @@ def _may_match(n: Column, i: Column, m: Column, j: Column) -> Column:
     return like & (F.least(n - i, m - j) * (NUM + DEN) >= NUM * (n + m))
 
 
-def shared_postings(posts: DataFrame) -> DataFrame:
-    """t, p, n, i of postings under tokens that two lines or more have, written. Tokens are counted before anything
-    else travels, so that a token of very many lines is a skewed join's stream, never one task's group."""
-    each = posts.select("p", "n", F.posexplode("prefix").alias("i", "t"))
-    common = each.groupBy("t").count().filter("count > 1").select("t")
-    return written(each.join(common.hint("shuffle_hash"), "t").select("t", "p", "n", "i"), "postings")
+def shared_postings(posts: DataFrame, common: DataFrame) -> DataFrame:
+    """t, p, n, i, and c, the lines of t, of postings under tokens that two lines or more have, written. Tokens were
+    counted before anything else travels: a token of very many lines is a skewed join's stream, never one task's group."""
+    held = written(postings_of(posts).join(common.hint("shuffle_hash"), "t").select("t", "p", "n", "i"), "postings")
+    counts = held.groupBy("t").agg(F.count("*").alias("c")).filter("c > 1")
+    return written(held.join(counts.hint("shuffle_hash"), "t"), "postings")
+
 
+#: A set's sketch: the parity of its tokens in 64 * SKETCH_WORDS places. Two sketches differ in no more places than the sets do.
+SKETCH_WORDS = 8
+SKETCH_OF = [f"s{q}" for q in range(SKETCH_WORDS)]
 
-def _matched(lines: Lines, pairs: DataFrame) -> DataFrame:
-    """p of the pairs (p, a) that reach the similarity, written. Sets are computed from the texts, of these lines alone."""
-    places = pairs.select("p").unionByName(pairs.select(F.col("a").alias("p")))
-    sets = lines.chosen(places).select("p", tokens_of(line_words(F.col("line"))).alias("x"))
-    sets = written(sets.groupBy("p").agg(F.max("x").alias("x")), "sets")
+
+def sketches(sets: DataFrame) -> DataFrame:
+    """p, s0, s1, ... of each set (p, x)."""
+    token = F.col("t")
+    place = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(token, 3).bitwiseAND(F.lit(63)).cast("int"))
+    parity = [F.bit_xor(F.when(token.bitwiseAND(F.lit(SKETCH_WORDS - 1)) == q, place).otherwise(F.lit(0).cast("long"))).alias(name) for q, name in enumerate(SKETCH_OF)]
+    return sets.select("p", F.explode("x").alias("t")).groupBy("p").agg(*parity)
+
+
+def _near(n: Column, m: Column, mine: list[Column], other: list[Column]) -> Column:
+    """Whether sketches leave it open that sets of n and m reach the similarity."""
+    differ = F.lit(0)
+    for x, y in zip(mine, other):
+        differ += F.bit_count(x.bitwiseXOR(y))
+    return differ * (NUM + DEN) <= (n + m) * (DEN - NUM)
+
+
+def _matched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """p of the pairs (p, a) that reach the similarity, written."""
     both = pairs.join(sets, "p").join(sets.select(F.col("p").alias("a"), F.col("x").alias("y")), "a")
     shared = both.select("p", (F.size("x") + F.size("y")).alias("n"), F.size(F.array_intersect("x", "y")).alias("both"))
-    out = written(shared.filter(F.col("both") * DEN >= (F.col("n") - F.col("both")) * NUM).select("p").distinct(), "gone")
-    drop(sets)
-    return out
+    return written(shared.filter(F.col("both") * DEN >= (F.col("n") - F.col("both")) * NUM).select("p").distinct(), "gone")
 
 
-def later_matches(lines: Lines, posts: DataFrame) -> DataFrame:
+def later_matches(lines: Lines, posts: DataFrame, common: DataFrame) -> DataFrame:
     """p of each distinct line that an earlier distinct line matches, written."""
-    postings = shared_postings(posts)
-    earlier = postings.select("t", F.col("p").alias("a"), F.col("n").alias("m"), F.col("i").alias("j"))
+    postings = shared_postings(posts, common)
+    found = lines.chosen(postings.select("p")).select("p", tokens_of(F.col("words")).alias("x"))
+    sets = written(found.groupBy("p").agg(F.max("x").alias("x")), "sets")
+    drawn = written(sketches(sets), "sketches")
+    theirs = drawn.select(F.col("p").alias("a"), *(F.col(c).alias(f"a_{c}") for c in SKETCH_OF))
     fits = (F.col("a") < F.col("p")) & _may_match(F.col("n"), F.col("i"), F.col("m"), F.col("j"))
-    load = postings.groupBy("t").agg(F.count("*").alias("every"))
-    left, hubs, tried, gone = postings, None, [], []
+    near = _near(F.col("n"), F.col("m"), [F.col(c) for c in SKETCH_OF], [F.col(f"a_{c}") for c in SKETCH_OF])
+    n_postings = postings.count()
+    left, hubs, gone = postings, None, None
     for _ in range(ROUNDS):
         # each token's earliest line that is left and was not a hub meets the others: those that go need no more search
         free = left if hubs is None else left.join(hubs.select("t", F.col("a").alias("last")), "t").filter("p > last")
         hubs = written(free.groupBy("t").agg(F.min("p").alias("a"), F.min_by("n", "p").alias("m"), F.min_by("i", "p").alias("j")), "hubs")
-        tried.append(written(left.join(hubs, "t").filter(fits).select("p", "a").distinct(), "pairs"))
-        gone.append(_matched(lines, tried[-1]))
-        left = written(left.join(gone[-1], "p", "left_anti"), "left")
-        pairs = left.groupBy("t").agg(F.count("*").alias("own")).join(load, "t").agg(F.sum(F.col("own") * F.col("every"))).first()[0]
-        if (pairs or 0) <= FEW * postings.count():
+        tried = left.join(hubs, "t").filter(fits).select("p", "a", "n", "m").distinct()
+        now = _matched(tried.join(drawn, "p").join(theirs, "a").filter(near).select("p", "a"), sets)
+        gone = now if gone is None else written(gone.unionByName(now), "gone")
+        left = written(left.join(now, "p", "left_anti").filter("c > 2"), "left")
+        pairs = left.groupBy("t").agg((F.count("*") * F.max("c")).alias("pairs")).agg(F.sum("pairs")).first()[0]
+        if (pairs or 0) <= FEW * n_postings:
             break
-    pairs = left.join(earlier, "t").filter(fits).select("p", "a").distinct()
-    for t in tried:
-        pairs = pairs.join(t, ["p", "a"], "left_anti")
-    gone.append(_matched(lines, written(pairs, "pairs")))
-    out = gone[0]
-    for g in gone[1:]:
-        out = out.unionByName(g)
-    return written(out.distinct(), "gone")
+    hits = written(left.transform(lambda x: partners(x, postings, drawn)), "hits")
+    # nearly all that sketches leave open match: a line's earliest partner first, the others of those that it does not match
+    early = hits.groupBy("p").agg(F.min(F.array_min("partners")).alias("a"))
+    now = _matched(early, sets)
+    gone = written(gone.unionByName(now), "gone")
+    others = hits.join(now, "p", "left_anti").select("p", F.explode("partners").alias("a")).distinct()
+    return written(gone.unionByName(_matched(others, sets)).distinct(), "gone")
+
+
+def partners(left: DataFrame, postings: DataFrame, drawn: DataFrame) -> DataFrame:
+    """p and its earlier lines that filters and sketches leave open, by token, as an array; rows of none are left out. The
+    lines of a token come in blocks: no row is made for a pair."""
+    blocks = F.ceil(F.col("c") / F.lit(BLOCK)).cast("long")
+    entry = F.struct("p", "n", "i", *SKETCH_OF)
+    asked = left.select("t").distinct()
+    every = postings.join(asked, "t", "left_semi").join(drawn, "p").select("t", F.pmod(F.xxhash64("p"), blocks).alias("b"), entry.alias("e"))
+    held = every.groupBy("t", "b").agg(F.collect_list("e").alias("block"), F.min("e.p").alias("least"))
+    each = left.select("t", "p", "n", "i").join(drawn, "p").join(held, "t").filter("least < p")
+
+    def open_to(e: Column) -> Column:
+        fits = (e["p"] < F.col("p")) & _may_match(F.col("n"), F.col("i"), e["n"], e["i"])
+        return F.when(fits, _near(F.col("n"), e["n"], [F.col(c) for c in SKETCH_OF], [e[c] for c in SKETCH_OF])).otherwise(False)
+
+    found = each.select("p", F.transform(F.filter("block", open_to), lambda e: e["p"]).alias("partners"))
+    return found.filter(F.size("partners") > 0)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
     """docs with text_col less the lines that go, and __n_lines, __removed (their numbers, from 0); short: lines of
     fewer than WORDS words take part."""
-    lines = Lines(docs, id_col, text_col, ANY if short else LONG, Places.over(docs, id_col, text_col))
+    lines = Lines(docs, id_col, text_col, 1 if short else WORDS, Places.over(docs, id_col, text_col))
+    pattern = ANY if short else LONG
     with scratch() as held:
-        posts = posted(lines)
-        gone = later_matches(lines, posts)
+        posts, common = posted(lines)
+        gone = later_matches(lines, posts, common)
         first = posts.select("p").join(gone, "p", "left_anti").select(*lines.places.split("p"))
         kept = written(first.groupBy("id").agg(F.collect_list("ln").alias("kept")), "kept")
         held.keep(kept)
@@ -236,7 +278,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.struct(*(c for c in others if c != text_col)).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     parts = F.split(F.coalesce("text", F.lit("")), "\n")
     joined = rows.join(kept.hint("shuffle_hash"), "id", "left").select("row", "id", "text", F.coalesce("kept", F.array().cast("array<int>")).alias("kept"), parts.alias("parts"))
-    taking = F.filter(F.sequence(F.lit(0), F.size("parts") - 1), lambda i: F.get("parts", i).rlike(lines.pattern))
+    taking = F.filter(F.sequence(F.lit(0), F.size("parts") - 1), lambda i: F.get("parts", i).rlike(pattern))
     removed = F.when(F.col("id").isNull(), F.array().cast("array<int>")).otherwise(F.array_except(taking, "kept"))
     found = joined.select("row", "text", "parts", removed.alias("removed"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "removed")

@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 
+from inkstrata.llm import _shared as S
 from inkstrata.llm import line_dedup as D
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -62,15 +63,27 @@ def test_equals_brute_force(spark):
 
 def test_frequency_classes_change_nothing(spark, monkeypatch):
     rng = np.random.default_rng(4)
-    monkeypatch.setattr(D, "frequent", lambda posts: [int.from_bytes(rng.integers(0, 8, 16).astype(np.uint8).tobytes(), "big") % 16 if i % 3 else int("".join(map(str, rng.integers(0, 8, 16))), 16) for i in range(1 << (D.SLOT_BITS - 4))])
+    monkeypatch.setattr(D, "slots", lambda *found: [int("".join(map(str, rng.integers(0, 8, 16))), 16) for _ in range(1 << (S.SLOT_BITS - 4))])
     check(spark, corpus(3))
 
 
 def test_frequent_tokens_come_last(spark, monkeypatch):
     monkeypatch.setattr(D, "FREQUENT", 2)
+    monkeypatch.setattr(D, "BLOCK", 3)
     check(spark, corpus(5))
 
 
+def test_sketches_lose_no_match(spark):
+    rng = np.random.default_rng(8)
+    sets = [rng.integers(0, 2**60, int(rng.integers(1, 300))).tolist() for _ in range(30)]
+    sets += [x[: len(x) - len(x) // 5] + rng.integers(0, 2**60, len(x) // 9).tolist() for x in sets]
+    rows = {r.p: [r[c] for c in D.SKETCH_OF] for r in D.sketches(spark.createDataFrame(list(enumerate(sets)), "p long, x array<long>")).collect()}
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            differ = sum(bin((a ^ b) & (2**64 - 1)).count("1") for a, b in zip(rows[i], rows[j]))
+            assert differ <= len(set(x) ^ set(y))
+
+
 def test_rounds_and_struct_places_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(D, "FEW", 0)
     monkeypatch.setattr(D, "ROUNDS", 3)
