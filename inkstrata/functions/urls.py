@@ -19,6 +19,11 @@ def is_http_url(url: Column) -> Column:
     return F.coalesce(url.rlike(r"(?i)^https?://[^/?#]+"), F.lit(False))
 
 
+def is_pdf(url: str) -> bool:
+    """The rule of is_pdf_link for one address, where links are read one by one."""
+    return url.lower().endswith(".pdf") or "/pdf/" in url.lower()
+
+
 def is_pdf_link(url: Column) -> Column:
     low = F.lower(url)
     return low.endswith(".pdf") | low.contains("/pdf/")

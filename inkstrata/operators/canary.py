@@ -36,3 +36,18 @@ def alerts(metrics: DataFrame, failed_commands: int = 0, rollback_ok: bool = Tru
     ))
     warning = F.array_compact(F.array(F.when(F.col("robots_blocks").between(1, max_robots), "robots blocks")))
     return metrics.withColumn("critical", critical).withColumn("warning", warning).withColumn("exit_code", F.when(F.size("critical") > 0, 2).otherwise(0))
+
+
+def report(judged: DataFrame, now: str, sources: DataFrame, commands: DataFrame, rollback_ok: bool | None = None, rollback_run: str | None = None, max_error_rate: float = MAX_ERROR_RATE, max_robots: int = MAX_ROBOTS_BLOCKS) -> DataFrame:
+    """The canary's report as one JSON text, of the row of alerts() and the tables of sources and of commands that ran
+    (name, run_id, returncode): both are lists that an operator wrote, tens of rows."""
+
+    def listed(rows: DataFrame, name: str) -> DataFrame:
+        return rows.agg(F.array_sort(F.collect_list(F.struct(*rows.columns))).alias(name))
+
+    held = judged.crossJoin(listed(sources, "sources")).crossJoin(listed(commands, "commands"))  # one row by one row
+    metrics = F.struct(F.col("fetched").alias("total_fetched"), F.col("errors").alias("total_errors"), "error_rate", F.col("cli_errors").alias("cli_error_count"), F.col("pipeline_errors").alias("pipeline_error_count"), F.col("robots_blocks").alias("blocked_by_robots_count"), F.col("missing_run_ids").alias("missing_run_id_count"))
+    check = F.struct(F.lit(rollback_ok is not None).alias("checked"), F.lit(rollback_run).cast("string").alias("target_run_id"), F.lit(rollback_ok).cast("boolean").alias("ok"))
+    limits = F.struct(F.lit(max_error_rate).alias("error_rate_fail_threshold"), F.lit(max_robots).alias("blocked_by_robots_fail_threshold"))
+    parts = F.struct(F.lit(now).alias("generated_at"), "sources", metrics.alias("metrics"), check.alias("rollback_check"), limits.alias("thresholds"), F.struct("critical", "warning").alias("alerts"), "commands")
+    return held.select(F.to_json(parts, {"ignoreNullFields": "false"}).alias("value"), "exit_code")

@@ -44,7 +44,7 @@ def extract(parsed: DataFrame, source_id: str, run_id: str, now: str) -> DataFra
     ld = lambda path: _filled(F.get_json_object("__block", path))
     authors = F.when(F.col("__block").isNotNull(), _names(F.get_json_object("__block", "$.author")))
     (title, title_key), (author, author_key), (date, date_key) = meta(TITLE_KEYS), meta(AUTHOR_KEYS), meta(DATE_KEYS)
-    headline = F.coalesce(F.get_json_object("__block", "$.headline"), F.get_json_object("__block", "$.name"))
+    headline = F.coalesce(*(F.when(x != "", x) for x in (F.get_json_object("__block", "$.headline"), F.get_json_object("__block", "$.name"))))
 
     def candidate(value: Column, kind: str, method: Column, text: Column | None = None) -> Column:
         shown = value if text is None else text

@@ -13,7 +13,10 @@ from pyspark.sql.types import BooleanType
 from inkstrata.functions.urls import scheme_allowed
 
 #: Limits of body sizes, seconds between requests, redirects, networks that are never fetched.
-BODY_LIMITS = {"text/html": 5_000_000, "application/json": 2_000_000}
+BODY_LIMITS = {
+    "text/html": 5_000_000, "application/xml": 5_000_000, "text/xml": 5_000_000, "application/atom+xml": 5_000_000, "application/rss+xml": 5_000_000,
+    "application/json": 2_000_000, "text/plain": 2_000_000, "application/pdf": 0, "application/x-pdf": 0,
+}
 DEFAULT_BODY_LIMIT = 500_000
 DOMAIN_GAP = 5.0
 MAX_REDIRECTS = 5
@@ -26,8 +29,8 @@ ROBOTS_TTL = {"parsed": 3600, "missing": 14_400, "error": 900, "other": 3600}
 
 def body_limit(content_type: Column) -> Column:
     kind = F.lower(F.trim(F.split_part(F.coalesce(content_type, F.lit("")), F.lit(";"), F.lit(1))))
-    out = F.when(kind == "text/html", BODY_LIMITS["text/html"]).when(kind == "application/json", BODY_LIMITS["application/json"])
-    return out.otherwise(DEFAULT_BODY_LIMIT)
+    by_limit = {n: [k for k, v in BODY_LIMITS.items() if v == n] for n in BODY_LIMITS.values()}
+    return F.coalesce(*(F.when(kind.isin(*kinds), n) for n, kinds in by_limit.items()), F.lit(DEFAULT_BODY_LIMIT))
 
 
 def too_large(body: Column, limit: Column) -> Column:
@@ -41,10 +44,34 @@ def ip_number(ip: Column) -> Column:
     return F.aggregate(sized, F.lit(0).cast("bigint"), lambda a, p: a * 256 + p)
 
 
-def blocked_ranges(spark: SparkSession, networks=BLOCKED_NETWORKS) -> DataFrame:
-    """lo and hi of the IPv4 networks."""
+def ip6_groups(ip: Column) -> Column:
+    """An IPv6 address as its eight 16-bit groups, null for anything else; a zone is no part of it."""
+    low = F.lower(F.split_part(ip, F.lit("%"), F.lit(1)))
+    quad = ip_number(F.regexp_extract(low, r"(\d+\.\d+\.\d+\.\d+)$", 1))
+    plain = F.when(quad.isNull(), low).otherwise(F.concat(F.regexp_replace(low, r"\d+\.\d+\.\d+\.\d+$", ""), F.hex(F.shiftright(quad, 16)), F.lit(":"), F.hex(quad.bitwiseAND(F.lit(65535)))))
+    sides = F.split(plain, "::")
+    groups = F.transform(sides, lambda x: F.filter(F.split(x, ":"), lambda g: g != ""))
+    n = F.size(F.flatten(groups))
+    full = F.when(F.size(sides) == 1, F.when(n == 8, groups[0])).when(F.size(sides) == 2, F.when(n < 8, F.concat(groups[0], F.array_repeat(F.lit("0"), 8 - n), F.get(groups, 1))))
+    shaped = F.lower(plain).rlike("^(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4})*)?(?:::(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4})*)?)?$") & plain.contains(":")
+    return F.when(shaped, F.transform(full, lambda g: F.conv(g, 16, 10).cast("int")))
+
+
+def blocked_ip(ip: Column, networks=BLOCKED_NETWORKS) -> Column:
+    """Whether an address, of either version, is in one of the networks: a predicate on constants, no join. What is no
+    address is not."""
     nets = [ipaddress.ip_network(n, strict=False) for n in networks]
-    return spark.createDataFrame([(str(n), int(n.network_address), int(n.broadcast_address)) for n in nets if n.version == 4], "network string, lo bigint, hi bigint")
+    number, groups = ip_number(ip), ip6_groups(ip)
+    four = [number.between(int(n.network_address), int(n.broadcast_address)) for n in nets if n.version == 4]
+
+    def six(net) -> Column:
+        out = groups.isNotNull()
+        lo, hi = (int(a).to_bytes(16, "big") for a in (net.network_address, net.broadcast_address))
+        for i in range(-(-net.prefixlen // 16)):  # the groups that the prefix reaches
+            out &= F.get(groups, i).between(int.from_bytes(lo[2 * i : 2 * i + 2]), int.from_bytes(hi[2 * i : 2 * i + 2]))
+        return out
+
+    return F.coalesce(*(F.when(hit, F.lit(True)) for hit in [*four, *(six(n) for n in nets if n.version == 6)]), F.lit(False))
 
 
 @F.pandas_udf(BooleanType())
@@ -62,10 +89,9 @@ def blocked_address(ips: pd.Series) -> pd.Series:
     return ips.map(one)
 
 
-def block_ips(rows: DataFrame, ip: str, ranges: DataFrame) -> DataFrame:
-    """rows with blocked: a range join with a table of fixed size."""
-    hit = rows.withColumn("__n", ip_number(F.col(ip))).join(F.broadcast(ranges), F.col("__n").between(F.col("lo"), F.col("hi")), "left_semi").select("__n").distinct().withColumn("__b", F.lit(True))
-    return rows.withColumn("__n", ip_number(F.col(ip))).join(hit, "__n", "left").withColumn("blocked", F.coalesce("__b", F.lit(False))).drop("__n", "__b")
+def block_ips(rows: DataFrame, ip: str, networks=BLOCKED_NETWORKS) -> DataFrame:
+    """rows with blocked."""
+    return rows.withColumn("blocked", blocked_ip(F.col(ip), networks))
 
 
 def outcome(url: Column, host: Column, ip_blocked: Column, robots_allowed: Column, failure: Column, redirects: Column, body_too_large: Column) -> Column:

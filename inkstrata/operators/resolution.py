@@ -102,7 +102,9 @@ def review_document(found: DataFrame, now: str, min_score: float = MIN_SCORE) ->
 def routed(review: DataFrame) -> DataFrame:
     """review with outcome: accept, reject, hold or invalid."""
     word = F.lower(F.trim(F.coalesce("decision", F.lit(""))))
-    lacks = F.col("id").isNull() | F.col("from_author.id").isNull() | F.col("to_author.id").isNull()
+    ends = [F.coalesce(F.col(f"{c}.id"), F.lit("")) for c in ("from_author", "to_author")]
+    lacks = (ends[0] == "") | (ends[1] == "")
+    review = review.withColumn("id", F.coalesce(F.when(F.col("id") != "", F.col("id")), F.concat_ws(":", *ends)))
     return review.withColumn("outcome", F.when(word == "reject", "reject").when(word.isin("", "hold"), "hold").when((word == "accept") & ~lacks, "accept").otherwise("invalid"))
 
 
@@ -113,10 +115,12 @@ def apply_review(review: DataFrame, authors: DataFrame, decisions: DataFrame, ru
     """
     rows = routed(review)
     taken = rows.filter("outcome = 'accept'")
-    people = taken.select(F.explode(F.array("from_author", "to_author")).alias("a")).select(F.col("a.id").alias("id"), F.col("a.canonical_name").alias("canonical_name"), F.lit("{}").alias("metadata"), F.lit(now).alias("created_at"), F.lit(now).alias("updated_at")).dropDuplicates(["id"])
+    people = taken.select(F.explode(F.array("from_author", "to_author")).alias("a")).select(F.col("a.id").alias("id"), F.coalesce(F.when(F.trim("a.canonical_name") != "", F.trim("a.canonical_name")), F.col("a.id")).alias("canonical_name"), F.lit("{}").alias("metadata"), F.lit(now).alias("created_at"), F.lit(now).alias("updated_at")).dropDuplicates(["id"])
     null = F.lit(None).cast("string")
+    said = [c for c in ("confidence", "score", "scoring_breakdown") if c in review.columns]
+    proof = F.filter("evidence", lambda e: F.coalesce(e, F.lit("")) != "") if "evidence" in review.columns else F.array().cast("array<string>")
     made = taken.select(
-        "id", F.col("from_author.id").alias("from_author_id"), F.col("to_author.id").alias("to_author_id"), F.array().cast("array<string>").alias("evidence_ids"), F.to_json(F.struct("score")).alias("decision_criteria"),
+        "id", F.col("from_author.id").alias("from_author_id"), F.col("to_author.id").alias("to_author_id"), F.coalesce(proof, F.array().cast("array<string>")).alias("evidence_ids"), F.to_json(F.struct(*said), {"ignoreNullFields": "false"}).alias("decision_criteria"),
         F.lit(now).alias("created_at"), F.lit(by).alias("created_by"), F.lit(run_id).alias("run_id"), null.alias("reverted_at"), null.alias("reverted_by"), null.alias("reverted_reason"),
     )
     fresh = insert_new(decisions, made, "id", "from_author_id")

@@ -6,6 +6,7 @@ writer puts into a new directory. Ids follow from natural keys, so that a task t
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,6 +16,7 @@ from inkstrata.functions.ids import content_hash, uuid5
 
 KEY = ["canonical_url", "source_id"]
 CONTENT = ["title", "author_hint", "published_at", "snippet"]
+TABLES = ("articles", "evidence", "versions", "fetch_log", "merge_decisions", "run_log", "authors", "accounts")
 
 
 @dataclass(frozen=True)
@@ -26,6 +28,9 @@ class Store:
     versions: DataFrame
     fetch_log: DataFrame | None = None
     merge_decisions: DataFrame | None = None
+    run_log: DataFrame | None = None
+    authors: DataFrame | None = None
+    accounts: DataFrame | None = None
     counts: dict = field(default_factory=dict)
 
 
@@ -78,9 +83,10 @@ def upsert(store: Store, drafts: DataFrame, run_id: str, now: str) -> Store:
     return replace(store, articles=articles, evidence=kept.unionByName(current), versions=store.versions.unionByName(versions), counts={"changes": counts})
 
 
-def rollback(store: Store, run_id: str) -> Store:
-    """The store without what a run did: its logs, evidence, versions and decisions go; articles that it changed
-    return to their newest version left, with its evidence, or go too. counts: one-row frames by name."""
+def rollback(store: Store, run_id: str, now: str | None = None) -> Store:
+    """The store without what a run did: its fetch log, evidence, versions and decisions go; articles that it changed
+    return to their newest version left, with its evidence, or go too; the run itself is marked as cancelled, ended now
+    where it had no end. counts: one-row frames by name."""
     mine = F.col("run_id") == run_id
     touched = store.versions.filter(mine).select("article_id").distinct()
     left = store.versions.filter(~mine)
@@ -98,12 +104,35 @@ def rollback(store: Store, run_id: str) -> Store:
         "versions_removed": count(store.versions.filter(mine)), "evidence_removed": count(store.evidence.filter(mine)), "articles_reverted": count(restored),
         "articles_deleted": count(touched.join(back, "article_id", "left_anti")), **{f"{n}_removed": count(getattr(store, n).filter(mine)) for n in rest},
     }
+    if store.run_log is not None:
+        rest["run_log"] = cancelled(store.run_log, run_id, now)
     return replace(store, articles=articles, evidence=evidence, versions=left, counts=counts, **rest)
 
 
-def cancelled(run_log: DataFrame, run_id: str, now: str) -> DataFrame:
+def logged(store: Store, **logs: DataFrame) -> Store:
+    """The store with rows added to its logs; a row whose id is there already is not added: a run may be replayed."""
+    from inkstrata.schemas import with_columns_of
+
+    grown = {}
+    for name, rows in logs.items():
+        fresh, old = with_columns_of(rows, name), getattr(store, name)
+        grown[name] = fresh if old is None else old.unionByName(fresh.join(old.select("id"), "id", "left_anti").select(old.columns))
+    return replace(store, **grown)
+
+
+def foreign_key_errors(store: Store) -> dict[str, DataFrame]:
+    """Rows whose reference names nothing: evidence and versions of no article, decisions on no author."""
+    from inkstrata.operators.export import foreign_key_gaps
+
+    out = {name: foreign_key_gaps(getattr(store, name), "article_id", store.articles) for name in ("evidence", "versions")}
+    if store.merge_decisions is not None and store.authors is not None:
+        out |= {f"merge_decisions.{c}": foreign_key_gaps(store.merge_decisions, c, store.authors) for c in ("from_author_id", "to_author_id")}
+    return out
+
+
+def cancelled(run_log: DataFrame, run_id: str, now: str | None) -> DataFrame:
     mine = F.col("id") == run_id
-    return run_log.withColumn("status", F.when(mine, "CANCELLED").otherwise(F.col("status"))).withColumn("ended_at", F.when(mine, F.coalesce("ended_at", F.lit(now))).otherwise(F.col("ended_at")))
+    return run_log.withColumn("status", F.when(mine, "CANCELLED").otherwise(F.col("status"))).withColumn("ended_at", F.when(mine, F.coalesce("ended_at", F.lit(now).cast("string"))).otherwise(F.col("ended_at")))
 
 
 def insert_new(old: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
@@ -118,21 +147,49 @@ def latest_wins(old: DataFrame, new: DataFrame, key: str, order: str, keep: str
     return both.groupBy(key).agg(F.max_by(F.struct(*(c for c in both.columns if c not in (key, keep))), order).alias("r"), F.min(keep).alias(keep)).select(key, "r.*", keep).select(both.columns)
 
 
-def commit(store: Store, folder: str, version: int) -> str:
-    """Write the tables to a directory of their own; only then does the pointer name it: readers see all or nothing."""
-    path = f"{folder}/v{version:08d}"
-    for name in ("articles", "evidence", "versions", "fetch_log", "merge_decisions"):
+def commit(store: Store, folder: str, version: int | None = None, checked: bool = False) -> str:
+    """Write the tables to a directory of their own; only then does the pointer name it: readers see all or nothing.
+
+    version: by default the one after the newest. A version that is written again, by a step that is replayed, goes to
+    a fresh directory, and the pointer's later line counts. checked: rows whose reference names nothing fail the commit.
+    """
+    spark = store.articles.sparkSession
+    if checked:
+        broken = [name for name, gaps in foreign_key_errors(store).items() if not gaps.isEmpty()]
+        if broken:
+            raise ValueError(f"references to nothing in: {', '.join(broken)}")
+    lines = _pointers(spark, folder)
+    if version is None:
+        version = 1 + max((r["version"] for r in lines), default=0)
+    line = 1 + max((r["line"] for r in lines), default=0)
+    path = f"{folder}/v{version:08d}-{uuid.uuid4().hex[:8]}"
+    for name in TABLES:
         if (t := getattr(store, name)) is not None:
             t.write.parquet(f"{path}/{name}")
-    store.articles.sparkSession.createDataFrame([(version, path)], "version long, path string").coalesce(1).write.mode("append").parquet(f"{folder}/_pointer")
+    spark.createDataFrame([(version, line, path)], POINTER).coalesce(1).write.mode("append").parquet(f"{folder}/_pointer")
     return path
 
 
-def load(spark: SparkSession, folder: str) -> Store:
-    path = spark.read.parquet(f"{folder}/_pointer").agg(F.max_by("path", "version")).first()[0]
-    held = {}
-    for name in ("articles", "evidence", "versions", "fetch_log", "merge_decisions"):
-        jp = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-        if jp.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jp):
-            held[name] = spark.read.parquet(f"{path}/{name}")
-    return Store(**held)
+POINTER = "version long, line long, path string"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _pointers(spark: SparkSession, folder: str) -> list:
+    """A line for each commit of the folder: as many as there are versions."""
+    return spark.read.schema(POINTER).parquet(f"{folder}/_pointer").collect() if _exists(spark, f"{folder}/_pointer") else []
+
+
+def load(spark: SparkSession, folder: str, before: int | None = None) -> Store:
+    """The newest version; before: the newest one below that, for a step that is replayed. A folder without any version
+    is an empty store."""
+    from inkstrata.schemas import empty
+
+    lines = [r for r in _pointers(spark, folder) if before is None or r["version"] < before]
+    if not lines:
+        return Store(**{name: empty(spark, name) for name in TABLES})
+    path = max(lines, key=lambda r: (r["version"], r["line"]))["path"]
+    return Store(**{name: spark.read.parquet(f"{path}/{name}") for name in TABLES if _exists(spark, f"{path}/{name}")})

@@ -44,8 +44,9 @@ def recent(rows: DataFrame, at: str, tie: str, limit: int) -> DataFrame:
 
 
 def evidence_of_run(evidence: DataFrame, articles: DataFrame, run_id: str, limit: int = 50) -> DataFrame:
+    """A report: the first claims of a run, by article and claim path; ties by article id."""
     mine = evidence.filter(F.col("run_id") == run_id).select("article_id", "claim_path", "extracted_text")
-    return mine.join(articles.select(F.col("id").alias("article_id"), "canonical_url"), "article_id").orderBy("canonical_url", "claim_path").limit(limit)
+    return mine.join(articles.select(F.col("id").alias("article_id"), "canonical_url"), "article_id").orderBy("canonical_url", "claim_path", "article_id").limit(limit)
 
 
 def run_counters(steps: DataFrame, *groups: str, error: Column, new: Column, updated: Column) -> DataFrame:

@@ -141,7 +141,7 @@ def name_normalize(spark, d):
     return table(spark, d, "part").select("p_partkey", text.normalize_name(F.col("p_name")).alias("name"), F.array_join(text.split_authors(F.col("p_name")), ";").alias("parts"))
 
 
-@query()
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S+00:00') AS iso, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS exported FROM orders")
 def iso_dates(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("raw"))
     return rows.select("o_orderkey", dates.iso_date("raw").alias("iso"), dates.exported(dates.iso_date("raw")).alias("exported"))
@@ -204,8 +204,10 @@ def articles_with_evidence(spark, d):
 
 @query("SELECT l_orderkey AS article_id, l_linenumber AS claim_path, l_returnflag AS extracted_text, o_orderstatus AS canonical_url FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R' ORDER BY canonical_url, claim_path, article_id LIMIT 50")
 def evidence_of_run(spark, d):
-    rows = table(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("article_id"), F.col("l_linenumber").alias("claim_path"), F.col("l_returnflag").alias("extracted_text"))
-    return rows.join(table(spark, d, "orders").select(F.col("o_orderkey").alias("article_id"), F.col("o_orderstatus").alias("canonical_url")), "article_id").orderBy("canonical_url", "claim_path", "article_id").limit(50)
+    """Line items as evidence, their return flags as runs."""
+    evidence = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("article_id"), F.col("l_linenumber").alias("claim_path"), F.col("l_returnflag").alias("extracted_text"), F.col("l_returnflag").alias("run_id"))
+    articles = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("canonical_url"))
+    return views.evidence_of_run(evidence, articles, "R")
 
 
 # Versions, upsert, rollback --------------------------------------------------------------------------------------
@@ -271,6 +273,20 @@ def rollback_run(spark, d):
     return store.rollback(held, runs[len(runs) // 2 - 1]).articles.select("id", "version", "title")
 
 
+@query(f"""WITH f AS ({FLAGS}), m AS (SELECT day FROM (SELECT day, row_number() OVER (ORDER BY day) AS r, count(*) OVER () AS c FROM (SELECT DISTINCT day FROM f)) WHERE r = c // 2),
+  k AS (SELECT * FROM f WHERE changed AND day <> (SELECT day FROM m)), t AS (SELECT DISTINCT user_id FROM f WHERE changed AND day = (SELECT day FROM m)),
+  v AS (SELECT user_id, max(version) AS version, arg_max(event_id, version) AS event_id FROM k GROUP BY user_id)
+  SELECT v.user_id::VARCHAR AS article_id, v.event_id::VARCHAR AS proof FROM v JOIN t USING (user_id)""")
+def rollback_evidence(spark, d):
+    """Evidence that a rollback takes out of the snapshots: that of the newest version left, of every article the run touched."""
+    held = day_versions(spark, d)
+    fields = [F.col("id").alias(f.name) if f.name == "source_url" else F.col("article_id").alias(f.name) if f.name == "article_id" else F.lit(None).cast(f.dataType).alias(f.name) for f in schema_fields()]
+    versions = held.versions.withColumn("evidence_snapshot", F.array(F.struct(*fields)).cast(f"array<{schemas.EVIDENCE}>"))
+    runs = [r[0] for r in table(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("r")).distinct().orderBy("r").collect()]  # days: a few
+    back = store.rollback(store.Store(held.articles, held.evidence, versions), runs[len(runs) // 2 - 1])
+    return back.evidence.select("article_id", F.col("source_url").alias("proof"))
+
+
 # Runs, alerts ----------------------------------------------------------------------------------------------------
 
 
@@ -332,7 +348,10 @@ def politeness_schedule(spark, d):
     return fetch_policy.politeness(rows, "user_id", ["ts", "event_id"], "arrival", F.lit(600.0)).select("event_id", F.round("arrival", 3).alias("arrival"), F.round("start", 3).alias("start"))
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT user_id::VARCHAR AS domain, epoch(date_trunc('second', ts))::DOUBLE AS t0, row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('second', ts), event_id) AS i FROM events),
+  r(domain, i, until, miss) AS (SELECT domain, i, t0 + 86400, true FROM e WHERE i = 1
+    UNION ALL SELECT e.domain, e.i, CASE WHEN e.t0 >= r.until THEN e.t0 + 86400 ELSE r.until END, e.t0 >= r.until FROM r JOIN e ON e.domain = r.domain AND e.i = r.i + 1)
+  SELECT domain, count(*) AS n, count(*) FILTER (WHERE miss) AS misses FROM r GROUP BY domain""")
 def robots_cache(spark, d):
     rows = table(spark, d, "events").select("event_id", F.col("user_id").cast("string").alias("domain"), F.unix_timestamp("ts").cast("double").alias("at"), F.lit(86400.0).alias("ttl"))
     return fetch_policy.cache_misses(rows, "domain", "at", "ttl").groupBy("domain").agg(F.count("*").alias("n"), F.count_if("miss").alias("misses"))
@@ -351,7 +370,35 @@ IPS = "SELECT c_custkey, (c_custkey * 7 % 256) AS a, (c_custkey * 13 % 256) AS b
 def ip_range_block(spark, d):
     k = F.col("c_custkey")
     rows = table(spark, d, "customer").select("c_custkey", F.concat_ws(".", (k * 7 % 256).cast("string"), (k * 13 % 256).cast("string"), (k % 256).cast("string"), F.lit("1")).alias("ip"))
-    return fetch_policy.block_ips(rows, "ip", fetch_policy.blocked_ranges(spark)).select("c_custkey", "ip", "blocked")
+    return fetch_policy.block_ips(rows, "ip").select("c_custkey", "ip", "blocked")
+
+
+@query("SELECT c_custkey, h >= 65280 OR h BETWEEN 65152 AND 65215 OR h BETWEEN 64512 AND 65023 OR c_custkey % 50 = 0 AS blocked FROM (SELECT c_custkey, 64000 + (c_custkey * 37) % 1536 AS h FROM customer)")
+def ip6_range_block(spark, d):
+    """Addresses across the blocked ranges, their groups shortened; every 50th is the loopback address."""
+    k = F.col("c_custkey")
+    group = F.lower(F.hex(64000 + (k * 37) % 1536))
+    rows = table(spark, d, "customer").select("c_custkey", F.when(k % 50 == 0, F.when(k % 100 == 0, "::1").otherwise("0:0::0:1")).otherwise(F.concat(group, F.lit("::"), F.lower(F.hex(k % 65536)))).alias("ip"))
+    return fetch_policy.block_ips(rows, "ip").select("c_custkey", "blocked")
+
+
+@query("SELECT o_orderkey, CASE o_custkey % 10 WHEN 0 THEN 5000000 WHEN 1 THEN 5000000 WHEN 2 THEN 5000000 WHEN 3 THEN 5000000 WHEN 4 THEN 5000000 WHEN 5 THEN 2000000 WHEN 6 THEN 2000000 WHEN 7 THEN 0 WHEN 8 THEN 0 ELSE 500000 END AS body_limit FROM orders")
+def body_limits_by_type(spark, d):
+    """Every listed type, in either case and with parameters, and one that is not listed."""
+    kinds = [*fetch_policy.BODY_LIMITS, "image/png"]
+    kind = F.element_at(F.array(*(F.lit(k.upper() + " ; charset=x" if i % 2 else k) for i, k in enumerate(kinds))), (F.col("o_custkey") % 10 + 1).cast("int"))
+    return table(spark, d, "orders").select("o_orderkey", fetch_policy.body_limit(kind).alias("body_limit"))
+
+
+@query("""SELECT o_orderkey, CASE o_custkey % 6 WHEN 0 THEN 'SECURITY_BLOCKED' WHEN 1 THEN 'FETCH_ERROR' WHEN 2 THEN 'FETCH_ERROR' WHEN 3 THEN 'REDIRECT_LIMIT' WHEN 4 THEN NULL ELSE 'SECURITY_BLOCKED' END AS error_code FROM orders""")
+def fetch_outcomes_of_urls(spark, d):
+    """By scheme, host, failure and redirects: no web address, no host, a failed connection, too many redirects, nothing, no scheme."""
+    k = F.col("o_custkey") % 6
+    url = F.when(k == 0, "ftp://a.example/x").when(k == 1, "https:///x").when(k == 5, "a.example/x").otherwise("HTTPS://a.example/x")
+    host = F.when(k == 1, "").otherwise("a.example")
+    never = F.lit(False)
+    code = fetch_policy.outcome(url, host, never, F.lit(True), F.when(k == 2, "connection"), F.when(k == 3, 6).otherwise(5), never)
+    return table(spark, d, "orders").select("o_orderkey", code.alias("error_code"))
 
 
 @query("""SELECT o_orderkey, CASE WHEN s % 11 = 0 THEN 'SECURITY_BLOCKED' WHEN s % 7 = 0 THEN 'BLOCKED_BY_ROBOTS' WHEN s % 5 = 0 THEN 'TIMEOUT' WHEN s % 9 > 5 THEN 'REDIRECT_LIMIT' WHEN s % 13 = 0 THEN 'BODY_TOO_LARGE' END AS error_code,
@@ -400,6 +447,22 @@ def candidate_scores(spark, d):
     return resolution.candidates(part_profiles(spark, d)).select("id", F.col("from_author.id").alias("l"), F.col("to_author.id").alias("r"), "score", "confidence")
 
 
+@query("""WITH c AS (SELECT c_custkey AS k, c_nationkey AS n, c_custkey % 4 AS g FROM customer),
+  p AS (SELECT DISTINCT n, g, 'd' || n || '.test' AS domain, CASE g WHEN 0 THEN 'a' || n || '@x.test' WHEN 1 THEN 'a' || (n - n % 2) || '@y.test' WHEN 2 THEN 'https://d' || n || '.test/author/a' ELSE 'https://d' || n || '.test/author/b' END AS name FROM c)
+  SELECT rule, count(*) AS n FROM (
+    SELECT CASE WHEN x.g = 1 AND y.g = 1 THEN 'account' ELSE 'profile' END AS rule FROM p x JOIN p y ON (x.n, x.g) < (y.n, y.g)
+    WHERE (x.g = 1 AND y.g = 1 AND x.name = y.name) OR (x.g = 2 AND y.g = 3 AND x.domain = y.domain)) GROUP BY rule""")
+def candidate_rules(spark, d):
+    """Profiles that share an account over two domains, and profile pages on one domain: which rule finds how many pairs."""
+    c = table(spark, d, "customer")
+    n, g = F.col("c_nationkey"), F.col("c_custkey") % 4
+    nation = n.cast("string")
+    domain = F.concat(F.lit("d"), nation, F.lit(".test"))
+    name = F.when(g == 0, F.concat(F.lit("a"), nation, F.lit("@x.test"))).when(g == 1, F.concat(F.lit("A"), (n - n % 2).cast("string"), F.lit("@y.test"))).otherwise(F.concat(F.lit("https://"), domain, F.lit("/author/"), F.when(g == 2, "a").otherwise("b")))
+    found = resolution.candidates(resolution.author_profiles(c.select(F.concat(F.lit("https://"), domain, F.lit("/"), F.col("c_custkey").cast("string")).alias("canonical_url"), F.concat(F.lit("s"), g.cast("string")).alias("source_id"), name.alias("author_hint"))))
+    return found.select(F.explode(F.map_keys("scoring_breakdown")).alias("rule")).filter("rule in ('account', 'profile')").groupBy("rule").agg(F.count("*").alias("n"))
+
+
 @query(f"WITH c AS MATERIALIZED ({SCORED}) SELECT CASE WHEN score = 0.6 THEN 'hold' WHEN id[1] < '8' THEN 'duplicate' ELSE 'accept' END AS outcome, count(*) AS n FROM c GROUP BY 1")
 def merge_decision_insert_or_ignore(spark, d):
     """Exact names accepted, the rest held; half of the decisions are known already."""
@@ -435,6 +498,14 @@ def export_prefix(spark, d):
     return good.select("id")
 
 
+@query("SELECT o_orderkey::VARCHAR AS id FROM orders WHERE o_orderkey < (SELECT min(o_orderkey) FROM orders WHERE o_orderkey % 997 = 500)")
+def export_prefix_of_orders(spark, d):
+    """Orders as articles, a few of them without a source: those before the first such are exported."""
+    key = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(key.cast("string").alias("id"), F.lpad(key.cast("string"), 12, "0").alias("canonical_url"), F.when(key % 997 != 500, F.col("o_orderstatus")).alias("source_id"), F.lit("x").alias("snippet"), F.lit(1).alias("version"), F.lit(NOW).alias("created_at"), F.lit(NOW).alias("updated_at"))
+    return export.exportable(rows, ("canonical_url",))[0].select("id")
+
+
 @query("SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1")
 def foreign_key_gaps(spark, d):
     gaps = export.foreign_key_gaps(table(spark, d, "lineitem"), "l_orderkey", table(spark, d, "orders").filter("o_orderstatus = 'F'"), "o_orderkey")

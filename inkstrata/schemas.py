@@ -18,7 +18,7 @@ SCHEMAS = {
     "accounts": "id string, author_id string, source_id string, source_identifier string, created_at string",
     "authors": "id string, canonical_name string, metadata string, created_at string, updated_at string",
     "merge_decisions": "id string, from_author_id string, to_author_id string, evidence_ids array<string>, decision_criteria string, created_at string, created_by string, run_id string, reverted_at string, reverted_by string, reverted_reason string",
-    "review_candidate": "id string, from_author struct<id:string,canonical_name:string>, to_author struct<id:string,canonical_name:string>, score double, decision string",
+    "review_candidate": "id string, from_author struct<id:string,canonical_name:string>, to_author struct<id:string,canonical_name:string>, score double, confidence string, scoring_breakdown map<string,double>, evidence array<string>, decision string",
 }
 
 #: Fixed values.

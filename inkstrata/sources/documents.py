@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkstrata.schemas import SCHEMAS
 
@@ -13,7 +14,7 @@ def read_review(spark: SparkSession, path: str) -> DataFrame:
     whole = spark.read.text(path, wholetext=True)
     parsed = whole.select(F.from_json("value", "struct<generated_at:string,min_score:double,candidates:string>").alias("r"))
     bad = F.when(~F.coalesce(F.ltrim("r.candidates").startswith("["), F.lit(False)), F.raise_error(F.lit("a review file needs a list of candidates")))
-    kind = "array<struct<" + ",".join(c.replace(" ", ":", 1) for c in SCHEMAS["review_candidate"].split(", ")) + ">>"
+    kind = T.ArrayType(T.StructType.fromDDL(SCHEMAS["review_candidate"]))
     return parsed.select(F.explode(F.coalesce(bad, F.from_json("r.candidates", kind))).alias("c")).select("c.*")
 
 

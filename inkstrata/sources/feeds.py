@@ -7,10 +7,10 @@ from urllib.parse import urljoin, urlsplit
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstrata.functions.urls import quote_plus
+from inkstrata.functions.urls import is_pdf, quote_plus
 
 SEARCH_URL = "https://export.arxiv.org/api/query?search_query=all:"
 FOUND = "seed string, pos int, url string"
@@ -33,33 +33,35 @@ def _tag(node) -> str:
     return node.tag.rpartition("}")[2].lower() if isinstance(node.tag, str) else ""
 
 
-def _is_pdf(url: str) -> bool:
-    low = url.lower()
-    return low.endswith(".pdf") or "/pdf/" in low
+#: Fixed value: the relations of a link to the page itself; none given is the first.
+PAGE_RELS = ("alternate", "")
+
+
+def _links(entry) -> list[tuple[int, str, str, dict]]:
+    """(place, text, address if its relation is the page itself, attributes) of an entry's links, in order."""
+    out = []
+    for place, node in enumerate(entry):
+        if _tag(node) == "link":
+            own = (node.get("rel") or PAGE_RELS[0]).strip().lower() in PAGE_RELS
+            out.append((place, (node.text or "").strip(), (node.get("href") or "").strip() if own else "", node.attrib))
+    return out
 
 
 def feed_link(entry) -> str | None:
-    """An entry's page: of its link children, in order, the first that has one as text, or as href of a fit rel."""
-    for link in (c for c in entry if _tag(c) == "link"):
-        text, href = (link.text or "").strip(), (link.get("href") or "").strip()
-        if _web(text):
-            return text
-        if _web(href) and (link.get("rel") or "alternate").strip().lower() == "alternate":
-            return href
-    return None
+    """An entry's page: the first web address that a link has as its text, or else as its address."""
+    return next((url for _, text, href, _ in _links(entry) for url in (text, href) if _web(url)), None)
+
+
+def _declared_pdf(attributes: dict) -> bool:
+    said = {k: (attributes.get(k) or "").strip().lower() for k in ("title", "type")}
+    return said["title"] == "pdf" or said["type"] == "application/pdf"
 
 
 def paper_link(entry) -> str | None:
-    """A paper's abstract page: a link that is no PDF, else the last id that is a page."""
-    last = None
-    for child in entry:
-        if _tag(child) == "id" and _web(text := (child.text or "").strip()) and not _is_pdf(text):
-            last = text
-        if _tag(child) == "link" and _web(href := (child.get("href") or "").strip()):
-            pdf = _is_pdf(href) or (child.get("title") or "").strip().lower() == "pdf" or (child.get("type") or "").strip().lower() == "application/pdf"
-            if not pdf and (child.get("rel") or "alternate").strip().lower() in ("alternate", ""):
-                return href
-    return last
+    """A paper's abstract page: the first link that is no PDF, else the last id that is a page and no PDF."""
+    pages = (href for _, _, href, attributes in _links(entry) if _web(href) and not is_pdf(href) and not _declared_pdf(attributes))
+    named = [text for node in entry if _tag(node) == "id" and _web(text := (node.text or "").strip()) and not is_pdf(text)]
+    return next(pages, named[-1] if named else None)
 
 
 class _Anchors(HTMLParser):
@@ -117,15 +119,18 @@ def links(seeds: DataFrame, source_id: str) -> DataFrame:
 
 
 def first_seen(found: DataFrame, key: str, *order: str) -> DataFrame:
-    """The first row of each key by order: distinct, and the order is kept as a column."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return found.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    """The first row of each key by order: an aggregate, partial before the shuffle, so that a key that very many rows
+    share is no task's group."""
+    rest = [c for c in found.columns if c != key]
+    least = found.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__row"))
+    return least.select(*(F.col(c) if c == key else F.col("__row")[c].alias(c) for c in found.columns))
 
 
 def discover(seeds: DataFrame, source_id: str) -> DataFrame:
     return first_seen(links(seeds, source_id), "url", "seed", "pos")
 
 
-def search_url(query: Column, limit: int = 100) -> Column:
-    """The search request for a plain text; a blank text has none."""
-    return F.when(F.trim(query) != "", F.concat(F.lit(SEARCH_URL), quote_plus(F.trim(query)), F.lit(f"&start=0&max_results={limit}")))
+def search_url(query: Column, limit: int = 100, strict: bool = False) -> Column:
+    """The search request for a plain text; a blank text has none, or fails the job where strict."""
+    blank = F.raise_error(F.lit("a search needs a text")).cast("string") if strict else F.lit(None).cast("string")
+    return F.when(F.trim(query) != "", F.concat(F.lit(SEARCH_URL), quote_plus(F.trim(query)), F.lit(f"&start=0&max_results={limit}"))).otherwise(blank)

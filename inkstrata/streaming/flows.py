@@ -23,10 +23,10 @@ def error_rate_stream(events: DataFrame, at: str = "ts", window: str = "10 minut
 
 def upsert_stream(drafts: DataFrame, folder: str, checkpoint: str, now: Callable[[int], str]) -> StreamingQuery:
     """Each micro-batch of drafts into the store in folder, as a version of its own; a batch that is replayed after
-    a failure rewrites the same version from the one before."""
+    a failure makes the same version once more, from the one before it, and that then counts."""
 
     def step(batch: DataFrame, epoch: int) -> None:
-        store = load(batch.sparkSession, folder)
+        store = load(batch.sparkSession, folder, before=epoch + 1)
         commit(upsert(store, batch, f"batch-{epoch}", now(epoch)), folder, epoch + 1)
 
     return drafts.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -22,13 +22,15 @@ def test_politeness_equals_the_recurrence(spark):
 
 def test_networks_limits_and_robots(spark):
     ips = ["10.1.2.3", "11.0.0.1", "172.16.0.1", "172.32.0.1", "169.254.169.254", "::1", "fe80::1", "2001:db8::1", "300.1.1.1", "x"]
+    more = ["0:0:0:0:0:0:0:1", "::2", "::", "FEBF::1", "fec0::1", "fe7f::", "fdff:1::", "fe00::", "ff02::1", "1::ff02", "fe80::1%eth0", "::ffff:127.0.0.1", "fe80::1.2.3.4", "fe80:::1", "fe80::1::2", "1:2:3:4:5:6:7:8:9", "fe80:1:2:3:4:5:6:7", "fe80:1", ":fe80::1", "12345::", "g::", "", None]
     df = spark.createDataFrame([(i,) for i in ips], "ip string")
     want = [True, False, True, False, True, True, True, False, False, False]
     assert [r[0] for r in df.select(fetch_policy.blocked_address("ip")).collect()] == want
-    native = {r.ip: r.blocked for r in fetch_policy.block_ips(df, "ip", fetch_policy.blocked_ranges(spark)).collect()}
-    assert [native[i] for i in ips[:5]] == want[:5]
-    kinds = spark.createDataFrame([("Text/HTML; charset=x",), ("application/json",), (None,)], "t string").select(fetch_policy.body_limit(F.col("t"))).collect()
-    assert [k[0] for k in kinds] == [5_000_000, 2_000_000, 500_000]
+    df = spark.createDataFrame([(i,) for i in ips + more], "ip string")
+    native = [r.blocked for r in fetch_policy.block_ips(df, "ip").collect()]
+    assert native == [bool(r[0]) for r in df.select(fetch_policy.blocked_address("ip")).collect()] and native[: len(ips)] == want
+    kinds = spark.createDataFrame([("Text/HTML; charset=x",), ("application/json",), (None,), ("application/rss+xml",), ("text/plain",), ("application/pdf",), ("image/png",)], "t string").select(fetch_policy.body_limit(F.col("t"))).collect()
+    assert [k[0] for k in kinds] == [5_000_000, 2_000_000, 500_000, 5_000_000, 2_000_000, 0, 500_000]
     robots = "User-agent: *\nDisallow: /no"
     r = spark.createDataFrame([(robots, "https://a/no/x", "bot"), (robots, "https://a/yes", "bot"), (None, "https://a/no", "bot")], "b string, u string, a string").select(fetch_policy.robots_allows("b", "u", "a")).collect()
     assert [x[0] for x in r] == [False, True, True]

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from inkstrata.schemas import SCHEMAS
 from inkstrata.sources import documents, feeds, pages
@@ -22,7 +23,9 @@ def found(spark, source, body, seed="file:/x"):
 
 def test_feeds(spark):
     assert found(spark, "rss:s", RSS) == ["https://site.test/1", "https://site.test/2"]
-    assert found(spark, "rss:s", ATOM) == ["http://x.test/abs/1v2"]
+    assert found(spark, "rss:s", ATOM) == ["http://x.test/abs/1v2", "http://x.test/pdf/2.pdf"]
+    blank = '<feed><entry><link href="https://s.test/blank" rel=" "/></entry><entry><link href="https://s.test/self" rel="self"/></entry></feed>'
+    assert found(spark, "rss:s", blank) == ["https://s.test/blank"]
     assert found(spark, "arxiv:q", ATOM) == ["http://x.test/abs/1v2", "http://x.test/abs/2"]
     assert found(spark, "html:s", PAGE) == ["https://s.test/1"]
     assert found(spark, "html:s", PAGE, "https://s.test/d/") == ["https://s.test/1", "https://s.test/rel"]
@@ -34,11 +37,31 @@ def test_feeds(spark):
 def test_pages():
     p = pages.parse("https://s.test/a", FULL)
     assert (p["title"], p["html_title"], p["date_published"], p["canonical_url"]) == ("Ld title", "Html title", "2026-02-19T08:00:00+00:00", "https://s.test/canonical")
-    assert p["author_names"] == ["Ann Lee", "Bob"] and p["meta_tags"]["author"] == "Meta Author, Other"
+    assert p["author_names"] == ["Ann Lee", "Bob", "Meta Author", "Other"] and p["meta_tags"]["author"] == "Meta Author, Other"
     assert p["text"] == "First bold text\n\nSecond" and len(p["json_ld_blocks"]) == 3
     broken = pages.parse("u", '<title>T</title><script type="application/ld+json">{"a": </script><meta property="og:title" content="O"></head><p>x')
     assert (broken["title"], broken["json_ld_blocks"], broken["date_published"]) == ("O", [], None)
     assert pages.decode("é".encode("latin-1"), "text/html; charset=utf-8") == "é" and pages.parse("u", None)["text"] == ""
+    assert pages.decode("é".encode(), "text/html; charset=no-such") == "é" and pages.decode("é".encode("cp1252"), "text/html; charset=cp1252") == "é"
+
+
+def test_pages_edge_cases():
+    edge = pages.parse("https://s.test/x", '<head><title>T</title><meta name="author" content="A One, B Two"><meta name="publish-date" content="2026-02-17"><meta name="date" content="2026-01-01"></head><div>\n<p>one</p>\n<p>two <b>in</b> line</p><table><tr><td>a</td><td>b</td></tr></table></div>')
+    assert (edge["author_names"], edge["date_published"], edge["canonical_url"]) == (["A One", "B Two"], "2026-02-17T00:00:00", "https://s.test/x")
+    assert edge["text"] == "one\n\ntwo in line\n\na b"
+    assert pages.flat_blocks({"@graph": {"@type": "Article"}, "name": "n"}) == [{"name": "n"}]
+    ld = '<script type="application/ld+json">{"@type":"Report","headline":"","name":" A\\n title ","datePublished":"bad","dateCreated":"2026-01-01"}</script>'
+    got = pages.parse("u", ld)
+    assert (got["title"], got["date_published"]) == ("A title", None)
+    long = pages.parse("u", "<p>" + "alpha " * 500 + "</p>", limit=120)["text"]
+    assert len(long) <= 121 and long.endswith("alpha\u2026") and pages.parse("u", "<p>" + "x" * 130 + "</p>", limit=120)["text"] == "x" * 120 + "\u2026"
+
+
+def test_pages_with_content_type(spark):
+    df = spark.createDataFrame([(1, "u", "<p>é</p>".encode("cp1252"), "text/html; charset=cp1252"), (2, "u", "<p>é</p>".encode(), None)], "page_id long, url string, html binary, kind string")
+    assert [r.text for r in pages.parse_pages(df, content_type="kind").orderBy("page_id").collect()] == ["é", "é"]
+    with pytest.raises(Exception, match="a search needs a text"):
+        spark.createDataFrame([(" ",)], "q string").select(feeds.search_url(F.col("q"), strict=True)).collect()
 
 
 def test_documents(spark, tmp_path):
