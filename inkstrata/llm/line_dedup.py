@@ -7,11 +7,11 @@ their first place (document id, then line number). Distinct lines are joined exa
    rarity: tokens that are frequent come last, by class of frequency, all others by hash. Which tokens are frequent is
    counted over all postings of a first order, by hash alone: the TOP most frequent are ranked last, and the lines whose
    prefix holds one are posted again. No other line's prefix can change.
-2. Tokens that two lines or more are posted under keep their postings; sets are computed for their lines alone, from the
-   texts, with a sketch of each set (parities of its tokens: sketches never differ by more than the sets do).
-3. Every line is first tried against the earliest line of each of its tokens (length filter, positional filter, sketch,
-   then the sets); where that leaves many, also against the next earliest. The lines left meet all earlier ones under
-   their tokens, in blocks: groups of near copies never meet pair by pair, and no row is made for a pair.
+2. Tokens that two lines or more are posted under keep their postings; sets are computed for lines that may have a match
+   alone, from the texts, with a sketch of each set (parities of its tokens: these never differ by more than the sets do).
+3. Every line is first tried against the earliest line of each of its tokens (length filter, positional filter, then the
+   sets); where that leaves many, also against the next earliest. The lines left meet all earlier ones under
+   their tokens, in blocks, by their sketches: groups of near copies never meet pair by pair, no row is made for a pair.
 
 A line with an earlier match goes, wherever it stands; equal lines stay at their first place.
 
@@ -42,11 +42,11 @@ SPACE = r"[\x20\x09-\x0D]+"
 LONG = r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){%d}[^\x20\x09-\x0D]" % (WORDS - 1)
 #: A line of one word at least.
 ANY = r"[^\x20\x09-\x0D]"
-#: A token's hash; the bits above it hold its class of frequency. A token of so many lines is frequent.
-TOKEN_BITS, FREQUENT = 60, 32
 #: Lines left meet all others of their tokens, in blocks of so many, when that makes at most so many pairs a shared
 #: posting, or after so many rounds.
 BLOCK, FEW, ROUNDS = 128, 32, 4
+#: A token's hash; the bits above it hold its class of frequency. A token whose lines fill two blocks is frequent.
+TOKEN_BITS, FREQUENT = 60, 2 * BLOCK
 
 
 def plain(text: Column) -> Column:
@@ -151,7 +151,7 @@ def prefix_of(tokens: Column) -> Column:
 
 
 def posted(lines: Lines) -> tuple[DataFrame, DataFrame]:
-    """p, n and prefix of each distinct line, and t, the tokens that may have two lines or more, both written.
+    """p, n and prefix of each distinct line, and t, the tokens that may have two lines or more.
 
     The first order is by hash. The tokens of most lines in it, counted over all postings, become the last of the
     order that holds, by class of frequency, and the lines that have one in their prefix are posted again.
@@ -163,13 +163,12 @@ def posted(lines: Lines) -> tuple[DataFrame, DataFrame]:
     if classes is None:
         return first, common.select("t")
     known = constant_table(classes)
-    again = F.exists("prefix", lambda t: _class(t, known) > 0)
+    moved = written(postings_of(first).filter(_class(F.col("t"), known) > 0).select("p").distinct(), "moved")
     tokens = F.transform(tokens_of(F.col("words")), lambda t: F.shiftleft(_class(t, known), TOKEN_BITS).bitwiseOR(t))
-    found = lines.chosen(first.filter(again).select("p")).select("p", prefix_of(tokens).alias("x"))
+    found = lines.chosen(moved).select("p", prefix_of(tokens).alias("x"))
     late = written(found.groupBy("p").agg(F.max("x").alias("x")).select("p", "x.n", "x.prefix"), "late")
-    posts = written(first.filter(~again).unionByName(late), "posts")
-    drop(first)
-    return posts, common.select("t").unionByName(late.select(F.explode("prefix").alias("t"))).distinct()
+    same = first.filter(~F.exists("prefix", lambda t: _class(t, known) > 0))
+    return same.unionByName(late), common.select("t").unionByName(late.select(F.explode("prefix").alias("t"))).distinct()
 
 
 def _may_match(n: Column, i: Column, m: Column, j: Column) -> Column:
@@ -217,41 +216,47 @@ def _matched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def later_matches(lines: Lines, posts: DataFrame, common: DataFrame) -> DataFrame:
     """p of each distinct line that an earlier distinct line matches, written."""
     postings = shared_postings(posts, common)
-    found = lines.chosen(postings.select("p")).select("p", tokens_of(F.col("words")).alias("x"))
-    sets = written(found.groupBy("p").agg(F.max("x").alias("x")), "sets")
-    drawn = written(sketches(sets), "sketches")
-    theirs = drawn.select(F.col("p").alias("a"), *(F.col(c).alias(f"a_{c}") for c in SKETCH_OF))
     fits = (F.col("a") < F.col("p")) & _may_match(F.col("n"), F.col("i"), F.col("m"), F.col("j"))
-    near = _near(F.col("n"), F.col("m"), [F.col(c) for c in SKETCH_OF], [F.col(f"a_{c}") for c in SKETCH_OF])
-    n_postings = postings.count()
-    left, hubs, gone = postings, None, None
-    for _ in range(ROUNDS):
-        # each token's earliest line that is left and was not a hub meets the others: those that go need no more search
-        free = left if hubs is None else left.join(hubs.select("t", F.col("a").alias("last")), "t").filter("p > last")
-        hubs = written(free.groupBy("t").agg(F.min("p").alias("a"), F.min_by("n", "p").alias("m"), F.min_by("i", "p").alias("j")), "hubs")
-        tried = left.join(hubs, "t").filter(fits).select("p", "a", "n", "m").distinct()
-        now = _matched(tried.join(drawn, "p").join(theirs, "a").filter(near).select("p", "a"), sets)
-        gone = now if gone is None else written(gone.unionByName(now), "gone")
-        left = written(left.join(now, "p", "left_anti").filter("c > 2"), "left")
-        pairs = left.groupBy("t").agg((F.count("*") * F.max("c")).alias("pairs")).agg(F.sum("pairs")).first()[0]
-        if (pairs or 0) <= FEW * n_postings:
+
+    def tried(left: DataFrame, hubs: DataFrame) -> DataFrame:
+        return left.join(hubs, "t").filter(fits).select("p", "a").distinct()
+
+    # each token's earliest line meets the others: those that go need no more search
+    hubs = written(_hubs(postings), "hubs")
+    pairs = written(tried(postings, hubs), "pairs")
+    places = pairs.select("p").unionByName(pairs.select(F.col("a").alias("p"))).unionByName(postings.filter("c > 2").select("p"))
+    found = lines.chosen(written(places.distinct(), "places")).select("p", tokens_of(F.col("words")).alias("x"))
+    sets = written(found.groupBy("p").agg(F.max("x").alias("x")), "sets")
+    gone, left, n_postings = _matched(pairs, sets), postings.filter("c > 2"), postings.count()
+    for done in range(ROUNDS):
+        left = written(left.join(gone, "p", "left_anti"), "left")
+        crowd = left.groupBy("t").agg((F.count("*") * F.max("c")).alias("pairs")).agg(F.sum("pairs")).first()[0]
+        if (crowd or 0) <= FEW * n_postings or done == ROUNDS - 1:
             break
-    hits = written(left.transform(lambda x: partners(x, postings, drawn)), "hits")
+        # many lines under few tokens: the earliest that are left, and were not tried, meet the others too
+        hubs = written(_hubs(left.join(hubs.select("t", F.col("a").alias("last")), "t").filter("p > last")), "hubs")
+        gone = written(gone.unionByName(_matched(tried(left, hubs), sets)), "gone")
+    hits = written(partners(left, postings, sets), "hits")
     # nearly all that sketches leave open match: a line's earliest partner first, the others of those that it does not match
     early = hits.groupBy("p").agg(F.min(F.array_min("partners")).alias("a"))
     now = _matched(early, sets)
-    gone = written(gone.unionByName(now), "gone")
     others = hits.join(now, "p", "left_anti").select("p", F.explode("partners").alias("a")).distinct()
-    return written(gone.unionByName(_matched(others, sets)).distinct(), "gone")
+    return written(gone.unionByName(now).unionByName(_matched(others, sets)).distinct(), "gone")
+
+
+def _hubs(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("t").agg(F.min("p").alias("a"), F.min_by("n", "p").alias("m"), F.min_by("i", "p").alias("j"))
 
 
-def partners(left: DataFrame, postings: DataFrame, drawn: DataFrame) -> DataFrame:
+def partners(left: DataFrame, postings: DataFrame, sets: DataFrame) -> DataFrame:
     """p and its earlier lines that filters and sketches leave open, by token, as an array; rows of none are left out. The
     lines of a token come in blocks: no row is made for a pair."""
     blocks = F.ceil(F.col("c") / F.lit(BLOCK)).cast("long")
     entry = F.struct("p", "n", "i", *SKETCH_OF)
     asked = left.select("t").distinct()
-    every = postings.join(asked, "t", "left_semi").join(drawn, "p").select("t", F.pmod(F.xxhash64("p"), blocks).alias("b"), entry.alias("e"))
+    asked_for = written(postings.join(asked, "t", "left_semi"), "asked")
+    drawn = written(sketches(sets.join(asked_for, "p", "left_semi")), "sketches")
+    every = asked_for.join(drawn, "p").select("t", F.pmod(F.xxhash64("p"), blocks).alias("b"), entry.alias("e"))
     held = every.groupBy("t", "b").agg(F.collect_list("e").alias("block"), F.min("e.p").alias("least"))
     each = left.select("t", "p", "n", "i").join(drawn, "p").join(held, "t").filter("least < p")
 
