@@ -4,8 +4,10 @@ A text is the set of its distinct word k-grams; texts of equal sets are one. Two
 is at least num/den of the union. Search space: linked sets are of the same size band or of neighbouring ones and
 differ in at most d k-grams, d a number of the band; so of more than d parts of the hash space one at least holds
 the same k-grams of both. Each set is posted under the hash of each of its parts, and chains over equal parts make
-clusters that no link leaves; sets that share but passages have no equal part. Clusters are searched each in one task, large ones as pairs of chunks, in increasing size of sets: a set's
-inverted lists are divided; the short ones are merged by a heap that skips what cannot reach the threshold, the
+clusters that no link leaves; sets that share but passages have no equal part. A cluster is searched in one task; a
+large one by size band in chunks, each with heads (sets drawn by hash) of all the others, and then only sets outside the
+cluster's largest component so far meet the other chunks: a missing link has one of them at an end, so nothing is lost,
+and groups of near copies never meet chunk by chunk. In a task, sets come in increasing size: a set's inverted lists are divided; the short ones are merged by a heap that skips what cannot reach the threshold, the
 long ones are probed by binary search, and sets that reach the required overlap are links. Lists that hold the
 query's own component alone are left out: they cannot connect anything new.
 
@@ -24,16 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkstrata.llm import _bytes as B
-from inkstrata.llm._shared import among, drop, written
+from inkstrata.llm._shared import among, constant_table, drop, frequent_slots, scratch, slot_class, written
 from inkstrata.llm.components import Forest, components
 from inkstrata.session import table
 
 #: Shingles of a search unit.
-UNIT = 2_000_000
+UNIT = 250_000
+#: A part that so many sets have is chained in SALTS pieces, if it is among the most frequent.
+FREQUENT, SALTS = 1024, 64
 MU = 0.0085
 #: Parts beyond those that pigeonholes need, so that an equal part need not be an empty one.
 SPARE = 0.03
@@ -104,14 +108,20 @@ def signatures(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return texts.select("id", "text").mapInArrow(run, "id long, n long, digest binary, node long, parts array<long>")
 
 
-def cluster_edges(sets: DataFrame) -> DataFrame:
-    """Edges whose components no link leaves: from each distinct set to the one before it under each of its parts."""
-    from pyspark.sql import Window
-
-    once = sets.filter("n > 0").groupBy("digest").agg(F.first("node").alias("node"), F.first("parts").alias("parts"))
-    before = F.lag("node").over(Window.partitionBy("key").orderBy("node"))
-    chained = once.select("node", F.explode("parts").alias("key")).select(F.col("node").alias("a"), before.alias("b"))
-    return chained.filter("b is not null and a <> b")
+def cluster_edges(once: DataFrame) -> DataFrame:
+    """Edges whose components no link leaves: from each distinct set (node, parts) to the one before it under each of
+    its parts. A part that very many sets have is chained by pieces, and the pieces' first sets are joined to one."""
+    keyed = once.select("node", F.explode("parts").alias("key"))
+    hot = frequent_slots(keyed.select("key"), 64, FREQUENT)
+    salt = F.lit(0) if hot is None else F.when(slot_class(F.col("key"), 64, constant_table(hot)) > 0, F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(0)
+    salted = keyed.withColumn("salt", salt)
+    before = F.lag("node").over(Window.partitionBy("key", "salt").orderBy("node"))
+    chained = salted.select(F.col("node").alias("a"), before.alias("b")).filter("b is not null")
+    if hot is not None:
+        heads = salted.filter(slot_class(F.col("key"), 64, constant_table(hot)) > 0).groupBy("key", "salt").agg(F.min("node").alias("a"))
+        # pieces of one part: SALTS at most
+        chained = chained.unionByName(heads.groupBy("key").agg(F.collect_list("a").alias("all")).select(F.explode("all").alias("a"), F.array_min("all").alias("b")))
+    return chained.filter("a <> b")
 
 
 def size_band(n: str, num: int, den: int):
@@ -119,35 +129,67 @@ def size_band(n: str, num: int, den: int):
     return F.floor(F.log(F.col(n).cast("double")) / F.lit(math.log(den / num)) + 1e-9)
 
 
-def dealt_units(members: DataFrame, num: int, den: int, unit: int) -> DataFrame:
-    """id, n and unit (cluster, band, i, j) of each member: a cluster; if that is large, its sets by size band, each
-    band with the one below; if such a band is large, pairs of its chunks."""
-    sizes = members.groupBy("cluster").agg(F.sum("n").alias("total"), F.count("*").alias("sets")).filter("sets > 1")
+def sizes_of(members: DataFrame, *keys: str) -> DataFrame:
+    return members.groupBy(*keys).agg(F.sum("n").alias("total"), F.count("*").alias("sets")).filter("sets > 1")
+
+
+UNIT_KEY = ["cluster", "band", "i", "j"]
+
+
+def small_units(members: DataFrame, unit: int) -> DataFrame:
+    """id, n and unit (cluster, band, i, j) of the members of clusters that one task searches."""
+    return members.join(sizes_of(members, "cluster").filter(F.col("total") <= unit).select("cluster"), "cluster").select(F.col("rep").alias("id"), "n", "cluster", *(F.lit(-1).cast("long").alias(c) for c in UNIT_KEY[1:]))
+
+
+def large_members(members: DataFrame, num: int, den: int, unit: int) -> DataFrame:
+    """The members of larger clusters by size band, each band with the one below: id, n, cluster, band, chunk (of at most
+    half a unit, more or less), chunks, and whether the set is one of the band's heads, a quarter of a unit at most."""
     own = size_band("n", num, den)
-    bands = F.when(F.col("total") <= unit, F.array(F.lit(-1).cast("long"))).otherwise(F.array(own, own + 1))
-    banded = members.join(sizes, "cluster").select("rep", "n", "cluster", F.explode(bands).alias("band"))
-    load = banded.groupBy("cluster", "band").agg(F.sum("n").alias("total"), F.count("*").alias("sets")).filter("sets > 1")
-    chunks = F.when(F.col("total") <= unit, F.lit(1)).otherwise(F.ceil(2 * F.col("total") / F.lit(unit)).cast("int"))
-    chunk = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
-    dealt = banded.join(load.select("cluster", "band", chunks.alias("chunks")), ["cluster", "band"]).select("rep", "n", "cluster", "band", chunk.alias("c"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("d"))
-    return dealt.select(F.col("rep").alias("id"), "n", "cluster", "band", F.least("c", "d").alias("i"), F.greatest("c", "d").alias("j"))
+    large = members.join(sizes_of(members, "cluster").filter(F.col("total") > unit).select("cluster"), "cluster")
+    banded = large.select(F.col("rep").alias("id"), "n", "cluster", F.explode(F.array(own, own + 1)).alias("band"))
+    load = sizes_of(banded, "cluster", "band").select("cluster", "band", "total", F.ceil(2 * F.col("total") / F.lit(unit)).cast("long").alias("chunks"))
+    share = F.lit(unit / 4) / F.col("total") * (1 << 20)
+    return banded.join(load, ["cluster", "band"]).select("id", "n", "cluster", "band", F.pmod(F.xxhash64("id"), "chunks").alias("chunk"), "chunks", (F.pmod(F.xxhash64("id", F.lit("head")), F.lit(1 << 20)) < share).alias("head"))
+
+
+def first_units(large: DataFrame) -> DataFrame:
+    """Every chunk by itself, with the heads of all chunks: groups of near copies are connected after this."""
+    own = large.select("id", "n", "cluster", "band", F.col("chunk").alias("i"), F.col("chunk").alias("j"))
+    heads = large.filter("head and chunks > 1").select("id", "n", "cluster", "band", "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("i")).filter("i <> chunk")
+    return own.unionByName(heads.select("id", "n", "cluster", "band", "i", F.col("i").alias("j")))
+
+
+def last_units(large: DataFrame, joined: DataFrame) -> DataFrame:
+    """What may still be missing: links between a set outside its cluster's largest component so far and a set of
+    another chunk. Units (i, j): the outsiders of chunk i with all of chunk j; label: the component so far."""
+    named = large.join(joined.select(F.col("node").alias("id"), "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    most = named.groupBy("cluster", "label").agg(F.count("*").alias("c")).groupBy("cluster").agg(F.max_by("label", F.struct("c", -F.col("label"))).alias("main"))
+    told = written(named.join(most, "cluster").filter("chunks > 1").withColumn("outside", F.col("label") != F.col("main")).drop("main", "head"), "told")
+    columns = ["id", "n", *UNIT_KEY, "label"]
+    outsiders = told.filter("outside").withColumn("i", F.col("chunk")).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).filter("i <> j")
+    open_chunks = told.filter("outside").groupBy("cluster", "band").agg(F.collect_set("chunk").alias("open"))
+    others = told.join(open_chunks, ["cluster", "band"]).withColumn("j", F.col("chunk")).withColumn("i", F.explode("open")).filter("i <> j")
+    return outsiders.select(columns).unionByName(others.select(columns))
 
 
 class TOccurrence:
     """DivideSkip over the sets of one unit, which come in increasing size."""
 
-    def __init__(self, ids: list[int], sets: list[np.ndarray], num: int, den: int):
+    def __init__(self, ids: list[int], sets: list[np.ndarray], num: int, den: int, labels: list[int] | None = None):
         self.ids, self.sets, self.num, self.den = ids, sets, num, den
         self.sizes = [len(s) for s in sets]
         self.forest = Forest()
+        first: dict[int, int] = {}
+        for i, label in enumerate(labels or []):  # sets of one label are connected already
+            self.forest.union(i, first.setdefault(label, i))
         tokens = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), self.sizes)
         order = np.argsort(tokens, kind="stable")
         tokens, owner = tokens[order], owner[order]
-        first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        lengths = np.diff(np.append(first, len(tokens)))
+        starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        lengths = np.diff(np.append(starts, len(tokens)))
         shared = lengths > 1  # a list of one set connects nothing
-        self.tokens, self.first, self.lengths, self.owner = tokens[first[shared]], first[shared], lengths[shared], owner
+        self.tokens, self.first, self.lengths, self.owner = tokens[starts[shared]], starts[shared], lengths[shared], owner
         self.lists: dict[int, list[int]] = {}
         self.uniform: dict[int, int] = {}
         self.recheck: dict[int, int] = {}
@@ -241,29 +283,33 @@ class TOccurrence:
 
 
 def search_units(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Links (a, b: ids) within each unit; rows: cluster, band, i, j, n, id, text, dealt by unit and sorted by size in it."""
+    """Links (a, b: ids) within each unit; rows: cluster, band, i, j, n, id, text, label if sets are connected already,
+    dealt by unit and sorted by size and id in it."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
-        key, ids, sets, out = None, [], [], []
+        key, ids, sets, labels, out = None, [], [], [], []
 
         def close():
             if len(ids) > 1:
-                out.extend(TOccurrence(ids, sets, num, den).links())
+                out.extend(TOccurrence(ids, sets, num, den, labels).links())
 
         def flushed():
             return pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in (0, 1)], schema=schema)
 
         for b in batches:
-            units = list(zip(*(b.column(c).to_pylist() for c in ("cluster", "band", "i", "j", "id", "n"))))
+            units = list(zip(*(b.column(c).to_pylist() for c in (*UNIT_KEY, "id", "n"))))
+            known = b.column("label").to_pylist() if "label" in b.schema.names else None
             for r, words in B.each_text(b.column("text"), B.WHITESPACE):
                 if units[r][:4] != key:
                     close()
-                    key, ids, sets = units[r][:4], [], []
+                    key, ids, sets, labels = units[r][:4], [], [], []
                 s = B.shingles(words, k)
                 if len(s) == units[r][5]:  # an id that repeats with another text brings that too
                     ids.append(units[r][4])
                     sets.append(s)
+                    if known:
+                        labels.append(known[r])
             if len(out) > 10_000:
                 yield flushed()
                 out = []
@@ -274,25 +320,39 @@ def search_units(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85, den: int = 100, unit: int = UNIT) -> DataFrame:
-    """id, n_shingles and component_id (smallest id that links reach) of every row."""
+    """id, n_shingles and component_id (smallest id that links reach) of every row; ids are integers."""
+    if dict(docs.dtypes)[id_col] not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{id_col} is no integer column: component ids are the smallest of integers")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    signed = written(signatures(texts, k, num, den), "signatures")
-    sets = written(signed.select("id", "n", "digest", "node"), "sets")
-    edges = written(cluster_edges(signed.filter("id is not null")), "edges")
-    drop(signed)
-    clusters = components(edges)
-    reps = sets.filter("n > 0 and id is not null").groupBy("digest", "n", "node").agg(F.min("id").alias("rep"))
-    members = written(reps.join(clusters.select("node", F.col("label").alias("cluster")), "node"), "members")
-    drop(edges)
-    units = dealt_units(members, num, den, unit)
-    # texts go to their units once: those of no unit stay where they are
-    rows = among(texts, members.select(F.col("rep").alias("id")), ["id"]).join(units, "id").repartition("cluster", "band", "i", "j").sortWithinPartitions("cluster", "band", "i", "j", "n", "id")
-    links = written(search_units(rows, k, num, den), "links")
-    drop(members)
-    joined = components(links)
-    named = reps.join(joined.select(F.col("node").alias("rep"), "label"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))
-    own = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component_id", "id"))
-    out = sets.select("id", "n", "digest").join(named, "digest", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), own).alias("component_id"))
+
+    def searched(units: DataFrame) -> DataFrame:
+        # texts go to their units once: those of no unit stay where they are
+        held = among(texts, units, ["id"]).join(units, "id")
+        return written(search_units(held.repartition(*UNIT_KEY).sortWithinPartitions(*UNIT_KEY, "n", "id"), k, num, den), "links")
+
+    with scratch() as scope:
+        signed = written(signatures(texts, k, num, den), "signatures")
+        sets = written(signed.select("id", "n", "digest", "node"), "sets")
+        once = written(signed.filter("n > 0 and id is not null").groupBy("digest").agg(F.first("node").alias("node"), F.first("parts").alias("parts")).select("node", "parts"), "once")
+        drop(signed)
+        edges = written(cluster_edges(once), "edges")
+        drop(once)
+        clusters = components(edges)
+        reps = sets.filter("n > 0 and id is not null").groupBy("digest", "n", "node").agg(F.min("id").alias("rep"))
+        members = written(reps.join(clusters.select("node", F.col("label").alias("cluster")), "node"), "members")
+        drop(edges)
+        large = written(large_members(members, num, den, unit), "large")
+        links = searched(written(small_units(members, unit).unionByName(first_units(large)), "units"))
+        joined = components(links)
+        if not large.isEmpty():
+            rest = written(last_units(large, joined), "units")
+            if not rest.isEmpty():
+                joined = components(links.unionByName(searched(rest)))
+        named = reps.join(joined.select(F.col("node").alias("rep"), "label"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))
+        own = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component_id", "id"))
+        found = sets.select("id", "n", "digest").join(named, "digest", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), own).alias("component_id"))
+        out = written(found, "components")
+        scope.keep(out)
     return out
 
 
