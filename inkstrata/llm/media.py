@@ -23,7 +23,7 @@ import time
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -93,8 +93,26 @@ def features(samples: np.ndarray) -> str:
     return f"mean={int(flat.sum(dtype=np.int64)) * 1000 // n};step={step * 1000 // max(1, n - 1)};levels=" + ",".join(str(int(x) * 1000 // n) for x in levels)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system that Spark itself would write it to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return f"file://{found[5:]}" if found.startswith("file:/") and not found.startswith("file://") else found
+
+
 def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
+    return pafs.FileSystem.from_uri(uri)
+
+
+def _retried(read: Callable, attempts: int, what: str):
+    """read()'s result; a failed or short read is tried again, on its own."""
+    for attempt in range(attempts):
+        try:
+            return read()
+        except (OSError, EOFError, struct.error, zipfile.BadZipFile) as e:
+            failure = e
+            time.sleep(0.05 * attempt)
+    raise OSError(f"{what}: {failure}")
 
 
 class _Archives:
@@ -124,14 +142,21 @@ class _Archives:
         draft = f"{self.path}/_draft-{uuid.uuid4().hex}"
         with self.fs.open_output_stream(draft) as out:
             out.write(self.body.getbuffer())
-        self.fs.move(draft, final)
+        # a task that runs again writes the same archives: one that is there whole stays, a cut one goes
+        there = self.fs.get_file_info(final)
+        if there.type == pafs.FileType.File and there.size == self.body.getbuffer().nbytes:
+            self.fs.delete_file(draft)
+        else:
+            if there.type == pafs.FileType.File:
+                self.fs.delete_file(final)
+            self.fs.move(draft, final)
         self.written.append((final, self.members, len(self.body.getbuffer())))
         self.count += 1
 
 
 def write_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[str, DataFrame]:
     """Store every text as a media member. Returns the folder of archives, and a table of the archives."""
-    folder = fresh_path(docs.sparkSession, "media")
+    folder = qualified(docs.sparkSession, fresh_path(docs.sparkSession, "media"))
     fs, path = _filesystem(folder)
     fs.create_dir(path, recursive=True)
     schema = pa.schema([("archive", pa.string()), ("members", pa.int64()), ("bytes", pa.int64())])
@@ -173,8 +198,13 @@ class MediaReader(DataSourceReader):
         if not partition.path:
             return
         fs, _ = _filesystem(self.folder)
-        with fs.open_input_file(partition.path) as f, zipfile.ZipFile(f) as z:
-            members = [m for m in z.infolist() if partition.start <= m.header_offset < partition.end]
+
+
+        def listed():
+            with fs.open_input_file(partition.path) as f, zipfile.ZipFile(f) as z:
+                return [m for m in z.infolist() if partition.start <= m.header_offset < partition.end]
+
+        members = _retried(listed, self.attempts, f"{partition.path}, directory")
         rows, held = [], 0
         for m in members:
             note = json.loads(m.comment)
@@ -187,23 +217,21 @@ class MediaReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, schema=_MEMBERS)
 
     def member(self, fs: pafs.FileSystem, path: str, m: zipfile.ZipInfo) -> bytes:
-        """One member by its offset; a failed read is tried again, on its own, by a new handle."""
-        for attempt in range(self.attempts):
-            try:
-                with fs.open_input_file(path) as f:
-                    f.seek(m.header_offset)
-                    head = f.read(30)
-                    if head[:4] != b"PK\x03\x04":
-                        raise OSError("no member header there")
-                    f.seek(m.header_offset + 30 + sum(struct.unpack("<HH", head[26:30])))
-                    data = f.read(m.file_size)
-                if len(data) != m.file_size or zlib.crc32(data) != m.CRC:
-                    raise OSError("damaged member")
-                return data
-            except OSError as e:
-                failure = e
-                time.sleep(0.05 * attempt)
-        raise OSError(f"{path}, member {m.filename} at {m.header_offset}: {failure}")
+        """One member by its offset; a failed or short read is tried again, on its own, by a new handle."""
+
+        def read() -> bytes:
+            with fs.open_input_file(path) as f:
+                f.seek(m.header_offset)
+                head = f.read(30)
+                if head[:4] != b"PK\x03\x04":
+                    raise OSError("no member header there")
+                f.seek(m.header_offset + 30 + sum(struct.unpack("<HH", head[26:30])))
+                data = f.read(m.file_size)
+            if len(data) != m.file_size or zlib.crc32(data) != m.CRC:
+                raise OSError("damaged member")
+            return data
+
+        return _retried(read, self.attempts, f"{path}, member {m.filename} at {m.header_offset}")
 
 
 _MEMBERS = pa.schema([("id", pa.string()), ("n_bytes", pa.int64()), ("member", pa.string()), ("start", pa.int64()), ("media", pa.binary())])
@@ -225,7 +253,7 @@ class MediaSource(DataSource):
 
 def read_media(spark: SparkSession, folder: str) -> DataFrame:
     spark.dataSource.register(MediaSource)
-    return spark.read.format("inkstrata_media").load(folder)
+    return spark.read.format("inkstrata_media").load(qualified(spark, folder))
 
 
 def media_features(media: DataFrame) -> DataFrame:

@@ -18,10 +18,14 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstrata.llm._shared import written
+from inkstrata.llm._shared import constant_table, frequent_slots, slot_class, written
+from inkstrata.llm.quality import let
 from inkstrata.session import table
 
-MAX_OWNERS = 2
+#: A live-looking value has so many owners at most, and is in so many repositories at most; and a value that occurs
+#: FREQUENT times is judged in SALTS pieces, if it is among the most frequent.
+MAX_OWNERS, MAX_REPOS = 2, 8
+FREQUENT, SALTS = 1024, 32
 
 
 def _either_case(word: str) -> str:
@@ -56,6 +60,8 @@ KINDS = (
     Kind("private_key", f"{_HEADER}(?:({_BODY})-----END [A-Z ]*PRIVATE KEY-----)?", 1, 20, False, armored=True),
     Kind("blob", "[A-Za-z0-9+/_-]{32,}", 0, 32, False, mixed=True),
 )
+#: Matches of a text that one fold goes through.
+BLOCK = 64
 SPAN = "struct<start:int,kind_no:int,end:int,kind:string,value:string>"
 
 
@@ -88,8 +94,22 @@ def find(text: Column, number: int, k: Kind) -> Column:
         return F.transform(F.array(F.split(piece, "\x02")), add)[0]
 
     def fold(p: Column) -> Column:
-        start = F.struct(F.length(p[0]).alias("at"), F.array().cast(f"array<{SPAN}>").alias("found")).cast(f"struct<at:int,found:array<{SPAN}>>")
-        return F.aggregate(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), start, step)["found"]
+        """By blocks of pieces: a fold copies what it has found, so no fold is longer than a block."""
+        marked = F.slice(p, 2, F.size(p) - 1)
+        starts = F.sequence(F.lit(1), F.greatest(F.size(p) - 1, F.lit(1)), F.lit(BLOCK))
+
+        def placed(blocks: Column) -> Column:
+            # a piece without its marks and its value's second copy
+            shown = lambda q: F.length(q) - 2 - F.length(F.get(F.split(q, "\x02"), 1))
+            sizes = F.transform(blocks, lambda x: F.aggregate(x, F.lit(0), lambda a, q: a + shown(q)))
+            begins = F.aggregate(sizes, F.array(F.length(p[0])), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+            return let(begins, lambda at: F.flatten(F.transform(blocks, lambda x, i: folded(x, F.get(at, i)))))
+
+        return F.when(F.size(p) < 2, F.array().cast(f"array<{SPAN}>")).otherwise(let(F.transform(starts, lambda i: F.slice(marked, i, BLOCK)), placed))
+
+    def folded(block: Column, at: Column) -> Column:
+        start = F.struct(at.alias("at"), F.array().cast(f"array<{SPAN}>").alias("found")).cast(f"struct<at:int,found:array<{SPAN}>>")
+        return F.aggregate(block, start, step)["found"]
 
     return F.when(text.rlike(_quick(k)), F.transform(F.array(pieces), fold)[0]).otherwise(F.array().cast(f"array<{SPAN}>"))
 
@@ -107,17 +127,29 @@ def ownership(scanned: DataFrame) -> DataFrame:
     return held.groupBy("hash").agg(F.count_distinct("repo").alias("n_repos"), F.count_distinct("owner").alias("n_owners"), F.sum("n").alias("n_seen"))
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None, owner: Column | None = None, max_owners: int = MAX_OWNERS, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
+def judged(each: DataFrame, counts: DataFrame) -> DataFrame:
+    """Candidates (row, hash) with the counts of their hash. A hash that very many rows hold is dealt over SALTS tasks."""
+    key = F.xxhash64("hash")
+    hot = frequent_slots(each.select(key.alias("h")), 64, FREQUENT)
+    if hot is None:
+        return each.join(counts, "hash")
+    often = slot_class(key, 64, constant_table(hot)) > 0
+    salts = F.when(often, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = each.withColumn("salt", F.when(often, F.pmod(F.xxhash64("row", "start"), F.lit(SALTS)).cast("int")).otherwise(0))
+    return dealt.join(counts.withColumn("salt", F.explode(salts)), ["hash", "salt"]).drop("salt")
+
+
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None, owner: Column | None = None, max_owners: int = MAX_OWNERS, kinds: tuple[Kind, ...] = KINDS, max_repos: int = MAX_REPOS) -> DataFrame:
     """id and spans (start, kind_no, end, kind, hash, n_repos, n_owners, live) of every text, none left out.
 
     repo, owner: whose text it is, by default column source with lang, and source.
     """
     scanned = scan(docs, id_col, text_col, repo if repo is not None else F.concat_ws("/", "source", "lang"), owner if owner is not None else F.col("source"), kinds)
     each = scanned.filter(F.size("spans") > 0).select("row", F.explode("spans").alias("s")).select("row", "s.*", F.sha2("s.value", 256).alias("hash"))
-    judged = each.join(ownership(scanned), "hash").withColumn("live", F.col("n_owners") <= max_owners)
+    told = judged(each, ownership(scanned)).withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos))
     base = [i for i, k in enumerate(kinds) if k.base]
     bare = F.col("kind_no").isin([i for i, k in enumerate(kinds) if k.armored]) & (F.length("value") == F.col("end") - F.col("start"))
-    reported = judged.filter(F.col("kind_no").isin(base) | F.col("live") | bare)
+    reported = told.filter(F.col("kind_no").isin(base) | F.col("live") | bare)
     spans = reported.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind_no", "end", "kind", "hash", "n_repos", "n_owners", "live"))).alias("spans"))
     none = F.array().cast(spans.schema["spans"].dataType)
     return scanned.select("row", F.col("id").alias(id_col)).join(spans, "row", "left").select(id_col, F.coalesce("spans", none).alias("spans"))
