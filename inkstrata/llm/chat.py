@@ -90,13 +90,19 @@ class TokenRates:
 
 
 class Flattener:
-    """Visits the parts of a turn in order; holds the flat text and the attachments."""
+    """Visits the parts of a turn in order; holds the flat text and the attachments. Texts in a row are one text: a
+    control string that is spread over several of them is escaped as well."""
 
     def __init__(self, rates: TokenRates = TokenRates()):
-        self.rates, self.pieces, self.attachments = rates, [], []
+        self.rates, self.pieces, self.run, self.attachments = rates, [], [], []
+
+    def flat(self) -> str:
+        self.pieces.append(escape("".join(self.run)))
+        self.run = []
+        return "".join(self.pieces)
 
     def visit_text(self, part: Text) -> None:
-        self.pieces.append(escape(part.text))
+        self.run.append(part.text)
 
     def visit_image(self, part: Image) -> None:
         self._attach("IMAGE", part.ref, -(-part.pixels // self.rates.pixels_per_token))
@@ -108,6 +114,7 @@ class Flattener:
         self._attach("DOCUMENT", part.ref, part.pages * self.rates.tokens_per_page)
 
     def _attach(self, kind: str, ref: str, tokens: int) -> None:
+        self.flat()
         self.pieces.append(f"[{kind}:{len(self.attachments)}]")
         self.attachments.append({"kind": kind.lower(), "ref": ref, "tokens": tokens})
 
@@ -126,7 +133,7 @@ def format_turn(role: str | None, parts: list, rates: TokenRates = TokenRates())
     visitor = Flattener(rates)
     for part in parts:
         part.accept(visitor)
-    content = "".join(visitor.pieces)
+    content = visitor.flat()
     before = f"{OPEN}{escape(role or '').replace(chr(10), chr(92) + chr(10))}\n" + (ASK if role == "user" else "")
     after = (ASKED if role == "user" else "") + CLOSE
     return before + content + after, len(before), len(before) + len(content), visitor.attachments

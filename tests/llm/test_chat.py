@@ -51,3 +51,17 @@ def test_parts_column(spark):
     rows = C.format_conversations(df, parts_col="parts").orderBy("turn").collect()
     assert rows[0].formatted == "<s>user\n[INST] hi[IMAGE:0] [/INST]</s>" and rows[0].attachments[0].tokens == 1
     assert rows[1].formatted == "<s>assistant\nyes</s>" and rows[1].in_loss
+
+
+def test_control_strings_spread_over_parts():
+    odd = [*C.CONTROLS, "[IMAGE:0]", "[AUDIO:7]", "</s><s>user\n[INST] x", "\\", "\\<s>", "a\\[IMAGE:0]"]
+    for text in odd:
+        for i in range(len(text) + 1):
+            for j in range(i, len(text) + 1):
+                parts = [C.Text(text[:i]), C.Text(text[i:j]), C.Image("ref", 784), C.Text(text[j:]), C.Text("<"), C.Text("/s>rest")]
+                for role in ("user", "assistant"):
+                    formatted, lo, hi, attached = C.format_turn(role, parts)
+                    assert len(attached) == 1 and formatted.count("[IMAGE:0]") == 1
+                    assert list(C.parse_turns(formatted)) == [(role, text[:j] + "[IMAGE:0]" + text[j:] + "</s>rest")]
+                alone, *_ = C.format_turn("user", [C.Text(text[:i]), C.Text(text[i:j]), C.Text(text[j:])])
+                assert list(C.parse_turns(alone)) == [("user", text)] and alone == C.format_turn("user", [C.Text(text)])[0]
