@@ -71,6 +71,21 @@ def blocks(offsets: np.ndarray, limit: int = SEGMENT) -> Iterator[tuple[int, int
         i = min(j, n)
 
 
+def cuts(buf: np.ndarray, delimiter: np.ndarray, limit: int = SEGMENT) -> Iterator[tuple[int, int]]:
+    """Ranges of one text, cut at delimiters, of limit bytes and what is left of a word there."""
+    at, n = 0, len(buf)
+    while at < n:
+        end = min(n, at + limit)
+        while end < n:
+            stops = np.flatnonzero(delimiter[buf[end : end + limit]])
+            if len(stops):
+                end += int(stops[0])
+                break
+            end = min(n, end + limit)
+        yield at, end
+        at = end
+
+
 def words(buf: np.ndarray, offsets: np.ndarray, delimiter: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and for each text the index of its first word (one more at the end)."""
     n = len(buf)

@@ -13,12 +13,13 @@ gradient of every rate is below TOLERANCE; if they do not get there, the fit fai
 
 Defined results: null and empty texts have no tokens, the posterior of the sample's shares and rate 1.0; repeated
 rows get equal rates; null labels are ignored; a domain without labelled texts has no posterior and cannot be met;
-without labelled texts at all every rate is 1.0; an empty table gives an empty result; other columns pass through
-mix() unchanged.
+without labelled texts at all every rate is 1.0; an empty table gives an empty result; other columns, whatever their names, pass
+through mix() unchanged; texts of any length are read in pieces.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +32,6 @@ from inkstrata.llm._shared import written
 from inkstrata.session import table
 
 SAMPLE = 3000
-SAMPLE_CHARS = 20_000
 BUCKETS = 1 << 15
 STEPS = 40
 RIDGE = 1e-4
@@ -50,21 +50,41 @@ class Classifier:
 
     def posteriors(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Words of each text, and its posterior."""
-        buf, offsets = B.buffers(texts, lower=True)
-        counts, values = [], []
-        for i, j in B.blocks(offsets):
-            part, at = buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-            starts, ends, first = B.words(part, at, B.WHITESPACE)
-            bucket = _buckets(B.word_hashes(part, starts, ends))
-            n = np.diff(first)
-            z = np.zeros((j - i, len(self.domains)))
-            some = n > 0
-            if some.any():
-                for k in range(len(self.domains)):
-                    z[some, k] = np.add.reduceat(self.weights[bucket, k].astype(np.float64), first[:-1][some])
-            values.append(_softmax(z / np.sqrt(np.maximum(n, 1))[:, None] + self.prior))
-            counts.append(n)
-        return np.concatenate(counts or [np.zeros(0, np.int64)]), np.concatenate(values or [np.zeros((0, len(self.domains)))])
+        n, z = np.zeros(len(texts), np.int64), np.zeros((len(texts), len(self.domains)))
+        for i, first, bucket in _bucketed(texts):
+            size = np.diff(first)
+            some = np.flatnonzero(size)
+            n[i : i + len(size)] += size
+            for k in range(len(self.domains) if len(some) else 0):
+                z[i + some, k] += np.add.reduceat(self.weights[bucket, k].astype(np.float64), first[:-1][some])
+        return n, _softmax(z / np.sqrt(np.maximum(n, 1))[:, None] + self.prior)
+
+
+def _bucketed(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number of the first text, first word of each text (and one more), and the words' buckets, by blocks of texts; a
+    text longer than a block comes in pieces."""
+    buf, offsets = B.buffers(texts, lower=True)
+    for i, j in B.blocks(offsets):
+        whole = buf[offsets[i] : offsets[j]]
+        parts = [(0, len(whole))] if j > i + 1 or len(whole) <= B.SEGMENT else B.cuts(whole, B.WHITESPACE)
+        for lo, hi in parts:
+            at = offsets[i : j + 1] - offsets[i] if j > i + 1 else np.array([0, hi - lo])
+            starts, ends, first = B.words(whole[lo:hi], at, B.WHITESPACE)
+            yield i, first, _buckets(B.word_hashes(whole[lo:hi], starts, ends))
+
+
+def counts_of(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The buckets of each text's words, and how many words each has: no more than BUCKETS numbers, whatever a text's length."""
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(len(texts))]
+    for i, first, bucket in _bucketed(texts):
+        for r in range(len(first) - 1):
+            found, n = np.unique(bucket[first[r] : first[r + 1]], return_counts=True)
+            held, m = out[i + r]
+            if len(held):
+                found, at = np.unique(np.concatenate([held, found]), return_inverse=True)
+                n = np.bincount(at, np.concatenate([m, n])).astype(np.int64)
+            out[i + r] = (found, n)
+    return out
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
@@ -77,37 +97,49 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def fit_classifier(texts: list[str], labels: list[str]) -> Classifier:
-    """A softmax by momentum steps scaled by the root of a bucket's frequency."""
+    return fit_counts(counts_of(pa.array(texts, pa.large_string())), labels)
+
+
+def fit_counts(counts: list[tuple[np.ndarray, np.ndarray]], labels: list[str]) -> Classifier:
+    """A softmax on bucket counts, by momentum steps scaled by the root of a bucket's frequency."""
     domains = tuple(sorted(set(labels)))
     y = np.array([domains.index(x) for x in labels])
-    buf, offsets = B.buffers(pa.array(texts, pa.large_string()), lower=True)
-    starts, ends, first = B.words(buf, offsets, B.WHITESPACE)
-    bucket = _buckets(B.word_hashes(buf, starts, ends))
-    n = np.diff(first)
-    some = n > 0
-    doc = np.repeat(np.arange(len(texts)), n)
-    scale = 1 / np.sqrt(np.maximum(n, 1))
+    sizes = np.array([len(b) for b, _ in counts])
+    bucket, weight = (np.concatenate([c[i] for c in counts]) for i in (0, 1))
+    some = sizes > 0
+    begins = (np.cumsum(sizes) - sizes)[some]
+    doc = np.repeat(np.arange(len(counts)), sizes)
+    scale = 1 / np.sqrt(np.maximum(np.bincount(doc, weight, len(counts)), 1))
     prior = np.log(np.bincount(y, minlength=len(domains)) / len(y))
-    root = np.sqrt(np.maximum(np.bincount(bucket, scale[doc] ** 2, BUCKETS), 1e-3))
+    root = np.sqrt(np.maximum(np.bincount(bucket, weight * scale[doc] ** 2, BUCKETS), 1e-3))
     w = np.zeros((BUCKETS, len(domains)))
     pace = np.zeros_like(w)
     hot = np.eye(len(domains))[y]
     for _ in range(STEPS):
-        z = np.zeros((len(texts), len(domains)))
-        for k in range(len(domains)):
-            z[some, k] = np.add.reduceat(w[bucket, k], first[:-1][some])
+        z = np.zeros((len(counts), len(domains)))
+        for k in range(len(domains) if some.any() else 0):
+            z[some, k] = np.add.reduceat(w[bucket, k] * weight, begins)
         g = (_softmax(z * scale[:, None] + prior) - hot) * scale[:, None]
         for k in range(len(domains)):
-            pace[:, k] = 0.8 * pace[:, k] + np.bincount(bucket, g[doc, k], BUCKETS) / root
+            pace[:, k] = 0.8 * pace[:, k] + np.bincount(bucket, g[doc, k] * weight, BUCKETS) / root
         w -= 0.01 * pace
     return Classifier(domains, w.astype(np.float32), prior)
 
 
 def labelled_sample(docs: DataFrame, labelled: DataFrame, id_col: str, text_col: str, domain: Column, limit: int = SAMPLE) -> list:
-    """At most limit (text, domain) rows: ids of smallest hash in the labelled table; domain may read both tables."""
+    """At most limit ids, those of smallest hash in the labelled table: rows of domain, and the buckets and counts of the
+    whole text's words, made where the texts are. domain may read both tables."""
     ids = labelled.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]).orderBy(F.xxhash64(id_col), id_col).limit(limit)
-    rows = docs.filter(F.length(text_col) <= SAMPLE_CHARS).join(F.broadcast(ids), id_col).select(F.col(id_col).alias("k"), F.col(text_col).alias("text"), domain.alias("domain"))
-    return rows.filter("domain is not null").orderBy(F.xxhash64("k"), "k", "text").limit(2 * limit).collect()
+    rows = docs.join(F.broadcast(ids), id_col).select(F.xxhash64(id_col).alias("k"), F.xxhash64(text_col).alias("t"), F.col(text_col).cast("string").alias("text"), domain.alias("domain"))
+
+    def run(batches):
+        for b in batches:
+            found = counts_of(b.column("text"))
+            lists = [pa.array([c[i] for c in found], pa.list_(pa.int64())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([b.column("k"), b.column("t"), b.column("domain"), *lists], names=["k", "t", "domain", "buckets", "counts"])
+
+    counted = rows.filter("domain is not null").withColumn("t", F.coalesce("t", F.lit(0))).mapInArrow(run, "k long, t long, domain string, buckets array<long>, counts array<long>")
+    return counted.orderBy("k", "t", "domain", "buckets").limit(2 * limit).collect()
 
 
 def memberships(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -198,7 +230,7 @@ def mixed_rates(docs: DataFrame, labelled: DataFrame, domain: Column, weights: d
     if not sample:
         plain = docs.select(id_col, F.lit(0).cast("long").alias("n_tokens"), F.array().cast("array<double>").alias("posterior"), F.lit(1.0).alias("rate"))
         return plain, (), np.zeros(0)
-    classifier = fit_classifier([r["text"] for r in sample], [r["domain"] for r in sample])
+    classifier = fit_counts([(np.array(r["buckets"], np.int64), np.array(r["counts"], np.int64)) for r in sample], [r["domain"] for r in sample])
     member = memberships(docs, classifier, id_col, text_col)
     want = np.array([max(0.0, weights.get(d, 0.0)) for d in classifier.domains])
     target = want / want.sum() if want.sum() else np.full(len(want), 1 / len(want))
@@ -213,10 +245,12 @@ def mix(docs: DataFrame, labelled: DataFrame, domain: Column, weights: dict[str,
     """docs with each row as often as its rate says: the fraction is rounded by a hash of the id; least: times at least,
     which the fit knows as a bound on the rates."""
     found, _, _ = mixed_rates(docs, labelled, domain, weights, id_col, text_col, cover, least)
-    chance = F.pmod(F.xxhash64(F.col(id_col), F.lit("mix")), F.lit(1 << 20)) / F.lit(1 << 20)
-    times = found.groupBy(id_col).agg(F.max("rate").alias("__rate")).withColumn("__times", F.greatest(F.lit(least), F.floor(F.col("__rate") + chance)).cast("int"))
-    joined = docs.join(times.withColumnRenamed(id_col, "__id"), F.col(id_col).eqNullSafe(F.col("__id")), "left")
-    return joined.withColumn("__n", F.explode(F.sequence(F.lit(0), F.coalesce("__times", F.lit(1))))).filter(F.col("__n") < F.coalesce("__times", F.lit(1))).select(docs.columns)
+    chance = F.pmod(F.xxhash64("id", F.lit("mix")), F.lit(1 << 20)) / F.lit(1 << 20)
+    rates_of = found.select(F.col(id_col).alias("id"), "rate").groupBy("id").agg(F.max("rate").alias("rate"))
+    times = rates_of.select("id", F.greatest(F.lit(least), F.floor(F.col("rate") + chance)).cast("int").alias("times"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("key"))
+    joined = rows.join(times, F.col("key").eqNullSafe(F.col("id")), "left").withColumn("times", F.coalesce("times", F.lit(1))).filter("times > 0")
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 
 
 #: Production mix: prose by language, and little of what is labelled as low in quality.

@@ -121,3 +121,45 @@ def test_empty_tables(spark, tables):
     _, docs, labelled = tables
     assert M.mix(docs.limit(0), labelled, F.col("domain"), {"a": 1.0}).count() == 0
     assert M.mix(docs, labelled.limit(0), F.col("domain"), {"a": 1.0}).count() == docs.count()
+
+
+def _hash(word):
+    """A word's hash by plain integers."""
+    mask, base = 2**64 - 1, int(M.B.BASE)
+    total = sum(int(M.B.TABLE[b]) * pow(base, i, 2**64) for i, b in enumerate(word)) & mask
+    x = (total + len(word) * int(M.B.MULTS[2])) & mask
+    for shift, mult in ((30, int(M.B.MULTS[0])), (27, int(M.B.MULTS[1])), (31, 1)):
+        x = (x ^ (x >> shift)) * mult & mask
+    return x
+
+
+def test_posteriors_equal_brute_force():
+    rows = corpus(60)
+    c = M.fit_classifier([t for _, t, _ in rows], [d for _, _, d in rows])
+    texts = ["alpha blue\tcold  CLAY", "", None, "x", rows[0][1], "\u00e9t\u00e9 amber"]
+    n, p = c.posteriors(M.pa.array(texts))
+    for text, size, mine in zip(texts, n, p):
+        words = "".join(x.lower() if x.isascii() else x for x in text or "").split()
+        z = sum((c.weights[_hash(w.encode()) >> (64 - M.BUCKETS.bit_length() + 1)].astype(float) for w in words), np.zeros(3)) / np.sqrt(max(1, len(words))) + c.prior
+        assert size == len(words) and np.allclose(mine, np.exp(z) / np.exp(z).sum())
+
+
+def test_long_texts_come_in_pieces(monkeypatch):
+    rows = corpus(60)
+    texts = [t for _, t, _ in rows] + ["", None, "w" * 500]
+    whole = M.fit_classifier(texts, [d for _, _, d in rows] + ["a"] * 3)
+    n, p = whole.posteriors(M.pa.array(texts))
+    monkeypatch.setattr(M.B, "SEGMENT", 64)
+    monkeypatch.setattr(M.B.blocks, "__defaults__", (64,))
+    monkeypatch.setattr(M.B.cuts, "__defaults__", (64,))
+    pieces = M.fit_classifier(texts, [d for _, _, d in rows] + ["a"] * 3)
+    assert np.allclose(pieces.weights, whole.weights)
+    again, q = pieces.posteriors(M.pa.array(texts))
+    assert (again == n).all() and np.allclose(p, q)
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "alpha", 3, "x", 9), (2, "blue", 4, "y", 8)], "doc_id long, text string, times int, id string, rate int")
+    labelled = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, domain string")
+    out = M.mix(docs, labelled, F.col("domain"), {"a": 0.5, "b": 0.5}, least=1)
+    assert out.columns == docs.columns and set(out.collect()) == set(docs.collect())
