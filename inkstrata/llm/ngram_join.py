@@ -2,12 +2,13 @@
 
 A text is the set of its distinct word k-grams; texts of equal sets are one. Two sets link when the intersection
 is at least num/den of the union. Search space: linked sets are of the same size band or of neighbouring ones and
-differ in at most d k-grams, d a number of the band; so of more than d parts of the hash space one at least holds
-the same k-grams of both. Each set is posted under the hash of each of its parts, and chains over equal parts make
-clusters that no link leaves; sets that share but passages have no equal part. A cluster is searched in one task; a
-large one by size band in chunks, each with heads (sets drawn by hash) of all the others, and then only sets outside the
-cluster's largest component so far meet the other chunks: a missing link has one of them at an end, so nothing is lost,
-and groups of near copies never meet chunk by chunk. In a task, sets come in increasing size: a set's inverted lists are divided; the short ones are merged by a heap that skips what cannot reach the threshold, the
+differ in at most d k-grams, d a number of the band; so of d + t parts of the hash space t at least hold the same
+k-grams of both. That is a T-occurrence problem too, over hashes of parts: sets that share fewer than t parts with all
+others together are out, the others are posted under their rarest shared parts, all but t - 1; sets under one part make
+clusters that no link leaves. Sets that share but passages have few equal parts. A cluster is searched in one task; a
+large one by size band in chunks, each with heads (sets drawn by hash) of all the others, which connects groups of near
+copies, and then by equal part, but only parts whose sets are of several components so far: a missing link is between
+two of those, so nothing is lost, and groups of near copies never meet chunk by chunk. In a task, sets come in increasing size: a set's inverted lists are divided; the short ones are merged by a heap that skips what cannot reach the threshold, the
 long ones are probed by binary search, and sets that reach the required overlap are links. Lists that hold the
 query's own component alone are left out: they cannot connect anything new.
 
@@ -36,11 +37,13 @@ from inkstrata.session import table
 
 #: Shingles of a search unit.
 UNIT = 250_000
-#: A part that so many sets have is chained in SALTS pieces, if it is among the most frequent.
-FREQUENT, SALTS = 1024, 64
+#: A part that so many sets have, if it is among the most frequent, need not meet its like in one task to be known as shared.
+FREQUENT = 1024
+#: How often sets with too few shared parts are left out, and the parts counted again.
+ROUNDS = 3
 MU = 0.0085
-#: Parts beyond those that pigeonholes need, so that an equal part need not be an empty one.
-SPARE = 0.03
+#: Parts beyond those that pigeonholes need, as a share of these: so many parts at least are equal in linked sets.
+SPARE = 0.3
 
 
 def _needed(n: int, num: int, den: int) -> int:
@@ -56,32 +59,35 @@ def size_bands(num: int, den: int, upto: int) -> np.ndarray:
     return np.array([*first, first[-1] * den // num + 1], np.int64)
 
 
-def part_keys(s: np.ndarray, num: int, den: int, bands: np.ndarray) -> np.ndarray:
-    """Hashes of the parts of a sorted set: in the division of its own band, and of the next, for larger partners."""
+def part_keys(s: np.ndarray, num: int, den: int, bands: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """Hashes of the parts of a sorted set, in the division of its own band and of the next, for larger partners; and how
+    many of these hashes any set that links with it shares at least."""
     own = int(np.searchsorted(bands, len(s), "right")) - 1
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(B.mix(s + np.uint64(1)))])
     out = []
     for band in (own, own + 1):
         differ = 2 * (int(bands[band + 1]) - 1) * (den - num) // (num + den)
-        parts = differ + 1 + (math.ceil(SPARE * (differ + 1)) + 1 if differ else 0)
+        parts = differ + 1 + (math.ceil(SPARE * (differ + 1)) if differ else 0)
         edges = np.array([-(-(i << 64) // parts) for i in range(1, parts)], np.uint64) if parts < 64 else (np.arange(1, parts, dtype=np.float64) * (2.0**64 / parts)).astype(np.uint64)
         at = np.concatenate([[0], np.searchsorted(s, edges), [len(s)]])
         filled = np.diff(at) > 0
         with np.errstate(over="ignore"):
             keys = B.mix((sums[at[1:]] - sums[at[:-1]]) ^ B.mix(np.arange(parts, dtype=np.uint64) * B.MULTS[5] + np.uint64(band + 1) * B.MULTS[6]))
-        # with that many empty parts all equal parts may be empty: then they count too
-        out.append(keys if (~filled).sum() >= parts - differ else keys[filled])
-    return np.concatenate(out)
+        # of the equal parts no more are empty than the set has; if all may be, empty ones count too, and one is sure
+        sure = parts - differ - int((~filled).sum())
+        out.append((keys[filled], sure) if sure > 0 else (keys, 1))
+    return out
 
 
 def signatures(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """id, n, digest of the set, node, and the hashes of its parts, of each text."""
-    schema = pa.schema([("n", pa.int64()), ("digest", pa.binary()), ("node", pa.int64()), ("parts", pa.list_(pa.int64()))])
+    """id, n, digest of the set, node (even), and per division the hashes of its parts and how many a link shares, of each text."""
+    columns = [("own", pa.list_(pa.int64())), ("own_sure", pa.int64()), ("next", pa.list_(pa.int64())), ("next_sure", pa.int64())]
+    schema = pa.schema([("n", pa.int64()), ("digest", pa.binary()), ("node", pa.int64()), *columns])
 
     def run(batches):
         bands = size_bands(num, den, 1 << 16)
         for b in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[] for _ in range(len(schema) + 1)]
             held = 0
 
             def flush():
@@ -89,39 +95,60 @@ def signatures(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
             for r, words in B.each_text(b.column(1), B.WHITESPACE):
                 s = B.shingles(words, k)
-                row = [len(s), None, None, None]
+                row = [len(s), *[None] * 6]
                 if len(s):
                     if len(s) >= bands[-2]:
                         bands = size_bands(num, den, 2 * len(s))
                     digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                    parts = part_keys(s, num, den, bands).view(np.int64)
-                    row = [len(s), digest, int.from_bytes(digest[:8], "little") >> 1, parts]
-                    held += len(parts)
+                    (own, own_sure), (after, after_sure) = part_keys(s, num, den, bands)
+                    row = [len(s), digest, (int.from_bytes(digest[:8], "little") >> 2) * 2, own.view(np.int64), own_sure, after.view(np.int64), after_sure]
+                    held += len(own) + len(after)
                 for c, v in zip(out, [r, *row]):
                     c.append(v)
                 if held > 1 << 18:
                     yield flush()
-                    out, held = [[], [], [], [], []], 0
+                    out, held = [[] for _ in range(len(schema) + 1)], 0
             if out[0]:
                 yield flush()
 
-    return texts.select("id", "text").mapInArrow(run, "id long, n long, digest binary, node long, parts array<long>")
+    return texts.select("id", "text").mapInArrow(run, "id long, n long, digest binary, node long, own array<long>, own_sure long, next array<long>, next_sure long")
+
+
+def shared_parts(once: DataFrame) -> DataFrame:
+    """key and u (node, or node + 1 for the division of the next band) of parts that two sets or more have, written. once:
+    distinct sets. Parts are sorted by key; of very common ones, each set's is known as shared without its like."""
+    each = once.select(F.explode("own").alias("key"), F.col("node").alias("u")).unionByName(once.select(F.explode("next").alias("key"), (F.col("node") + 1).alias("u")))
+    hot = frequent_slots(each.select("key"), 64, FREQUENT)
+    common = F.lit(False) if hot is None else slot_class(F.col("key"), 64, constant_table(hot)) > 0
+    order = Window.partitionBy("key").orderBy("u")
+    beside = each.filter(~common).select("key", "u", F.lag("u").over(order).alias("before"), F.lead("u").over(order).alias("after"))
+    found = beside.filter("before is not null or after is not null").select("key", "u")
+    return written(found if hot is None else found.unionByName(each.filter(common)), "shared")
+
+
+def posted_parts(shared: DataFrame, needs: DataFrame) -> DataFrame:
+    """key and node of the parts that a set is searched under, written. needs: u, and how many parts a link shares.
+
+    T-occurrence, by parts: a set with fewer shared parts than a link needs has none; the others, in the order of rarity
+    (sets that have the part, then its hash), are posted under all but the last that a link needs, less one.
+    """
+    left = shared
+    for _ in range(ROUNDS):
+        several = left.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+        counted = left.join(several, "key")
+        enough = counted.groupBy("u").agg(F.count("*").alias("s")).join(needs, "u").filter("s >= sure")
+        left = written(counted.join(enough.select("u"), "u", "left_semi").select("key", "u"), "shared")
+    several = left.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    order = Window.partitionBy("u").orderBy("c", "key")
+    ranked = left.join(several, "key").select("key", "u", F.row_number().over(order).alias("r"), F.count("*").over(Window.partitionBy("u")).alias("s"))
+    out = ranked.join(needs, "u").filter("r <= s - sure + 1").select("key", (F.col("u") - F.pmod("u", F.lit(2))).alias("node"))
+    return written(out, "parts")
 
 
-def cluster_edges(once: DataFrame) -> DataFrame:
-    """Edges whose components no link leaves: from each distinct set (node, parts) to the one before it under each of
-    its parts. A part that very many sets have is chained by pieces, and the pieces' first sets are joined to one."""
-    keyed = once.select("node", F.explode("parts").alias("key"))
-    hot = frequent_slots(keyed.select("key"), 64, FREQUENT)
-    salt = F.lit(0) if hot is None else F.when(slot_class(F.col("key"), 64, constant_table(hot)) > 0, F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(0)
-    salted = keyed.withColumn("salt", salt)
-    before = F.lag("node").over(Window.partitionBy("key", "salt").orderBy("node"))
-    chained = salted.select(F.col("node").alias("a"), before.alias("b")).filter("b is not null")
-    if hot is not None:
-        heads = salted.filter(slot_class(F.col("key"), 64, constant_table(hot)) > 0).groupBy("key", "salt").agg(F.min("node").alias("a"))
-        # pieces of one part: SALTS at most
-        chained = chained.unionByName(heads.groupBy("key").agg(F.collect_list("a").alias("all")).select(F.explode("all").alias("a"), F.array_min("all").alias("b")))
-    return chained.filter("a <> b")
+def cluster_edges(parts: DataFrame) -> DataFrame:
+    """Edges (a, b: nodes) whose components no link leaves: from each set to the first one under each of its parts."""
+    first = parts.groupBy("key").agg(F.min("node").alias("b"))
+    return parts.join(first, "key").select(F.col("node").alias("a"), "b").filter("a <> b")
 
 
 def size_band(n: str, num: int, den: int):
@@ -146,10 +173,10 @@ def large_members(members: DataFrame, num: int, den: int, unit: int) -> DataFram
     half a unit, more or less), chunks, and whether the set is one of the band's heads, a quarter of a unit at most."""
     own = size_band("n", num, den)
     large = members.join(sizes_of(members, "cluster").filter(F.col("total") > unit).select("cluster"), "cluster")
-    banded = large.select(F.col("rep").alias("id"), "n", "cluster", F.explode(F.array(own, own + 1)).alias("band"))
+    banded = large.select(F.col("rep").alias("id"), "n", "node", "cluster", F.explode(F.array(own, own + 1)).alias("band"))
     load = sizes_of(banded, "cluster", "band").select("cluster", "band", "total", F.ceil(2 * F.col("total") / F.lit(unit)).cast("long").alias("chunks"))
     share = F.lit(unit / 4) / F.col("total") * (1 << 20)
-    return banded.join(load, ["cluster", "band"]).select("id", "n", "cluster", "band", F.pmod(F.xxhash64("id"), "chunks").alias("chunk"), "chunks", (F.pmod(F.xxhash64("id", F.lit("head")), F.lit(1 << 20)) < share).alias("head"))
+    return banded.join(load, ["cluster", "band"]).select("id", "n", "node", "cluster", "band", F.pmod(F.xxhash64("id"), "chunks").alias("chunk"), "chunks", (F.pmod(F.xxhash64("id", F.lit("head")), F.lit(1 << 20)) < share).alias("head"))
 
 
 def first_units(large: DataFrame) -> DataFrame:
@@ -159,17 +186,24 @@ def first_units(large: DataFrame) -> DataFrame:
     return own.unionByName(heads.select("id", "n", "cluster", "band", "i", F.col("i").alias("j")))
 
 
-def last_units(large: DataFrame, joined: DataFrame) -> DataFrame:
-    """What may still be missing: links between a set outside its cluster's largest component so far and a set of
-    another chunk. Units (i, j): the outsiders of chunk i with all of chunk j; label: the component so far."""
-    named = large.join(joined.select(F.col("node").alias("id"), "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    most = named.groupBy("cluster", "label").agg(F.count("*").alias("c")).groupBy("cluster").agg(F.max_by("label", F.struct("c", -F.col("label"))).alias("main"))
-    told = written(named.join(most, "cluster").filter("chunks > 1").withColumn("outside", F.col("label") != F.col("main")).drop("main", "head"), "told")
+def last_units(large: DataFrame, parts: DataFrame, joined: DataFrame, unit: int) -> DataFrame:
+    """What may still be missing: links between sets of different components so far that have an equal part. Units are the
+    parts whose sets are of several components; a part with very many sets is searched in chunks, the sets outside its
+    largest component (i) with all sets (j). label: the component so far."""
+    named = large.select("id", "n", "node").distinct().join(joined.select(F.col("node").alias("id"), "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    keyed = named.join(parts.distinct(), "node").select("id", "n", "label", F.col("key").alias("cluster"))
+    mixed = keyed.groupBy("cluster").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum("n").alias("total")).filter("lo < hi").select("cluster", "total")
+    told = written(keyed.join(mixed, "cluster"), "told")
+    none = [F.lit(-2).cast("long").alias("band"), *(F.lit(-1).cast("long").alias(c) for c in ("i", "j"))]
     columns = ["id", "n", *UNIT_KEY, "label"]
-    outsiders = told.filter("outside").withColumn("i", F.col("chunk")).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).filter("i <> j")
-    open_chunks = told.filter("outside").groupBy("cluster", "band").agg(F.collect_set("chunk").alias("open"))
-    others = told.join(open_chunks, ["cluster", "band"]).withColumn("j", F.col("chunk")).withColumn("i", F.explode("open")).filter("i <> j")
-    return outsiders.select(columns).unionByName(others.select(columns))
+    few = told.filter(F.col("total") <= unit).select("id", "n", "label", "cluster", *none)
+    many = told.filter(F.col("total") > unit).withColumn("chunks", F.ceil(2 * F.col("total") / F.lit(unit)).cast("long"))
+    most = many.groupBy("cluster", "label").agg(F.count("*").alias("c")).groupBy("cluster").agg(F.max_by("label", F.struct("c", -F.col("label"))).alias("main"))
+    dealt = many.join(most, "cluster").select("id", "n", "label", "cluster", none[0], "chunks", F.pmod(F.xxhash64("id"), "chunks").alias("chunk"), (F.col("label") != F.col("main")).alias("outside"))
+    outsiders = dealt.filter("outside").withColumn("i", F.col("chunk")).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).filter("i <> j")
+    open_chunks = dealt.filter("outside").groupBy("cluster").agg(F.collect_set("chunk").alias("open"))
+    others = dealt.join(open_chunks, "cluster").withColumn("j", F.col("chunk")).withColumn("i", F.explode("open"))
+    return few.select(columns).unionByName(outsiders.select(columns)).unionByName(others.select(columns))
 
 
 class TOccurrence:
@@ -333,19 +367,21 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     with scratch() as scope:
         signed = written(signatures(texts, k, num, den), "signatures")
         sets = written(signed.select("id", "n", "digest", "node"), "sets")
-        once = written(signed.filter("n > 0 and id is not null").groupBy("digest").agg(F.first("node").alias("node"), F.first("parts").alias("parts")).select("node", "parts"), "once")
+        kept = ["node", "own", "own_sure", "next", "next_sure"]
+        once = written(signed.filter("n > 0 and id is not null").groupBy("digest").agg(F.first(F.struct(*kept)).alias("s")).select("s.*"), "once")
         drop(signed)
-        edges = written(cluster_edges(once), "edges")
+        needs = written(once.select(F.col("node").alias("u"), F.col("own_sure").alias("sure")).unionByName(once.select((F.col("node") + 1).alias("u"), F.col("next_sure").alias("sure"))), "needs")
+        shared = shared_parts(once)
         drop(once)
-        clusters = components(edges)
+        parts = posted_parts(shared, needs)
+        clusters = components(cluster_edges(parts))
         reps = sets.filter("n > 0 and id is not null").groupBy("digest", "n", "node").agg(F.min("id").alias("rep"))
         members = written(reps.join(clusters.select("node", F.col("label").alias("cluster")), "node"), "members")
-        drop(edges)
         large = written(large_members(members, num, den, unit), "large")
         links = searched(written(small_units(members, unit).unionByName(first_units(large)), "units"))
         joined = components(links)
         if not large.isEmpty():
-            rest = written(last_units(large, joined), "units")
+            rest = written(last_units(large, parts, joined, unit), "units")
             if not rest.isEmpty():
                 joined = components(links.unionByName(searched(rest)))
         named = reps.join(joined.select(F.col("node").alias("rep"), "label"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))
