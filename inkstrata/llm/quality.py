@@ -1,8 +1,8 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions alone.
 
-Every rule is a predicate on the whole text. Its cost (characters or words that it touches, times a weight) and
-its rejection rate are estimated on a sample; the cascade tries the rules by rejections per cost, and a text
-that one rule rejects never pays for the rules after it. The order changes the work, never the verdict.
+Every rule is a predicate on the whole text. Its cost (seconds, less those of reading alone) and its rejection rate are
+measured on a sample drawn by chance from all rows; the cascade tries the rules by rejections per cost, and a text that
+one rule rejects never pays for the rules after it. The order changes the work, never the verdict.
 
 Defined results: null text has no words and is rejected as too short; empty texts likewise; rows that repeat are
 judged each by itself; an empty table gives an empty result; other columns, whatever their names, pass through
@@ -11,6 +11,7 @@ keep() unchanged and are ignored by features().
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cache
@@ -18,6 +19,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkstrata.llm._shared import drop, written
 from inkstrata.session import table
 
 WINDOW = 8
@@ -63,7 +65,9 @@ def n_repeat_words(words: Column, k: int = WINDOW) -> Column:
         return F.aggregate(spans, F.lit(0).cast("long"), lambda a, x: a + x)
 
     def counted(w: Column) -> Column:
-        hashes = F.transform(F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i: F.xxhash64(F.slice(w, i, k)))
+        # a window's hash is that of its words' hashes: each word is hashed once
+        rolled = let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: F.transform(h, lambda x, i: F.xxhash64(x, *(F.get(h, i + j) for j in range(1, k)))))
+        hashes = F.slice(rolled, 1, F.size(w) - (k - 1))
         return F.when(F.size(w) < k, F.lit(0).cast("long")).otherwise(let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(covered(h))))
 
     return let(words, counted)
@@ -71,26 +75,25 @@ def n_repeat_words(words: Column, k: int = WINDOW) -> Column:
 
 @dataclass(frozen=True)
 class Rule:
-    """reject: whether a text fails; work: what the rule touches, in units of its own, times weight for its cost."""
+    """reject: whether a text fails. A rule on words may have them ready: with words, reject takes text and words."""
 
     name: str
-    reject: Callable[[Column], Column]
-    work: Callable[[Column], Column]
-    weight: float = 1.0
+    reject: Callable[..., Column]
+    words: bool = False
 
-
-def _chars(text: Column) -> Column:
-    return F.coalesce(F.length(text), F.lit(0))
+    def on(self, text: Column, words: Column | None = None) -> Column:
+        said = self.reject(text, words_of(text) if words is None else words) if self.words else self.reject(text)
+        return F.coalesce(said, F.lit(False))
 
 
 @cache
 def _defaults() -> tuple[Rule, ...]:
     """Lenient rules: they reject junk (markup, tables, repetition) and leave prose of any language alone."""
-    few = Rule("few_words", lambda t: F.size(words_of(t)) < MIN_WORDS, _chars, 1.0)
-    repeat = Rule("repeated_windows", lambda t: let(words_of(t), lambda w: 100 * n_repeat_words(w) > MAX_REPEAT_PERCENT * F.size(w)), _chars, 6.0)
-    symbols = Rule("symbols", lambda t: 100 * n_symbols(t) > 20 * F.size(words_of(t)), _chars, 1.5)
-    length = Rule("word_length", lambda t: let(words_of(t), lambda w: (word_chars(w) > 25 * F.size(w)) | (word_chars(w) < 2 * F.size(w))), _chars, 1.3)
-    lines = Rule("repeated_lines", lambda t: let(word_lines(t), lambda x: (F.size(x) >= 4) & (100 * n_dup_lines(x) > 50 * F.size(x))), _chars, 0.5)
+    few = Rule("few_words", lambda t, w: F.size(w) < MIN_WORDS, True)
+    repeat = Rule("repeated_windows", lambda t, w: 100 * n_repeat_words(w) > MAX_REPEAT_PERCENT * F.size(w), True)
+    symbols = Rule("symbols", lambda t, w: 100 * n_symbols(t) > 20 * F.size(w), True)
+    length = Rule("word_length", lambda t, w: let(word_chars(w), lambda c: (c > 25 * F.size(w)) | (c < 2 * F.size(w))), True)
+    lines = Rule("repeated_lines", lambda t: let(word_lines(t), lambda x: (F.size(x) >= 4) & (100 * n_dup_lines(x) > 50 * F.size(x))))
     return few, repeat, symbols, length, lines
 
 
@@ -98,59 +101,87 @@ def default_rules() -> list[Rule]:
     return list(_defaults())
 
 
-def ordered_rules(docs: DataFrame, rules: list[Rule], text_col: str = "text", sample_rows: int = 500) -> list[Rule]:
-    """rules by rejections per cost on a sample of sample_rows rows; ties keep their order."""
-    t = F.col(text_col)
-    sample = docs.select(text_col).limit(sample_rows)
-    counts = [F.sum(F.coalesce(r.reject(t), F.lit(False)).cast("double")).alias(f"r{i}") for i, r in enumerate(rules)]
-    costs = [F.sum(r.work(t) * F.lit(r.weight)).alias(f"c{i}") for i, r in enumerate(rules)]
-    row = sample.agg(*counts, *costs).first()
-    gain = {r.name: (row[f"r{i}"] or 0.0) / ((row[f"c{i}"] or 0.0) + 1.0) for i, r in enumerate(rules)}
-    return sorted(rules, key=lambda r: -gain[r.name])
+#: Rows that the sample has, about, and how often each is judged to tell the rules' costs.
+SAMPLE_ROWS, REPEATS = 500, 8
+
+
+def with_words(docs: DataFrame, text_col: str) -> DataFrame:
+    """row, text, words: words are made once, whatever rules read them; names in the row cannot clash."""
+    return docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text")).select("row", "text", words_of(F.col("text")).alias("words"))
 
 
-def cascade(rules: list[Rule], text: Column) -> Column:
+def measured(docs: DataFrame, rules: list[Rule], text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float]]:
+    """By rule: the share of the sample that it rejects, and the seconds that it takes for the sample."""
+    n = docs.count()
+    drawn = docs.select(F.col(text_col).alias("text")).sample(fraction=min(1.0, sample_rows / n), seed=7) if n else docs.select(F.col(text_col).alias("text"))
+    sample = written(drawn, "sample")
+    many = with_words(sample, "text").select("text", "words", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))))
+
+    def timed(verdict: Column) -> tuple[int, int, float]:
+        best = float("inf")
+        for _ in range(2):
+            began = time.perf_counter()
+            rows, rejected = many.agg(F.count("*"), F.count_if(verdict)).first()
+            best = min(best, time.perf_counter() - began)
+        return rows, rejected, best
+
+    _, _, reading = timed(F.size("words") + F.length("text") < 0)
+    out = {}
+    for r in rules:
+        rows, rejected, seconds = timed(r.on(F.col("text"), F.col("words")))
+        out[r.name] = (rejected / max(rows, 1), max(seconds - reading, 1e-4))
+    drop(sample)
+    return out
+
+
+def ordered_rules(docs: DataFrame, rules: list[Rule], text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """rules by rejections per second on the sample; ties keep their order."""
+    found = measured(docs, rules, text_col, sample_rows)
+    return sorted(rules, key=lambda r: -found[r.name][0] / found[r.name][1])
+
+
+def cascade(rules: list[Rule], text: Column, words: Column | None = None) -> Column:
     """The first rule that rejects the text, null if none does; later rules are not evaluated."""
-    out = F.when(F.coalesce(rules[0].reject(text), F.lit(False)), rules[0].name)
+    out = F.when(rules[0].on(text, words), rules[0].name)
     for r in rules[1:]:
-        out = out.when(F.coalesce(r.reject(text), F.lit(False)), r.name)
+        out = out.when(r.on(text, words), r.name)
     return out
 
 
-def keep(docs: DataFrame, rules: list[Rule] | None = None, text_col: str = "text", sample_rows: int = 500) -> DataFrame:
+def keep(docs: DataFrame, rules: list[Rule] | None = None, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """docs without those that a rule rejects; columns unchanged."""
     chosen = ordered_rules(docs, rules or default_rules(), text_col, sample_rows)
-    return docs.filter(cascade(chosen, F.col(text_col)).isNull())
+    passed = with_words(docs, text_col).filter(cascade(chosen, F.col("text"), F.col("words")).isNull())
+    return passed.select("row.*")
 
 
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] | None = None, sample_rows: int = 500) -> DataFrame:
-    """id, the base counts, base_failed, and kept: what the cascade says."""
-    t = F.col(text_col)
+def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """id, the base counts, base_failed, and kept: what the cascade says. Every text pays for its counts; what the counts
+    tell already, the default rules read from them, and the cascade is spared texts that failed by the base rules."""
     chosen = ordered_rules(docs, rules or default_rules(), text_col, sample_rows)
-    found = docs.select(F.col(id_col), t, words_of(t).alias("__words"), word_lines(t).alias("__lines"))
+    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select("id", "text", words_of(F.col("text")).alias("words"), word_lines(F.col("text")).alias("lines"))
+    t = F.col("text")
     counted = found.select(
-        F.col(id_col),
-        t,
-        F.size("__words").cast("long").alias("n_words"),
-        word_chars(F.col("__words")).alias("word_chars"),
+        "id",
+        "text",
+        F.size("words").cast("long").alias("n_words"),
+        word_chars(F.col("words")).alias("word_chars"),
         n_symbols(t).alias("n_symbols"),
-        n_dup_lines(F.col("__lines")).alias("n_dup_lines"),
-        F.size("__lines").alias("__n_lines"),
-        n_repeat_words(F.col("__words")).alias("n_repeat_words"),
+        n_dup_lines(F.col("lines")).alias("n_dup_lines"),
+        F.size("lines").alias("n_lines"),
+        n_repeat_words(F.col("words")).alias("n_repeat_words"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    # the counts are there already: the default rules, in the cascade's order, read them instead of the text
     known = {
         "few_words": F.col("n_words") < MIN_WORDS,
         "repeated_windows": 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"),
         "symbols": 100 * F.col("n_symbols") > 20 * F.col("n_words"),
         "word_length": (F.col("word_chars") > 25 * F.col("n_words")) | (F.col("word_chars") < 2 * F.col("n_words")),
-        "repeated_lines": (F.col("__n_lines") >= 4) & (100 * F.col("n_dup_lines") > 50 * F.col("__n_lines")),
+        "repeated_lines": (F.col("n_lines") >= 4) & (100 * F.col("n_dup_lines") > 50 * F.col("n_lines")),
     }
-    by_counts = [Rule(r.name, (lambda _, c=known[r.name]: c) if r in _defaults() else r.reject, r.work, r.weight) for r in chosen]
-    return counted.select(
-        F.col(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & cascade(by_counts, t).isNull()).alias("kept")
-    )
+    by_counts = [Rule(r.name, lambda _, c=known[r.name]: c) if r in _defaults() else r for r in chosen]
+    kept = F.when(failed, F.lit(False)).otherwise(cascade(by_counts, t).isNull())
+    return counted.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), kept.alias("kept"))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

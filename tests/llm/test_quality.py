@@ -1,6 +1,9 @@
 import re
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from inkstrata.llm import quality as Q
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -59,10 +62,32 @@ def test_cascade_puts_cheap_rejecting_rules_first(spark):
 
 def test_own_rule_of_a_default_name_is_used(spark):
     docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(30 + i))) for i in range(3)], "doc_id long, text string")
-    own = Q.Rule("symbols", lambda t: t.contains("w31"), lambda t: t.isNotNull().cast("int"))
+    own = Q.Rule("symbols", lambda t: t.contains("w31"))
     assert {r.doc_id: r.kept for r in Q.features(docs, rules=[own, *Q.default_rules()]).collect()} == {0: True, 1: True, 2: False}
 
 
+def test_a_rejected_text_pays_for_no_later_rule(spark):
+    docs = spark.createDataFrame([("short text",), (None,), ("",)], "text string")
+    never = Q.Rule("never", lambda t: F.raise_error(F.lit("evaluated")).cast("boolean"))
+    few = Q.default_rules()[0]
+    assert {r[0] for r in docs.select(Q.cascade([few, never], F.col("text"))).collect()} == {"few_words"}
+    with pytest.raises(Exception, match="evaluated"):
+        docs.select(Q.cascade([never, few], F.col("text"))).collect()
+
+
+def test_costs_are_measured(spark):
+    docs = spark.createDataFrame([(" ".join(f"w{i * j % 977}" for i in range(2000)),) for j in range(40)], "text string")
+    slow, fast = Q.Rule("slow", lambda t, w: F.size(F.array_distinct(F.transform(w, lambda x: F.sha2(x, 512)))) > 0, True), Q.Rule("fast", lambda t: F.length(t) > 0)
+    found = Q.measured(docs, [slow, fast])
+    assert found["slow"][0] == found["fast"][0] == 1.0 and found["slow"][1] > found["fast"][1]
+    assert [r.name for r in Q.ordered_rules(docs, [slow, fast])] == ["fast", "slow"]
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(30)), 5, "x", 7)], "doc_id long, text string, words int, row string, n_words int")
+    assert Q.keep(docs).collect() == docs.collect() and Q.features(docs).first().n_words == 30
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert Q.features(docs).count() == 0 and Q.keep(docs).count() == 0
