@@ -1,4 +1,13 @@
-"""A training corpus from documents, in five stages; each is written as Parquet and read again by the next."""
+"""A training corpus from documents, in five stages; each is written as Parquet and read again by the next.
+
+Every stage takes (spark, docs, sf_dir), works on all rows of docs, and reads its columns doc_id (an integer) and text;
+other columns, whatever their names, pass through unchanged, but for n_chars, which follows the text, where it is there.
+Defined results, the same for every stage: null text counts as empty; empty texts, and texts without words, go with
+quality_rules, and pass the others unchanged; a row without an id passes dedup_lines, near_duplicates and
+mix_sources unchanged; rows that repeat, id and text, count as one document: they are kept or dropped together; between
+documents that are alike in all, the smaller id goes first; texts of any length are read to their end; an empty table
+gives an empty table.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkstrata.llm import line_dedup, mixing, ngram_join, packing, quality
-from inkstrata.llm._shared import written
+from inkstrata.llm._shared import drop, scratch, written
 from inkstrata.session import table
 
 
@@ -19,8 +28,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines, short ones too, that match an earlier line; those that lose their last word go with it."""
     out = line_dedup.dedup_lines(docs, short=True)
     left = out.filter((F.size("__removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    n_chars = F.when(F.size("__removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", n_chars).select(docs.columns)
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.when(F.size("__removed") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
+    return left.select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,5 +64,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with scratch() as scope:
+            out = written(stage(spark, docs, sf_dir), name)
+            scope.keep(out)
+        drop(docs)  # the stage before: this one has all that it kept
+        docs = out
     return docs

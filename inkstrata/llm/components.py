@@ -63,6 +63,8 @@ def _distinct(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, label (its component's smallest node) for every node that has an edge (a, b; longs).
 
+    Loops, edges with a null end and repeated edges change nothing; without edges there are no rows.
+
     Each round every node follows its smallest neighbour, paths are halved twice, and the edges are drawn between
     what the nodes have become; hot nodes are summed by partial aggregates. The number of rounds is logarithmic.
     """
