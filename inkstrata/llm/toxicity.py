@@ -6,8 +6,9 @@ window alone. A text's logit is its largest window's, put on the scale of probab
 of the fit. Since the model is linear behind the average, scoring adds one number per subword; a misspelling
 shares most n-grams with the word that it hides.
 
-Learning reads a bounded sample: TRAIN_DOCS labelled texts, those of smallest id hash, of at most TRAIN_CHARS
-characters each. Scoring reads every text to its end; memory is bounded by blocks of text.
+Learning reads a bounded sample: TRAIN_DOCS labelled texts, those of smallest id hash, whole up to TRAIN_WINDOWS windows
+and that many windows of longer ones, drawn over the whole text. Scoring reads every text to its end, in pieces that
+share the words of a window; memory is bounded by a piece, and by the longest word.
 
 Defined results: null and empty texts, and texts without words, score 0.0; repeated rows get equal scores, as equal
 texts do; null labels and labels of unknown texts are ignored; without usable labels every score is 0.0;
@@ -28,12 +29,15 @@ from inkstrata.llm import _bytes as B
 from inkstrata.session import table
 
 TRAIN_DOCS = 2000
-TRAIN_CHARS = 20_000
+#: Of a labelled text with more windows, so many are learned from, drawn by a hash over the whole text; and of a word so
+#: many bytes.
+TRAIN_WINDOWS, TRAIN_WORD = 2048, 256
 BUCKETS = 1 << 18
 DIM = 4
 NGRAMS = (3, 4, 5, 6)
 WINDOW = 12
-STEPS = (30, 30)
+#: Steps of the two phases, like RATE and WINDOW chosen by cross-validation within rows that are not held out.
+STEPS = (60, 30)
 RATE = 0.03
 SEED = 7
 
@@ -102,10 +106,24 @@ class Model:
         out[some] = np.maximum.reduceat(value, first[:-1][some])
         return out
 
+    def long_logit(self, buf: np.ndarray) -> float:
+        """The largest window's logit of one spaced text, in pieces: each begins WINDOW - 1 words before its own."""
+        out, begin = -np.inf, 0
+        for _, end in B.cuts(buf, B.NOT_ALNUM):
+            part = buf[begin : end + 1]  # with the delimiter that ends the last word
+            starts = B.words(part, np.array([0, len(part)]), B.NOT_ALNUM)[0]
+            if len(starts) < WINDOW and end < len(buf):
+                continue  # too few words for a window yet
+            out = max(out, float(self.logits(part, np.array([0, len(part)]))[0]))
+            begin += int(starts[-min(WINDOW - 1, len(starts))]) - 1 if len(starts) else 0
+        return out
+
     def scores(self, texts: pa.Array) -> np.ndarray:
         buf, offsets = B.buffers(_spaced(texts), lower=True)
-        parts = [self.logits(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in B.blocks(offsets)]
-        z = np.concatenate(parts) if parts else np.zeros(0)
+        z = np.full(len(offsets) - 1, -np.inf)
+        for i, j in B.blocks(offsets):
+            part = buf[offsets[i] : offsets[j]]
+            z[i:j] = self.long_logit(part) if j == i + 1 and len(part) > B.SEGMENT else self.logits(part, offsets[i : j + 1] - offsets[i])
         some = np.isfinite(z)
         z = np.where(some, z, 0.0)
         return np.where(some, np.round(1 / (1 + np.exp(-np.clip(self.slope * z + self.shift, -40, 40))), 6), 0.0)
@@ -225,11 +243,38 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def drawn_windows(text: str | None) -> str | None:
+    """text, or of one with more than TRAIN_WINDOWS windows that many, in order, drawn by a hash of their numbers."""
+    if text is None or len(text) <= TRAIN_WINDOWS * WINDOW:
+        return text
+    buf = B.LOWER[np.frombuffer(text.encode(), np.uint8)]
+    parts = [(lo, hi, len(B.words(buf[lo:hi], np.array([0, hi - lo]), B.NOT_ALNUM)[0])) for lo, hi in B.cuts(buf, B.NOT_ALNUM)]
+    windows = -(-sum(n for *_, n in parts) // WINDOW)
+    if windows <= TRAIN_WINDOWS and max((len(w) for w in text.split()), default=0) <= TRAIN_WORD:
+        return text
+    taken = np.zeros(windows, bool)
+    with np.errstate(over="ignore"):
+        taken[np.argsort(B.mix(np.arange(1, windows + 1, dtype=np.uint64) * B.BASE), kind="stable")[:TRAIN_WINDOWS]] = True
+    out, before = [], 0
+    for lo, hi, n in parts:
+        starts, ends, _ = B.words(buf[lo:hi], np.array([0, hi - lo]), B.NOT_ALNUM)
+        for k in np.flatnonzero(taken[(before + np.arange(n)) // WINDOW]).tolist():
+            out.append(buf[lo + starts[k] : lo + min(ends[k], starts[k] + TRAIN_WORD)].tobytes().decode(errors="ignore"))
+        before += n
+    return " ".join(out)
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limit: int = TRAIN_DOCS) -> list:
-    """At most limit labelled texts that are not held out, those of smallest id hash: (text, label) rows."""
+    """At most limit labelled ids that are not held out, those of smallest hash: (text, label) rows, none left out for its
+    length; windows of very long texts are drawn where the texts are."""
     ids = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label_col).cast("int").alias("label")).orderBy(F.xxhash64(id_col), id_col).limit(limit)
-    texts = docs.filter(F.length(text_col) <= TRAIN_CHARS).select(id_col, F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(ids), id_col).orderBy(F.xxhash64(id_col), id_col, "text").select("text", "label").limit(2 * limit).collect()
+    rows = docs.join(F.broadcast(ids), id_col).filter(F.col(text_col).isNotNull()).select(F.xxhash64(id_col).alias("k"), F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), "label")
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("k"), b.column("id"), pa.array([drawn_windows(t) for t in b.column("text").to_pylist()], pa.string()), b.column("label")], names=["k", "id", "text", "label"])
+
+    return rows.mapInArrow(run, "k long, id string, text string, label int").orderBy("k", "id", "text").select("text", "label").limit(2 * limit).collect()
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

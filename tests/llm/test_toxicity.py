@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -67,3 +68,52 @@ def test_held_out_rows_are_never_learned(spark):
     assert len(out) == 62 and {r.doc_id for r in out if r.h} == {i for i in range(60) if i not in learned}
     assert T.score(docs.limit(0), model).count() == 0
     assert T.training_sample(docs.limit(0), marks.filter(F.lit(False))) == []
+
+
+def _brute(model, text):
+    """A score word by word, by plain integers."""
+    mask, shift = 2**64 - 1, 64 - T.BUCKETS.bit_length() + 1
+    base = int(T.B.BASE)
+
+    def mixed(x):
+        for s, m in ((30, int(T.B.MULTS[0])), (27, int(T.B.MULTS[1])), (31, 1)):
+            x = (x ^ (x >> s)) * m & mask
+        return x
+
+    def word(w):
+        spaced, found = b" " + w + b" ", []
+        for k in T.NGRAMS:
+            for i in range(len(spaced) - k + 1):
+                gram = sum(int(T.B.TABLE[b]) * pow(base, j, 2**64) for j, b in enumerate(spaced[i : i + k])) & mask
+                found.append(float(model.weights[mixed((gram + k) & mask) >> shift]))
+        return sum(found) / len(found)
+
+    lowered = "".join(c.lower() if c.isascii() else c for c in text or "").encode()
+    values = [word(w) for w in re.findall(rb"[0-9a-z\x80-\xff]+", lowered)]
+    if not values:
+        return 0.0
+    z = max(sum(values[i : i + T.WINDOW]) for i in range(max(1, len(values) - T.WINDOW + 1)))
+    return 1 / (1 + np.exp(-np.clip(model.slope * z + model.shift, -40, 40)))
+
+
+def test_scores_equal_brute_force(model):
+    texts = [None, "", "a", "\u00e9t\u00e9 disgusting \u65e5\u672c", "Wortthless, you!", *corpus(12, 9)[0], " ".join(corpus(3, 8)[0])]
+    assert np.allclose(model.scores(pa.array(texts, pa.string())), [_brute(model, t) for t in texts], atol=2e-6)
+
+
+def test_pieces_of_long_texts_change_nothing(model, monkeypatch):
+    texts = [" ".join(corpus(4, s)[0]) for s in range(5)] + ["y" * 900 + " disgusting", "a b", "", ",. " * 400, "disgusting " + "z" * 300]
+    whole = model.scores(pa.array(texts))
+    monkeypatch.setattr(T.B, "SEGMENT", 128)
+    monkeypatch.setattr(T.B.blocks, "__defaults__", (128,))
+    monkeypatch.setattr(T.B.cuts, "__defaults__", (128,))
+    assert np.allclose(model.scores(pa.array(texts)), whole, atol=2e-6)
+
+
+def test_windows_of_very_long_texts_are_drawn_over_the_whole(monkeypatch):
+    monkeypatch.setattr(T, "TRAIN_WINDOWS", 5)
+    text = " ".join(f"w{i}" for i in range(600))
+    got = T.drawn_windows(text).split()
+    assert len(got) == 5 * T.WINDOW and got == sorted(got, key=lambda w: int(w[1:])) and int(got[-1][1:]) > 120
+    monkeypatch.setattr(T.B.cuts, "__defaults__", (50,))
+    assert T.drawn_windows(text).split() == got and T.drawn_windows("short text") == "short text"
