@@ -101,7 +101,7 @@ def among(df: DataFrame, members: DataFrame, keys: list[str], bits: int = 20) ->
 
 #: Frequent values: at most TOP, known by 2**SLOT_BITS slots of their leading bits, 16 a word; those that are not
 #: counted one by one are seen by a sketch of SKETCH counters. All fixed sizes.
-TOP, SLOT_BITS, SKETCH = 1024, 19, 1 << 16
+TOP, SLOT_BITS, SKETCH = 512, 19, 1 << 16
 CLASSES = 7
 #: Sketches of tasks are merged in so many groups, then those into one.
 GROUPS = 64

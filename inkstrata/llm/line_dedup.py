@@ -45,8 +45,8 @@ ANY = r"[^\x20\x09-\x0D]"
 #: Lines left meet all others of their tokens, in blocks of so many, when that makes at most so many pairs a shared
 #: posting, or after so many rounds.
 BLOCK, FEW, ROUNDS = 128, 32, 4
-#: A token's hash; the bits above it hold its class of frequency. A token whose lines fill two blocks is frequent.
-TOKEN_BITS, FREQUENT = 60, 2 * BLOCK
+#: A token's hash; the bits above it hold its class of frequency. The most frequent tokens, of so many lines at least, come last.
+TOKEN_BITS, FREQUENT = 60, 8
 
 
 def plain(text: Column) -> Column:
