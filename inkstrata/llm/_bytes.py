@@ -139,9 +139,10 @@ def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
 
 def each_text(texts: pa.Array, delimiter: np.ndarray, lower: bool = True) -> Iterator[tuple[int, np.ndarray]]:
     """(row, word hashes) of each text."""
-    buf, offsets = buffers(texts, lower)
+    buf, offsets = buffers(texts)
     for i, j in blocks(offsets):
         part, at = buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+        part = LOWER[part] if lower else part
         starts, ends, first = words(part, at, delimiter)
         hashes = word_hashes(part, starts, ends)
         for r in range(i, j):

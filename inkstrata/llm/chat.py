@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkstrata.llm._shared import tidy
 from inkstrata.session import table
 
 OPEN, CLOSE, ASK, ASKED = "<s>", "</s>", "[INST] ", " [/INST]"
@@ -173,7 +174,7 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
             arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)]
             yield pa.RecordBatch.from_arrays([b.column(0), *arrays], names=[conv_col, *schema.names])
 
-    return chosen.mapInArrow(run, f"`{conv_col}` {kind}, {TURNS}")
+    return chosen.mapInArrow(tidy(run), f"`{conv_col}` {kind}, {TURNS}")
 
 
 def read_back(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
@@ -213,7 +214,7 @@ def read_back(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
             out.append(row())
             yield flushed(schema)
 
-    return dealt.mapInArrow(run, f"`{conv_col}` {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return dealt.mapInArrow(tidy(run), f"`{conv_col}` {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 PROBE = "</s>[INST] ok [/INST]"

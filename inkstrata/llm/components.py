@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkstrata.llm._shared import written
+from inkstrata.llm._shared import tidy, written
 
 
 class Forest:
@@ -53,7 +53,7 @@ def contracted(edges: DataFrame, limit: int = 200_000) -> DataFrame:
                 forest, n = Forest(), 0
         yield flush()
 
-    return edges.select("a", "b").mapInArrow(run, "a long, b long")
+    return edges.select("a", "b").mapInArrow(tidy(run), "a long, b long")
 
 
 def _distinct(edges: DataFrame) -> DataFrame:

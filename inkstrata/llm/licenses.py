@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkstrata.llm import _bytes as B
+from inkstrata.llm._shared import tidy
 from inkstrata.session import table
 
 #: Phrases that must stand whole, and their labels.
@@ -95,7 +96,7 @@ def rolling_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             if out["row"]:
                 yield flush()
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"row long, `{id_col}` {kind}, n_words long, first long, hashes array<long>")
+    return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), f"row long, `{id_col}` {kind}, n_words long, first long, hashes array<long>")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES, coverage: float = COVERAGE, gap: int = GAP) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from inkstrata.llm._shared import fresh_path, written
+from inkstrata.llm._shared import fresh_path, tidy, written
 from inkstrata.session import table
 
 ROW = 192
@@ -174,7 +174,7 @@ def write_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         out.close()
         yield pa.RecordBatch.from_pylist([dict(zip(schema.names, x)) for x in out.written], schema=schema)
 
-    listed = written(docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "archive string, members long, bytes long"), "archives")
+    listed = written(docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), "archive string, members long, bytes long"), "archives")
     return folder, listed
 
 
@@ -271,7 +271,7 @@ def media_features(media: DataFrame) -> DataFrame:
             arrays = [pa.array(c, f.type) for c, f in zip(zip(*rows), list(schema)[2:])] if rows else [pa.array([], f.type) for f in list(schema)[2:]]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("n_bytes"), *arrays], schema=schema)
 
-    return media.select("id", "n_bytes", "media").mapInArrow(run, "id string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.select("id", "n_bytes", "media").mapInArrow(tidy(run), "id string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

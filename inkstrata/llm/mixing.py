@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkstrata.llm import _bytes as B
-from inkstrata.llm._shared import written
+from inkstrata.llm._shared import tidy, written
 from inkstrata.session import table
 
 SAMPLE = 3000
@@ -63,9 +63,9 @@ class Classifier:
 def _bucketed(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Number of the first text, first word of each text (and one more), and the words' buckets, by blocks of texts; a
     text longer than a block comes in pieces."""
-    buf, offsets = B.buffers(texts, lower=True)
+    buf, offsets = B.buffers(texts)
     for i, j in B.blocks(offsets):
-        whole = buf[offsets[i] : offsets[j]]
+        whole = B.LOWER[buf[offsets[i] : offsets[j]]]
         parts = [(0, len(whole))] if j > i + 1 or len(whole) <= B.SEGMENT else B.cuts(whole, B.WHITESPACE)
         for lo, hi in parts:
             at = offsets[i : j + 1] - offsets[i] if j > i + 1 else np.array([0, hi - lo])
@@ -138,7 +138,7 @@ def labelled_sample(docs: DataFrame, labelled: DataFrame, id_col: str, text_col:
             lists = [pa.array([c[i] for c in found], pa.list_(pa.int64())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([b.column("k"), b.column("t"), b.column("domain"), *lists], names=["k", "t", "domain", "buckets", "counts"])
 
-    counted = rows.filter("domain is not null").withColumn("t", F.coalesce("t", F.lit(0))).mapInArrow(run, "k long, t long, domain string, buckets array<long>, counts array<long>")
+    counted = rows.filter("domain is not null").withColumn("t", F.coalesce("t", F.lit(0))).mapInArrow(tidy(run), "k long, t long, domain string, buckets array<long>, counts array<long>")
     return counted.orderBy("k", "t", "domain", "buckets").limit(2 * limit).collect()
 
 
@@ -152,7 +152,7 @@ def memberships(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id",
             values = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * p.shape[1], pa.int32()), pa.array(np.round(p.reshape(-1), 9)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n.astype(np.int64)), values], names=[id_col, "n_tokens", "posterior"])
 
-    return written(docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, posterior array<double>"), "memberships")
+    return written(docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), f"`{id_col}` {kind}, n_tokens long, posterior array<double>"), "memberships")
 
 
 def _matrix(column: pa.Array, k: int) -> np.ndarray:
@@ -189,7 +189,7 @@ def fit_rates(member: DataFrame, target: np.ndarray, least: float = 0.0) -> np.n
 
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([sums.reshape(-1).tolist()])], names=["part", "sums"])
 
-        rows = member.select("n_tokens", "posterior").mapInArrow(run, "part long, sums array<double>").collect()
+        rows = member.select("n_tokens", "posterior").mapInArrow(tidy(run), "part long, sums array<double>").collect()
         return np.sum([r["sums"] for r in sorted(rows, key=lambda r: r["part"])], axis=0).reshape(len(points), -1)
 
     e, (s,) = np.zeros(k), summed([np.zeros(k)])
@@ -218,7 +218,7 @@ def rates(member: DataFrame, target: np.ndarray, least: float = 0.0) -> DataFram
             r = np.where(np.asarray(b.column("n_tokens")) > 0, np.round(r, 6), 1.0)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(r)], names=[*columns, "rate"])
 
-    return member.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in member.dtypes) + ", rate double")
+    return member.mapInArrow(tidy(run), ", ".join(f"`{c}` {t}" for c, t in member.dtypes) + ", rate double")
 
 
 def mixed_rates(docs: DataFrame, labelled: DataFrame, domain: Column, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", cover: bool = False, least: float = 0.0) -> tuple[DataFrame, tuple[str, ...], np.ndarray]:

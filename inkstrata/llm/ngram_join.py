@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkstrata.llm import _bytes as B
-from inkstrata.llm._shared import among, constant_table, drop, frequent_slots, scratch, slot_class, written
+from inkstrata.llm._shared import among, constant_table, drop, frequent_slots, scratch, slot_class, tidy, written
 from inkstrata.llm.components import Forest, components
 from inkstrata.session import table
 
@@ -111,7 +111,7 @@ def signatures(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
             if out[0]:
                 yield flush()
 
-    return texts.select("id", "text").mapInArrow(run, "id long, n long, digest binary, node long, own array<long>, own_sure long, next array<long>, next_sure long")
+    return texts.select("id", "text").mapInArrow(tidy(run), "id long, n long, digest binary, node long, own array<long>, own_sure long, next array<long>, next_sure long")
 
 
 def shared_parts(once: DataFrame) -> DataFrame:
@@ -350,7 +350,7 @@ def search_units(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
         close()
         yield flushed()
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(tidy(run), "a long, b long")
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85, den: int = 100, unit: int = UNIT) -> DataFrame:

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inkstrata.llm._shared import written
+from inkstrata.llm._shared import tidy, written
 from inkstrata.session import table
 
 CAPACITY = 2048
@@ -126,7 +126,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
             arrays = [b.column(0).take(pa.array(columns[0], pa.int64())), pa.array(columns[1], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[2:])]
             yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 #: A kind of sequence: (length, times) runs in order, and how many such sequences there are.
@@ -245,7 +245,7 @@ def pack_pieces(cut: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(sequence), pa.array(offset)], names=names)
 
     schema = ", ".join(f"`{c}` {t}" for c, t in cut.dtypes) + ", sequence_id long, offset long"
-    return ranked.mapInArrow(run, schema)
+    return ranked.mapInArrow(tidy(run), schema)
 
 
 def public_tokenizer() -> str:

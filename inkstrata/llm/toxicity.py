@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkstrata.llm import _bytes as B
+from inkstrata.llm._shared import tidy
 from inkstrata.session import table
 
 TRAIN_DOCS = 2000
@@ -119,10 +120,10 @@ class Model:
         return out
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        buf, offsets = B.buffers(_spaced(texts), lower=True)
+        buf, offsets = B.buffers(_spaced(texts))
         z = np.full(len(offsets) - 1, -np.inf)
         for i, j in B.blocks(offsets):
-            part = buf[offsets[i] : offsets[j]]
+            part = B.LOWER[buf[offsets[i] : offsets[j]]]
             z[i:j] = self.long_logit(part) if j == i + 1 and len(part) > B.SEGMENT else self.logits(part, offsets[i : j + 1] - offsets[i])
         some = np.isfinite(z)
         z = np.where(some, z, 0.0)
@@ -274,7 +275,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("k"), b.column("id"), pa.array([drawn_windows(t) for t in b.column("text").to_pylist()], pa.string()), b.column("label")], names=["k", "id", "text", "label"])
 
-    return rows.mapInArrow(run, "k long, id string, text string, label int").orderBy("k", "id", "text").select("text", "label").limit(2 * limit).collect()
+    return rows.mapInArrow(tidy(run), "k long, id string, text string, label int").orderBy("k", "id", "text").select("text", "label").limit(2 * limit).collect()
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -285,7 +286,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.scores(b.column(1)))], names=[id_col, "score"])
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"`{id_col}` {kind}, score double")
+    return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), f"`{id_col}` {kind}, score double")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
