@@ -28,7 +28,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    from inkstrata.operators import export, resolution, store
+    from inkstrata.operators import export, fetch_policy, resolution, store
     from inkstrata.operators.pipeline import sync
     from inkstrata.schemas import SCHEMAS
     from inkstrata.session import get_session
@@ -39,6 +39,9 @@ def main(argv: list[str] | None = None) -> int:
         problems = [f"{n}: {x}" for n in SCHEMAS for x in export.schema_problems(n)]
         print("\n".join(problems) or "ok")
         return int(bool(problems))
+    if wrong := fetch_policy.limit_problems():
+        print("error: " + "; ".join(wrong), file=sys.stderr)
+        return 1
     spark = get_session("inkstrata-cli")
     try:
         held = store.load(spark, args.store)
@@ -66,6 +69,7 @@ def main(argv: list[str] | None = None) -> int:
             if not args.dry_run:
                 store.commit(done.store, args.store)
             print(done.run_log.first().asDict())
+            done.close()
     except Exception as e:
         print(f"error: {e}", file=sys.stderr)
         return 1

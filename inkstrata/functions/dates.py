@@ -30,3 +30,9 @@ def exported(value: Column) -> Column:
 
 def duration_seconds(start: Column, end: Column) -> Column:
     return F.round((F.unix_micros(end) - F.unix_micros(start)) / 1e6).cast("bigint")
+
+
+def instant(value: Column) -> Column:
+    """A stored ISO text as an instant; a text that is none fails the job, as a damaged store should."""
+    strict = F.try_to_timestamp(F.regexp_replace(value, "Z$", "+00:00"))
+    return F.when(value.isNull() | strict.isNotNull(), strict).otherwise(F.raise_error(F.concat(F.lit("no ISO date: "), value)).cast("timestamp"))

@@ -27,6 +27,15 @@ BLOCKED_NETWORKS = (
 ROBOTS_TTL = {"parsed": 3600, "missing": 14_400, "error": 900, "other": 3600}
 
 
+def limit_problems() -> list[str]:
+    """What is wrong with the limits that a run starts with; empty if nothing is."""
+    from inkstrata.schemas import EVIDENCE_CHARS, SNIPPET_CHARS
+
+    positive = {"default body limit": DEFAULT_BODY_LIMIT, "snippet length": SNIPPET_CHARS, "evidence length": EVIDENCE_CHARS}
+    allowed = {"gap between requests": DOMAIN_GAP, "redirects": MAX_REDIRECTS} | {f"body limit of {k}": v for k, v in BODY_LIMITS.items()}
+    return [f"{k} must be above 0" for k, v in positive.items() if v <= 0] + [f"{k} must not be below 0" for k, v in allowed.items() if v < 0]
+
+
 def body_limit(content_type: Column) -> Column:
     kind = F.lower(F.trim(F.split_part(F.coalesce(content_type, F.lit("")), F.lit(";"), F.lit(1))))
     by_limit = {n: [k for k, v in BODY_LIMITS.items() if v == n] for n in BODY_LIMITS.values()}

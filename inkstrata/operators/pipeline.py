@@ -19,6 +19,11 @@ class Sync:
     store: Store
     fetch_log: DataFrame
     run_log: DataFrame
+    parsed: DataFrame
+
+    def close(self) -> None:
+        """Let go of the parsed pages, once the store is committed."""
+        self.parsed.unpersist()
 
 
 def sync(store: Store, seeds: DataFrame, source_id: str, corpus: DataFrame, run_id: str, now: str, dry_run: bool = False) -> Sync:
@@ -30,7 +35,7 @@ def sync(store: Store, seeds: DataFrame, source_id: str, corpus: DataFrame, run_
     fetched = found.join(corpus, "url", "left").withColumn("error_code", F.when(F.col("status_code").isNull() & F.col("error_code").isNull(), "FETCH_ERROR").otherwise(F.col("error_code")))
     log = fetched.select(uuid5(F.concat_ws("|", F.lit(run_id), "url")).alias("id"), "url", F.col("status_code").cast("int").alias("status_code"), F.lit(None).cast("int").alias("latency_ms"), F.octet_length("html").cast("bigint").alias("bytes_received"), "error_code", F.lit(now).alias("created_at"), F.lit(run_id).alias("run_id"))
     typed = "content_type" if "content_type" in corpus.columns else None
-    parsed = parse_pages(fetched.filter("error_code is null"), key="seq", content_type=typed)
+    parsed = parse_pages(fetched.filter("error_code is null"), key="seq", content_type=typed).persist()  # articles, evidence, versions and counts all read them
     drafts = enforce_coverage(extract(parsed, source_id, run_id, now)).drop("warnings")
     after = store if dry_run else upsert(store, drafts, run_id, now)
     changes = after.counts.get("changes") if not dry_run else None
@@ -40,4 +45,4 @@ def sync(store: Store, seeds: DataFrame, source_id: str, corpus: DataFrame, run_
         F.lit(run_id).alias("id"), F.lit(source_id).alias("source_id"), F.lit(now).alias("started_at"), F.lit(now).alias("ended_at"), F.lit("COMPLETED").alias("status"), F.lit(None).cast("string").alias("error_message"),
         "fetched_count", F.col("new").cast("int").alias("new_articles_count"), F.col("updated").cast("int").alias("updated_articles_count"), "error_count",
     )
-    return Sync(after if dry_run else logged(after, fetch_log=log, run_log=run), log, run)
+    return Sync(after if dry_run else logged(after, fetch_log=log, run_log=run), log, run, parsed)

@@ -1,7 +1,7 @@
 import json
 
 from inkstrata import cli
-from inkstrata.operators import canary, events, store
+from inkstrata.operators import canary, events, fetch_policy, store
 from tests.test_sources import FULL
 
 FEED = "<rss><item><link>https://s.test/1</link></item><item><link>https://s.test/2</link></item></rss>"
@@ -46,6 +46,12 @@ def test_all_commands(spark, tmp_path, monkeypatch, capsys):
     assert run("export", "--out", str(tmp_path / "out")) == 1 and "error" in capsys.readouterr().err
 
 
+def test_limits_are_checked_at_the_start(monkeypatch, capsys):
+    assert fetch_policy.limit_problems() == []
+    monkeypatch.setattr(fetch_policy, "DEFAULT_BODY_LIMIT", 0)
+    assert cli.main(["export", "--store", "x", "--out", "y"]) == 1 and "default body limit" in capsys.readouterr().err
+
+
 def test_event_lines_and_report(spark):
     log = spark.createDataFrame([("i", "u", 200, 5, 9, None, "now", "r")], "id string, url string, status_code int, latency_ms int, bytes_received long, error_code string, created_at string, run_id string")
     assert json.loads(events.fetch_lines(log).first().line) == {"id": "i", "url": "u", "status_code": 200, "latency_ms": 5, "bytes_received": 9, "error_code": None, "timestamp": "now", "run_id": "r"}

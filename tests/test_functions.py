@@ -1,5 +1,6 @@
 import uuid
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -61,3 +62,10 @@ def test_dates(spark):
     got = [r[0] for r in col(spark, list(want)).select(dates.iso_date("v")).collect()]
     assert got == list(want.values())
     assert col(spark, ["2026-01-01T00:00:00+00:00"]).select(dates.exported(F.col("v"))).first()[0] == "2026-01-01T00:00:00Z"
+
+
+def test_stored_instants_are_strict(spark):
+    good = spark.createDataFrame([("2026-01-01T00:00:00Z",), ("2026-01-01T02:00:00+02:00",), (None,)], "t string")
+    assert [r[0] and r[0].isoformat() for r in good.select(F.date_format(dates.instant(F.col("t")), "yyyy-MM-dd HH").alias("x")).select(F.to_date("x", "yyyy-MM-dd HH")).collect()] == ["2026-01-01", "2026-01-01", None]
+    with pytest.raises(Exception, match="no ISO date"):
+        spark.createDataFrame([("yesterday",)], "t string").select(dates.instant(F.col("t"))).collect()
