@@ -36,7 +36,7 @@ from inkstrata.llm.components import Forest, components
 from inkstrata.session import table
 
 #: Shingles of a search unit.
-UNIT = 250_000
+UNIT = 2_000_000
 #: A part that so many sets have, if it is among the most frequent, need not meet its like in one task to be known as shared.
 FREQUENT = 1024
 #: How often sets with too few shared parts are left out, and the parts counted again.
