@@ -7,10 +7,13 @@ k-grams of both. That is a T-occurrence problem too, over hashes of parts: sets
 others together are out, the others are posted under their rarest shared parts, all but t - 1; sets under one part make
 clusters that no link leaves. Sets that share but passages have few equal parts. A cluster is searched in one task; a
 large one by size band in chunks, each with heads (sets drawn by hash) of all the others, which connects groups of near
-copies, and then by equal part, but only parts whose sets are of several components so far: a missing link is between
-two of those, so nothing is lost, and groups of near copies never meet chunk by chunk. In a task, sets come in increasing size: a set's inverted lists are divided; the short ones are merged by a heap that skips what cannot reach the threshold, the
-long ones are probed by binary search, and sets that reach the required overlap are links. Lists that hold the
-query's own component alone are left out: they cannot connect anything new.
+copies, and then either chunk by chunk or by equal part, whichever reads fewer k-grams; of parts only those whose sets are
+of several components so far: a missing link is between two of those, so nothing is lost. In a task, sets are differences
+from centres, the k-grams that most sets of a group have: what near copies share is in no list, and two sets share
+what both have of the centre and what their differences share. Sets come in increasing size: a set's inverted lists
+are divided; the short ones are merged, the long ones are probed by binary search, and sets that reach the required
+overlap are links. Sets of the query's own component are left out: they cannot connect anything new. After the first
+units, sets of a unit's largest component do not ask, as the others ask them.
 
 Defined results: null and empty texts have an empty set and link with nothing; a null id has no component;
 repeated rows are one set; an empty table gives an empty result; other columns are ignored. k-grams are compared
@@ -20,9 +23,7 @@ by 64-bit hashes, equal sets by 128 bits.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import math
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +45,10 @@ ROUNDS = 3
 MU = 0.0085
 #: Parts beyond those that pigeonholes need, as a share of these: so many parts at least are equal in linked sets.
 SPARE = 0.3
+#: Centres that a unit may have, and the sets of a centre at least.
+LEADERS, GROUP = 32, 16
+#: Sets that are probed one by one; for more, the long lists are merged too.
+PROBES = 64
 
 
 def _needed(n: int, num: int, den: int) -> int:
@@ -173,8 +178,10 @@ def large_members(members: DataFrame, num: int, den: int, unit: int) -> DataFram
     half a unit, more or less), chunks, and whether the set is one of the band's heads, a quarter of a unit at most."""
     own = size_band("n", num, den)
     large = members.join(sizes_of(members, "cluster").filter(F.col("total") > unit).select("cluster"), "cluster")
-    banded = large.select(F.col("rep").alias("id"), "n", "node", "cluster", F.explode(F.array(own, own + 1)).alias("band"))
-    load = sizes_of(banded, "cluster", "band").select("cluster", "band", "total", F.ceil(2 * F.col("total") / F.lit(unit)).cast("long").alias("chunks"))
+    banded = large.select(F.col("rep").alias("id"), "n", "node", "cluster", own.alias("own"), F.explode(F.array(own, own + 1)).alias("band"))
+    # sets that are all of the band below meet there
+    topped = banded.filter("own = band").select("cluster", "band").distinct()
+    load = sizes_of(banded, "cluster", "band").join(topped, ["cluster", "band"]).select("cluster", "band", "total", F.ceil(2 * F.col("total") / F.lit(unit)).cast("long").alias("chunks"))
     share = F.lit(unit / 4) / F.col("total") * (1 << 20)
     return banded.join(load, ["cluster", "band"]).select("id", "n", "node", "cluster", "band", F.pmod(F.xxhash64("id"), "chunks").alias("chunk"), "chunks", (F.pmod(F.xxhash64("id", F.lit("head")), F.lit(1 << 20)) < share).alias("head"))
 
@@ -186,14 +193,27 @@ def first_units(large: DataFrame) -> DataFrame:
     return own.unionByName(heads.select("id", "n", "cluster", "band", "i", F.col("i").alias("j")))
 
 
+def pair_units(large: DataFrame) -> DataFrame:
+    """Every chunk with every other one of its band; large has labels: the components so far."""
+    several = large.groupBy("cluster", "band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("cluster", "band")
+    met = large.filter("chunks > 1").join(several, ["cluster", "band"]).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).filter("with <> chunk")
+    return met.select("id", "n", "cluster", "band", F.least("chunk", "with").alias("i"), F.greatest("chunk", "with").alias("j"), "label")
+
+
 def last_units(large: DataFrame, parts: DataFrame, joined: DataFrame, unit: int) -> DataFrame:
     """What may still be missing: links between sets of different components so far that have an equal part. Units are the
     parts whose sets are of several components; a part with very many sets is searched in chunks, the sets outside its
-    largest component (i) with all sets (j). label: the component so far."""
-    named = large.select("id", "n", "node").distinct().join(joined.select(F.col("node").alias("id"), "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    keyed = named.join(parts.distinct(), "node").select("id", "n", "label", F.col("key").alias("cluster"))
-    mixed = keyed.groupBy("cluster").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum("n").alias("total")).filter("lo < hi").select("cluster", "total")
-    told = written(keyed.join(mixed, "cluster"), "told")
+    largest component (i) with all sets (j). A cluster whose parts hold more than its pairs of chunks, as near copies that
+    do not link, is searched by these. label: the component so far."""
+    labelled = large.join(joined.select(F.col("node").alias("id"), "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    named = labelled.select("id", "n", "node", "label", F.col("cluster").alias("of")).distinct()
+    keyed = named.join(parts.distinct(), "node").select("id", "n", "label", "of", F.col("key").alias("cluster"))
+    mixed = keyed.groupBy("cluster").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum("n").alias("total"), F.first("of").alias("of")).filter("lo < hi").select("cluster", "of", "total")
+    copies = F.when(F.col("total") > unit, 2 * F.ceil(2 * F.col("total") / F.lit(unit))).otherwise(1)
+    by_parts = mixed.groupBy("of").agg(F.sum(F.col("total") * copies).alias("by_parts"))
+    by_pairs = large.groupBy(F.col("cluster").alias("of")).agg(F.sum(F.col("n") * (F.col("chunks") - 1)).alias("by_pairs"))
+    paired = written(by_parts.join(by_pairs, "of").filter("by_pairs <= by_parts").select("of"), "paired")
+    told = written(keyed.join(mixed.join(paired, "of", "left_anti").select("cluster", "total"), "cluster"), "told")
     none = [F.lit(-2).cast("long").alias("band"), *(F.lit(-1).cast("long").alias(c) for c in ("i", "j"))]
     columns = ["id", "n", *UNIT_KEY, "label"]
     few = told.filter(F.col("total") <= unit).select("id", "n", "label", "cluster", *none)
@@ -203,119 +223,161 @@ def last_units(large: DataFrame, parts: DataFrame, joined: DataFrame, unit: int)
     outsiders = dealt.filter("outside").withColumn("i", F.col("chunk")).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).filter("i <> j")
     open_chunks = dealt.filter("outside").groupBy("cluster").agg(F.collect_set("chunk").alias("open"))
     others = dealt.join(open_chunks, "cluster").withColumn("j", F.col("chunk")).withColumn("i", F.explode("open"))
-    return few.select(columns).unionByName(outsiders.select(columns)).unionByName(others.select(columns))
+    pairs = pair_units(labelled.join(paired.select(F.col("of").alias("cluster")), "cluster", "left_semi"))
+    return few.select(columns).unionByName(outsiders.select(columns)).unionByName(others.select(columns)).unionByName(pairs.select(columns))
 
 
-class TOccurrence:
-    """DivideSkip over the sets of one unit, which come in increasing size."""
+def gathered(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of slices that start at first, one slice after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - ends + lengths, lengths)
 
-    def __init__(self, ids: list[int], sets: list[np.ndarray], num: int, den: int, labels: list[int] | None = None):
-        self.ids, self.sets, self.num, self.den = ids, sets, num, den
-        self.sizes = [len(s) for s in sets]
-        self.forest = Forest()
-        first: dict[int, int] = {}
-        for i, label in enumerate(labels or []):  # sets of one label are connected already
-            self.forest.union(i, first.setdefault(label, i))
-        tokens = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), self.sizes)
-        order = np.argsort(tokens, kind="stable")
-        tokens, owner = tokens[order], owner[order]
-        starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        lengths = np.diff(np.append(starts, len(tokens)))
-        shared = lengths > 1  # a list of one set connects nothing
-        self.tokens, self.first, self.lengths, self.owner = tokens[starts[shared]], starts[shared], lengths[shared], owner
-        self.lists: dict[int, list[int]] = {}
-        self.uniform: dict[int, int] = {}
-        self.recheck: dict[int, int] = {}
-
-    def members(self, t: int) -> list[int]:
-        found = self.lists.get(t)
-        if found is None:
-            found = self.lists[t] = self.owner[self.first[t] : self.first[t] + self.lengths[t]].tolist()
-        return found
 
-    def links(self) -> Iterator[tuple[int, int]]:
-        """Links that connect all components: each joins two that no earlier one did."""
-        for q in range(len(self.sets)):
-            mine = np.searchsorted(self.tokens, self.sets[q])
-            mine = mine[self.tokens[np.minimum(mine, len(self.tokens) - 1)] == self.sets[q]] if len(self.tokens) else mine[:0]
-            yield from self.search(q, mine)
-            for t in mine.tolist():
-                self._note(t, q)
-
-    def _note(self, t: int, q: int) -> None:
-        """Remember whether the list's sets up to q are all of one component."""
-        held = self.uniform.get(t)
-        if held is None:
-            self.uniform[t] = q
-        elif held >= 0:
-            if self.forest.find(held) != self.forest.find(q):
-                self.uniform[t] = -1
-                self.recheck[t] = 2 * bisect_left(self.members(t), q) + 2
-        elif (n := bisect_left(self.members(t), q) + 1) >= self.recheck[t]:
-            roots = {self.forest.find(x) for x in self.members(t)[:n]}
-            self.uniform[t] = q if len(roots) == 1 else -1
-            self.recheck[t] = 2 * n
-
-    def search(self, q: int, mine: np.ndarray) -> Iterator[tuple[int, int]]:
-        find = self.forest.find
-        n = self.sizes[q]
-        least = _needed(n, self.num, self.den)
-        at = bisect_left(self.sizes, least, 0, q)
-        while at < q:
-            root = find(q)
-            useful = [t for t in mine.tolist() if (u := self.uniform.get(t)) is not None and (u < 0 or find(u) != root)]
-            if len(useful) < least:
-                return
-            useful.sort(key=lambda t: self.lengths[t])
-            long = min(least - 1, int(least / (MU * math.log2(max(2, int(self.lengths[useful[-1]]))) + 1)))
-            short, probed = useful[: len(useful) - long], self.tokens[np.array(useful[len(useful) - long :], np.int64)]
-            for x, count in self.merge(short, least - long, at, q):
-                at = x + 1
-                if find(x) == root:
-                    continue
-                if count + self.probe(probed, x) >= -(-self.num * (n + self.sizes[x]) // (self.num + self.den)):
-                    self.forest.union(q, x)
-                    yield self.ids[q], self.ids[x]
-                    break  # lists of the joined component alone drop out
-            else:
-                return
-
-    def merge(self, lists: list[int], threshold: int, lo: int, hi: int) -> Iterator[tuple[int, int]]:
-        """Heap-merge: sets in [lo, hi) on at least threshold of the lists, in order, with how many lists hold them."""
-        found = [self.members(t) for t in lists]
-        heads = [bisect_left(m, lo) for m in found]
-        heap = [(m[h], i) for i, (m, h) in enumerate(zip(found, heads)) if h < len(m) and m[h] < hi]
-        heapq.heapify(heap)
-        while len(heap) >= threshold:
-            x, popped = heap[0][0], []
-            while heap and heap[0][0] == x:
-                popped.append(heapq.heappop(heap)[1])
-            count = len(popped)
-            if count >= threshold:
-                target = x + 1
-            else:  # skip: the next set that can reach the threshold is not before the threshold-th head
-                while heap and len(popped) < threshold - 1:
-                    popped.append(heapq.heappop(heap)[1])
-                if not heap:
-                    return
-                target = heap[0][0]
-            for i in popped:
-                m = found[i]
-                heads[i] = h = bisect_left(m, target, heads[i])
-                if h < len(m) and m[h] < hi:
-                    heapq.heappush(heap, (m[h], i))
-            if count >= threshold:
-                yield x, count
+class Group:
+    """Sets of a unit as differences from a centre: inverted lists of what a set has beyond the centre's tokens, and of
+    those that it lacks. Two sets of near copies have most of their tokens in no list."""
+
+    def __init__(self, members: np.ndarray, centre: np.ndarray, rows: list[np.ndarray], sizes: np.ndarray):
+        self.members, self.centre, self.sizes = members, centre, sizes[members]
+        held = [self.differ(rows[i]) for i in members.tolist()]
+        self.inside = np.array([h[0] for h in held], np.int64)
+        self.rows = [h[1] for h in held]
+        self.widest = int((self.sizes + len(centre) - 2 * self.inside).max())
+        tokens = np.concatenate(self.rows)
+        owner = np.repeat(np.arange(len(members)), [len(r) for r in self.rows])
+        order = np.argsort(tokens, kind="stable")
+        tokens, self.owner = tokens[order], owner[order]
+        self.first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
+        self.tokens, self.lengths = tokens[self.first], np.diff(np.append(self.first, len(tokens)))
+
+    def differ(self, row: np.ndarray) -> tuple[int, np.ndarray]:
+        """How many of the centre's tokens a set has, and its difference, sorted."""
+        if not len(self.centre):
+            return 0, row
+        at = np.searchsorted(self.centre, row)
+        at[at == len(self.centre)] = 0
+        inside = self.centre[at] == row
+        lacks = np.ones(len(self.centre), bool)
+        lacks[at[inside]] = False
+        return int(inside.sum()), np.sort(np.concatenate([row[~inside], self.centre[lacks]]))
+
+    def lists(self, tokens: np.ndarray) -> np.ndarray:
+        """The lists of these tokens, the shortest first."""
+        at = np.searchsorted(self.tokens, tokens)
+        at = at[self.tokens[np.minimum(at, len(self.tokens) - 1)] == tokens] if len(self.tokens) else at[:0]
+        return at[np.argsort(self.lengths[at], kind="stable")]
+
+    def merge(self, lists: np.ndarray) -> np.ndarray:
+        """On how many of the lists each set is."""
+        return np.bincount(self.owner[gathered(self.first[lists], self.lengths[lists])], minlength=len(self.members))
 
     def probe(self, tokens: np.ndarray, x: int) -> int:
         """How many of the long lists hold set x, by binary search."""
-        own = self.sets[x]
+        own = self.rows[x]
+        if not len(own):
+            return 0
         at = np.searchsorted(own, tokens)
         at[at == len(own)] = 0
         return int((own[at] == tokens).sum())
 
 
+class TOccurrence:
+    """DivideSkip over the sets of one unit, which come in increasing size, on their differences from centres.
+
+    With a and b tokens of a centre of c in two sets, these share a + b - c tokens and as many more as their differences
+    share: a T-occurrence problem over the lists of differences. The short ones are merged, the long ones probed.
+    """
+
+    def __init__(self, ids: list[int], sets: list[np.ndarray], num: int, den: int, labels: list[int] | None = None):
+        self.ids, self.num, self.den = ids, num, den
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        self.component = np.arange(len(sets))
+        self.main = None
+        if labels:  # sets of one label are connected already; those of the largest one need not ask
+            _, first, self.component = np.unique(np.array(labels, np.int64), return_index=True, return_inverse=True)
+            self.main = self.component == np.bincount(self.component).argmax()
+        tokens, numbers, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = held > 1  # a list of one set connects nothing
+        numbers = np.where(shared[numbers], (np.cumsum(shared) - 1)[numbers], -1)
+        edges = np.cumsum(self.sizes)[:-1]
+        self.rows = [r[r >= 0] for r in np.split(numbers, edges)]
+        self.width = int(shared.sum())
+        self.groups = [Group(members, centre, self.rows, self.sizes) for members, centre in self.centres()]
+
+    def centres(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Groups of sets that share half of the most central one's tokens or more, with the tokens that most of them have;
+        the sets that are left have an empty centre. Any division gives the same links."""
+        out, left, none = [], np.arange(len(self.rows)), np.zeros(0, np.int64)
+        rest = []
+        for _ in range(LEADERS):
+            if len(left) < GROUP:
+                break
+            tokens = np.concatenate([self.rows[i] for i in left.tolist()])
+            owner = np.repeat(np.arange(len(left)), [len(self.rows[i]) for i in left.tolist()])
+            often = np.bincount(tokens, minlength=self.width)
+            central = np.bincount(owner, often[tokens], len(left)) / self.sizes[left]
+            leader = int(central.argmax())
+            mine = np.zeros(self.width, bool)
+            mine[self.rows[left[leader]]] = True
+            near = 2 * np.bincount(owner[mine[tokens]], minlength=len(left)) > self.sizes[left[leader]]
+            near[leader] = True
+            if (n := int(near.sum())) >= GROUP:
+                out.append((left[near], np.flatnonzero(2 * np.bincount(tokens[near[owner]], minlength=self.width) > n)))
+            else:
+                rest.append(left[near])
+            left = left[~near]
+        left = np.sort(np.concatenate([left, *rest]))
+        return out + ([(left, none)] if len(left) else [])
+
+    def links(self) -> Iterator[tuple[int, int]]:
+        """Links that connect all components: each joins two that no earlier one did."""
+        for q in range(len(self.rows)):
+            if self.main is None or not self.main[q]:
+                for group in self.groups:
+                    yield from self.search(q, group)
+
+    def search(self, q: int, group: Group) -> Iterator[tuple[int, int]]:
+        """Links of q with smaller sets of the group, and with larger ones that do not ask themselves."""
+        n, num, den = int(self.sizes[q]), self.num, self.den
+        lo = int(np.searchsorted(group.sizes, _needed(n, num, den)))
+        hi = int(np.searchsorted(group.members, q) if self.main is None else np.searchsorted(group.sizes, n * den // num, "right"))
+        if lo >= hi:
+            return
+        members = group.members[lo:hi]
+        other = self.component[members] != self.component[q]
+        if self.main is not None:
+            other &= (members < q) | self.main[members]
+        at = np.flatnonzero(other) + lo
+        if not len(at):
+            return
+        inside, row = group.differ(self.rows[q])
+        if (n + len(group.centre) - 2 * inside - group.widest) * (num + den) > (n + int(group.sizes[hi - 1])) * (den - num):
+            return
+        need = -(-num * (n + group.sizes[at]) // (num + den)) - (inside + group.inside[at] - len(group.centre))
+        lists = group.lists(row)
+        least = int(need.min())
+        if len(lists) < least:
+            return
+        long = min(least - 1, int(least / (MU * math.log2(max(2, int(group.lengths[lists[-1]]))) + 1))) if least > 1 else 0
+        short, probed = lists[: len(lists) - long], lists[len(lists) - long :]
+        count = group.merge(short)[at]
+        found = count >= need - long
+        at, need, count = at[found], need[found], count[found]
+        if long and len(at) > PROBES:
+            count = count + group.merge(probed)[at]
+            found, long = count >= need, 0
+            at, need, count = at[found], need[found], count[found]
+        tokens = group.tokens[probed]
+        while len(at):
+            x = int(group.members[at[0]])
+            keep = np.arange(len(at)) > 0
+            if not long or count[0] + group.probe(tokens, int(at[0])) >= need[0]:
+                self.component[self.component == self.component[x]] = self.component[q]
+                yield self.ids[q], self.ids[x]
+                keep = self.component[group.members[at]] != self.component[q]  # sets of the joined component drop out
+            at, need, count = at[keep], need[keep], count[keep]
+
+
 def search_units(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Links (a, b: ids) within each unit; rows: cluster, band, i, j, n, id, text, label if sets are connected already,
     dealt by unit and sorted by size and id in it."""

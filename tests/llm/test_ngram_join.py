@@ -1,4 +1,5 @@
 import re
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -108,3 +109,66 @@ def test_long_chains_are_one_component(spark):
     edges = spark.range(3000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.createDataFrame([(9000, 8000), (8000, 8000)], "a long, b long")).repartition(7)
     got = {r.node: r.label for r in C.components(edges).collect()}
     assert len(got) == 3003 and {got[i] for i in range(3001)} == {0} and got[9000] == 8000
+
+
+def near_copies(seed, bases=1, copies=60, words=120, edits=14, vocabulary=4000):
+    """Copies with up to so many words replaced: some link, many are alike but do not."""
+    rng = np.random.default_rng(seed)
+    texts = []
+    for _ in range(bases):
+        base = rng.integers(0, vocabulary, words)
+        for _ in range(copies):
+            t = base.copy()
+            at = rng.integers(0, words, int(rng.integers(0, edits)))
+            t[at] = rng.integers(0, vocabulary, len(at))
+            texts.append(" ".join(f"w{x}" for x in t[: words - int(rng.integers(0, 3))]))
+    return [(int(i) + 1, t) for i, t in zip(rng.permutation(len(texts)), texts)]
+
+
+def in_order(rows, k):
+    hashed = {i: np.array(sorted({hash(x) & (2**63 - 1) for x in shingles(t, k)}), np.uint64) for i, t in rows}
+    order = sorted(hashed, key=lambda i: (len(hashed[i]), i))
+    return order, [hashed[i] for i in order]
+
+
+def test_differences_from_centres_lose_no_link():
+    for seed in range(10):
+        rows = near_copies(seed, bases=1 + seed % 4, copies=40 + 5 * seed, edits=8 + seed) + [(9000 + i, t) for i, t in corpus(seed, 4, 6, 40) if shingles(t, 4)]
+        order, sets = in_order(rows, 4)
+        want = {i: c for i, (_, c) in brute(rows, 4, 85, 100).items()}
+        assert len(set(want.values())) > 10
+        # without labels, and with some sets that are connected already
+        rng = np.random.default_rng(seed)
+        for labels in (None, [want[i] if rng.random() < 0.5 else i for i in order]):
+            forest = C.Forest()
+            for i, label in zip(order, labels or []):
+                forest.union(i, label)
+            for a, b in J.TOccurrence(order, sets, 85, 100, labels).links():
+                assert forest.union(a, b)
+            assert {i: forest.find(i) for i in order} == want
+
+
+def test_many_near_copies_that_do_not_link_are_searched_fast():
+    order, sets = in_order(near_copies(5, copies=900, words=390, edits=30), 4)
+    began = time.process_time()
+    found = list(J.TOccurrence(order, sets, 85, 100).links())
+    assert time.process_time() - began < 8
+    assert 100 < len(found) < 800
+
+
+def test_large_groups_of_near_copies_meet_chunk_by_chunk(spark, monkeypatch):
+    rows = near_copies(8, copies=120, edits=16) + [(1000 + i, t) for i, t in near_copies(9, copies=20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    searched, search = [], J.search_units
+
+    def noted(units, *args):
+        searched.append(units.agg(F.sum("n")).first()[0] or 0)
+        return search(units, *args)
+
+    monkeypatch.setattr(J, "search_units", noted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.ngram_components(docs, unit=5000).collect()}
+    want = brute(rows, 4, 85, 100)
+    assert got == want
+    total = sum(n for n, _ in want.values())
+    # chunks of half a unit, in up to two size bands, each with the others once
+    assert len(searched) == 2 and searched[1] <= 2 * total * 2 * total / 5000
