@@ -30,8 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstrata.llm._shared import TOP, among, constant_table, drop, scratch, slot_class, slots, written
-from inkstrata.llm.quality import let
+from inkstrata.llm._shared import TOP, among, constant_table, scratch, slot_class, slots, written
 from inkstrata.session import table
 
 WORDS = 5
@@ -45,6 +44,8 @@ ANY = r"[^\x20\x09-\x0D]"
 #: Lines left meet all others of their tokens, in blocks of so many, when that makes at most so many pairs a shared
 #: posting, or after so many rounds.
 BLOCK, FEW, ROUNDS = 128, 32, 4
+#: Places and tokens that a join needs are known by 2**PLACE_BITS bits before: a fixed size, which lets more others pass as tables grow.
+PLACE_BITS = 22
 #: A token's hash; the bits above it hold its class of frequency. The most frequent tokens, of so many lines at least, come last.
 TOKEN_BITS, FREQUENT = 60, 8
 
@@ -67,18 +68,25 @@ def takes_part(words: Column, least: int) -> Column:
     return (F.size(words) >= least) & (words[0] != "")
 
 
-def tokens_of(words: Column) -> Column:
-    """Hashes, of TOKEN_BITS bits, of the distinct shingles of a line; with fewer than WORDS words the whole sequence is one.
+def once(column: Column) -> Column:
+    """A column's value as that of a generator of one row: no filter or project above computes it a second time."""
+    return F.explode(F.array(column))
 
-    A shingle's hash is that of its words' hashes: each word is hashed once; beyond the line's end there is nothing to hash.
-    """
-    mask = F.lit((1 << TOKEN_BITS) - 1)
 
-    def rolled(h: Column) -> Column:
-        every = F.transform(h, lambda x, i: F.xxhash64(x, *(F.get(h, i + j) for j in range(1, WORDS))).bitwiseAND(mask))
-        return F.array_distinct(F.slice(every, 1, F.greatest(F.size(h) - (WORDS - 1), F.lit(1))))
+def with_tokens(lines: DataFrame, *others: str) -> DataFrame:
+    """The columns named and x: hashes, of TOKEN_BITS bits, of the distinct shingles of a line's words; with fewer than WORDS
+    words the whole sequence is one.
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), rolled)
+    A shingle's hash is that of its first four words' and its last word; that of four is that of two pairs. All shingles
+    of a line take three passes of two operands each; beyond the line's end there is nothing to hash.
+    """
+    words = F.col("words")
+    after = lambda x, n: F.slice(x, n + 1, F.greatest(F.size(x) - n, F.lit(0)))
+    mask = F.lit((1 << TOKEN_BITS) - 1)
+    pairs = lines.select(*others, "words", F.zip_with(words, after(words, 1), lambda a, b: F.xxhash64(a, b)).alias("two"))
+    fours = pairs.select(*others, "words", F.zip_with("two", after(F.col("two"), 2), lambda a, b: F.xxhash64(a, b)).alias("four"))
+    every = F.zip_with("four", after(words, 4), lambda a, b: F.xxhash64(a, b).bitwiseAND(mask))
+    return fours.select(*others, F.array_distinct(F.slice(every, 1, F.greatest(F.size("words") - (WORDS - 1), F.lit(1)))).alias("x"))
 
 
 @dataclass(frozen=True)
@@ -119,20 +127,20 @@ class Lines:
     least: int
     places: Places
 
-    def each(self) -> DataFrame:
-        """p, line, words."""
+    def _split(self) -> DataFrame:
         texts = self.docs.filter(F.col(self.id_col).isNotNull()).select(F.col(self.id_col).alias("id"), F.col(self.text_col).alias("text"), plain(F.col(self.text_col)).alias("plain"))
         lines = texts.select("id", "plain", F.posexplode(F.split("text", "\n")).alias("ln", "line"))
-        found = lines.select(self.places.at(F.col("id"), F.col("ln")).alias("p"), "line", line_words(F.col("line"), F.col("plain")).alias("words"))
+        return lines.select(self.places.at(F.col("id"), F.col("ln")).alias("p"), "line", "plain")
+
+    def each(self) -> DataFrame:
+        """p, line, words."""
+        found = self._split().select("p", "line", once(line_words(F.col("line"), F.col("plain"))).alias("words"))
         return found.filter(takes_part(F.col("words"), self.least))
 
     def chosen(self, places: DataFrame) -> DataFrame:
-        """p, words of the places given: the texts that hold one travel once, their other lines stay behind."""
-        wanted = places.select(*self.places.split("p")).distinct().groupBy("id").agg(F.collect_list("ln").alias("lns"))
-        texts = self.docs.filter(F.col(self.id_col).isNotNull()).select(F.col(self.id_col).alias("id"), F.col(self.text_col).alias("text"))
-        held = among(texts, wanted, ["id"]).join(wanted.hint("shuffle_hash"), "id").select("id", "lns", F.split("text", "\n").alias("parts"))
-        each = held.select("id", F.explode(F.transform("lns", lambda i: F.struct(i.alias("ln"), F.get("parts", i).alias("line")))).alias("x"))
-        found = each.select(self.places.at(F.col("id"), F.col("x.ln")).alias("p"), line_words(F.col("x.line")).alias("words"))
+        """p, words of the places given, which are distinct: these lines travel, dealt by p, and few others."""
+        held = among(self._split(), places, ["p"], PLACE_BITS).join(places.hint("shuffle_hash"), "p")
+        found = held.select("p", once(line_words(F.col("line"), F.col("plain"))).alias("words"))
         return found.filter(takes_part(F.col("words"), self.least))
 
 
@@ -144,10 +152,10 @@ def postings_of(posts: DataFrame) -> DataFrame:
     return posts.select("p", "n", F.posexplode("prefix").alias("i", "t"))
 
 
-def prefix_of(tokens: Column) -> Column:
+def prefix_of(tokens: str) -> Column:
     """n, the size of a set, and its prefix in the order of its tokens."""
-    length = lambda n: n - F.ceil(n * NUM / DEN).cast("int") + 1
-    return let(F.sort_array(tokens), lambda s: F.struct(F.size(s).alias("n"), F.slice(s, 1, length(F.size(s))).alias("prefix")))
+    n = F.size(tokens)
+    return F.struct(n.alias("n"), F.slice(F.sort_array(tokens), 1, n - F.ceil(n * NUM / DEN).cast("int") + 1).alias("prefix"))
 
 
 def posted(lines: Lines) -> tuple[DataFrame, DataFrame]:
@@ -156,7 +164,8 @@ def posted(lines: Lines) -> tuple[DataFrame, DataFrame]:
     The first order is by hash. The tokens of most lines in it, counted over all postings, become the last of the
     order that holds, by class of frequency, and the lines that have one in their prefix are posted again.
     """
-    seen = lines.each().select(F.xxhash64("line").alias("k"), F.xxhash64(F.lit(1), "line").alias("k2"), "p", prefix_of(tokens_of(F.col("words"))).alias("x"))
+    keyed = lines.each().select(F.xxhash64("line").alias("k"), F.xxhash64(F.lit(1), "line").alias("k2"), "p", "words")
+    seen = with_tokens(keyed, "k", "k2", "p").select("k", "k2", "p", prefix_of("x").alias("x"))
     first = written(seen.groupBy("k", "k2").agg(F.min("p").alias("p"), F.first("x").alias("x")).select("p", "x.n", "x.prefix"), "posts")
     common = written(postings_of(first).groupBy("t").agg(F.count("*").alias("c")).filter("c > 1"), "common")
     classes = slots(common.filter(F.col("c") >= FREQUENT).orderBy(F.desc("c"), "t").limit(TOP).collect(), TOKEN_BITS, FREQUENT)
@@ -164,11 +173,11 @@ def posted(lines: Lines) -> tuple[DataFrame, DataFrame]:
         return first, common.select("t")
     known = constant_table(classes)
     moved = written(postings_of(first).filter(_class(F.col("t"), known) > 0).select("p").distinct(), "moved")
-    tokens = F.transform(tokens_of(F.col("words")), lambda t: F.shiftleft(_class(t, known), TOKEN_BITS).bitwiseOR(t))
-    found = lines.chosen(moved).select("p", prefix_of(tokens).alias("x"))
+    classed = with_tokens(lines.chosen(moved), "p").select("p", F.transform("x", lambda t: F.shiftleft(_class(t, known), TOKEN_BITS).bitwiseOR(t)).alias("x"))
+    found = classed.select("p", prefix_of("x").alias("x"))
     late = written(found.groupBy("p").agg(F.max("x").alias("x")).select("p", "x.n", "x.prefix"), "late")
     same = first.filter(~F.exists("prefix", lambda t: _class(t, known) > 0))
-    return same.unionByName(late), common.select("t").unionByName(late.select(F.explode("prefix").alias("t"))).distinct()
+    return same.unionByName(late), written(common.select("t").unionByName(late.select(F.explode("prefix").alias("t"))).distinct(), "common")
 
 
 def _may_match(n: Column, i: Column, m: Column, j: Column) -> Column:
@@ -180,7 +189,7 @@ def _may_match(n: Column, i: Column, m: Column, j: Column) -> Column:
 def shared_postings(posts: DataFrame, common: DataFrame) -> DataFrame:
     """t, p, n, i, and c, the lines of t, of postings under tokens that two lines or more have, written. Tokens were
     counted before anything else travels: a token of very many lines is a skewed join's stream, never one task's group."""
-    held = written(postings_of(posts).join(common.hint("shuffle_hash"), "t").select("t", "p", "n", "i"), "postings")
+    held = written(among(postings_of(posts), common, ["t"], PLACE_BITS).join(common.hint("shuffle_hash"), "t").select("t", "p", "n", "i"), "postings")
     counts = held.groupBy("t").agg(F.count("*").alias("c")).filter("c > 1")
     return written(held.join(counts.hint("shuffle_hash"), "t"), "postings")
 
@@ -207,15 +216,16 @@ def _near(n: Column, m: Column, mine: list[Column], other: list[Column]) -> Colu
 
 
 def _matched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """p of the pairs (p, a) that reach the similarity, written."""
-    both = pairs.join(sets, "p").join(sets.select(F.col("p").alias("a"), F.col("x").alias("y")), "a")
+    """p of the pairs (p, a), a table, that reach the similarity, written. Few other sets travel."""
+    mine = among(sets, pairs.select("p"), ["p"], PLACE_BITS)
+    other = among(sets, pairs.select(F.col("a").alias("p")), ["p"], PLACE_BITS).select(F.col("p").alias("a"), F.col("x").alias("y"))
+    both = pairs.join(mine, "p").join(other, "a")
     shared = both.select("p", (F.size("x") + F.size("y")).alias("n"), F.size(F.array_intersect("x", "y")).alias("both"))
     return written(shared.filter(F.col("both") * DEN >= (F.col("n") - F.col("both")) * NUM).select("p").distinct(), "gone")
 
 
-def later_matches(lines: Lines, posts: DataFrame, common: DataFrame) -> DataFrame:
-    """p of each distinct line that an earlier distinct line matches, written."""
-    postings = shared_postings(posts, common)
+def later_matches(lines: Lines, postings: DataFrame) -> DataFrame:
+    """p of each distinct line that an earlier distinct line matches, written; postings: the shared ones."""
     fits = (F.col("a") < F.col("p")) & _may_match(F.col("n"), F.col("i"), F.col("m"), F.col("j"))
 
     def tried(left: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -225,7 +235,7 @@ def later_matches(lines: Lines, posts: DataFrame, common: DataFrame) -> DataFram
     hubs = written(_hubs(postings), "hubs")
     pairs = written(tried(postings, hubs), "pairs")
     places = pairs.select("p").unionByName(pairs.select(F.col("a").alias("p"))).unionByName(postings.filter("c > 2").select("p"))
-    found = lines.chosen(written(places.distinct(), "places")).select("p", tokens_of(F.col("words")).alias("x"))
+    found = with_tokens(lines.chosen(written(places.distinct(), "places")), "p")
     sets = written(found.groupBy("p").agg(F.max("x").alias("x")), "sets")
     gone, left, n_postings = _matched(pairs, sets), postings.filter("c > 2"), postings.count()
     for done in range(ROUNDS):
@@ -235,12 +245,11 @@ def later_matches(lines: Lines, posts: DataFrame, common: DataFrame) -> DataFram
             break
         # many lines under few tokens: the earliest that are left, and were not tried, meet the others too
         hubs = written(_hubs(left.join(hubs.select("t", F.col("a").alias("last")), "t").filter("p > last")), "hubs")
-        gone = written(gone.unionByName(_matched(tried(left, hubs), sets)), "gone")
+        gone = written(gone.unionByName(_matched(written(tried(left, hubs), "pairs"), sets)), "gone")
     hits = written(partners(left, postings, sets), "hits")
     # nearly all that sketches leave open match: a line's earliest partner first, the others of those that it does not match
-    early = hits.groupBy("p").agg(F.min(F.array_min("partners")).alias("a"))
-    now = _matched(early, sets)
-    others = hits.join(now, "p", "left_anti").select("p", F.explode("partners").alias("a")).distinct()
+    now = _matched(written(hits.groupBy("p").agg(F.min(F.array_min("partners")).alias("a")), "pairs"), sets)
+    others = written(hits.join(now, "p", "left_anti").select("p", F.explode("partners").alias("a")).distinct(), "pairs")
     return written(gone.unionByName(now).unionByName(_matched(others, sets)).distinct(), "gone")
 
 
@@ -274,9 +283,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = Lines(docs, id_col, text_col, 1 if short else WORDS, Places.over(docs, id_col, text_col))
     pattern = ANY if short else LONG
     with scratch() as held:
-        posts, common = posted(lines)
-        gone = later_matches(lines, posts, common)
-        first = posts.select("p").join(gone, "p", "left_anti").select(*lines.places.split("p"))
+        with scratch() as early:
+            posts, common = posted(lines)
+            postings, places = shared_postings(posts, common), written(posts.select("p"), "lines")
+            early.keep(postings, places)  # the prefixes, and postings that nothing shares, go now
+        gone = later_matches(lines, postings)
+        first = places.join(gone, "p", "left_anti").select(*lines.places.split("p"))
         kept = written(first.groupBy("id").agg(F.collect_list("ln").alias("kept")), "kept")
         held.keep(kept)
     others = [c for c in docs.columns if c not in ("__n_lines", "__removed")]

@@ -1,3 +1,4 @@
+import os
 import re
 
 import numpy as np
@@ -129,3 +130,28 @@ def test_short_lines_collapse_where_asked_for(spark):
     rows = [(1, f"Les.\n{line}\na b c d\n\n"), (2, f"Les.\n{line}\na  b c d\n\nb a"), (3, "les.\nb a\nb a")]
     got = {r.doc_id: list(r["__removed"]) for r in D.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), short=True).collect()}
     assert got == {1: [], 2: [0, 1, 2], 3: [1, 2]}
+
+
+def test_tokens_are_equal_where_shingles_are(spark):
+    rng = np.random.default_rng(9)
+    lines = [" ".join(rng.choice(["a", "b", "ab", "é"], int(rng.integers(1, 12)))) for _ in range(300)]
+    docs = spark.createDataFrame([(0, "\n".join(lines))], "doc_id long, text string")
+    each = D.Lines(docs, "doc_id", "text", 1, D.Places("bigint", 0, 1 << 20)).each()
+    got = {r.line: r.x for r in D.with_tokens(each, "line").collect()}
+    shingles = {x: grams(x) or {tuple(x.split(" "))} for x in lines}
+    assert all(len(got[x]) == len(shingles[x]) for x in lines)
+    assert len({t for x in lines for t in got[x]}) == len({g for x in lines for g in shingles[x]})
+
+
+def test_few_tables_stand_beside_the_sets(spark, monkeypatch):
+    """Prefixes, and postings that nothing shares, are deleted before the largest tables are made."""
+    write, folder = D.written, S.shared_dir(spark).removeprefix("file://")
+    before, beside = set(os.listdir(folder)) if os.path.isdir(folder) else set(), {}
+
+    def listed(df, name):
+        beside[name] = sorted(x.split("-")[1] for x in set(os.listdir(folder)) - before) if os.path.isdir(folder) else []
+        return write(df, name)
+
+    monkeypatch.setattr(D, "written", listed)
+    D.dedup_lines(spark.createDataFrame(corpus(1), "doc_id long, text string")).count()
+    assert beside["sets"] == ["hubs", "lines", "pairs", "places", "postings"]
