@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import ipaddress
+from functools import reduce
+from operator import or_
 from urllib.robotparser import RobotFileParser
 
 import pandas as pd
@@ -46,41 +48,55 @@ def too_large(body: Column, limit: Column) -> Column:
     return (limit == 0) | (F.octet_length(body) > limit)
 
 
+def once(value: Column, f) -> Column:
+    """f(value), value being worked out once however often f reads it: a bound variable is not written out again."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+QUAD = rf"(?:{OCTET}\.){{3}}{OCTET}"
+GROUPS = "(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4})*)?"
+
+
 def ip_number(ip: Column) -> Column:
     """An IPv4 address as a number, null for anything else."""
-    parts = F.transform(F.split(ip, r"\."), lambda p: p.try_cast("bigint"))
-    sized = F.when((F.size(parts) == 4) & F.forall(parts, lambda p: F.coalesce(p.between(0, 255), F.lit(False))), parts)
-    return F.aggregate(sized, F.lit(0).cast("bigint"), lambda a, p: a * 256 + p)
+    number = once(F.split(ip, r"\."), lambda p: sum((F.get(p, i).cast("bigint") * 256 ** (3 - i) for i in range(1, 4)), F.get(p, 0).cast("bigint") * 256**3))
+    return F.when(ip.rlike(rf"\A{QUAD}\z"), number)
+
+
+def ip6_digits(ip: Column) -> Column:
+    """An IPv6 address as its 32 hexadecimal digits, null for anything else; a zone is no part of it."""
+
+    def hexed(low: Column) -> Column:
+        """The address without its zone, and a quad at its end as two groups."""
+        part = lambda i: F.lpad(F.hex(F.split_part(F.regexp_extract(low, r"([0-9.]+)\z", 1), F.lit("."), F.lit(i)).cast("bigint")), 2, "0")
+        quad = F.concat(F.regexp_replace(low, r"[0-9.]+\z", ""), part(1), part(2), F.lit(":"), part(3), part(4))
+        return F.when(low.rlike(rf":{QUAD}\z"), F.lower(quad)).otherwise(low)
 
+    def filled(plain: Column) -> Column:
+        """Four digits a group, and zeros for what :: leaves out."""
+        four = F.regexp_replace(F.regexp_replace(plain, "([0-9a-f]+)", "000$1"), "0+([0-9a-f]{4})(?![0-9a-f])", "$1")
+        sides = F.transform(F.split(four, "::"), lambda x: F.replace(x, F.lit(":"), F.lit("")))
+        gap = lambda s: F.concat(s[0], F.repeat(F.lit("0"), 32 - F.length(s[0]) - F.length(s[1])), s[1])
+        whole = once(sides, lambda s: F.when(F.size(s) == 1, F.when(F.length(s[0]) == 32, s[0])).when(F.length(s[0]) + F.length(s[1]) <= 28, gap(s)))
+        return F.when(plain.rlike(rf"\A{GROUPS}(?:::{GROUPS})?\z"), whole)
 
-def ip6_groups(ip: Column) -> Column:
-    """An IPv6 address as its eight 16-bit groups, null for anything else; a zone is no part of it."""
-    low = F.lower(F.split_part(ip, F.lit("%"), F.lit(1)))
-    quad = ip_number(F.regexp_extract(low, r"(\d+\.\d+\.\d+\.\d+)$", 1))
-    plain = F.when(quad.isNull(), low).otherwise(F.concat(F.regexp_replace(low, r"\d+\.\d+\.\d+\.\d+$", ""), F.hex(F.shiftright(quad, 16)), F.lit(":"), F.hex(quad.bitwiseAND(F.lit(65535)))))
-    sides = F.split(plain, "::")
-    groups = F.transform(sides, lambda x: F.filter(F.split(x, ":"), lambda g: g != ""))
-    n = F.size(F.flatten(groups))
-    full = F.when(F.size(sides) == 1, F.when(n == 8, groups[0])).when(F.size(sides) == 2, F.when(n < 8, F.concat(groups[0], F.array_repeat(F.lit("0"), 8 - n), F.get(groups, 1))))
-    shaped = F.lower(plain).rlike("^(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4})*)?(?:::(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4})*)?)?$") & plain.contains(":")
-    return F.when(shaped, F.transform(full, lambda g: F.conv(g, 16, 10).cast("int")))
+    # what has no colon, or characters that no address has, is told at once
+    likely = ip.rlike(r"\A[0-9A-Fa-f.]*:[0-9A-Fa-f.:]*(?:%[^%/]+)?\z")
+    return F.when(likely, once(F.lower(F.split_part(ip, F.lit("%"), F.lit(1))), lambda low: once(hexed(low), filled)))
 
 
 def blocked_ip(ip: Column, networks=BLOCKED_NETWORKS) -> Column:
     """Whether an address, of either version, is in one of the networks: a predicate on constants, no join. What is no
-    address is not."""
+    address is not. Each form of the address is made once, whatever the number of networks."""
     nets = [ipaddress.ip_network(n, strict=False) for n in networks]
-    number, groups = ip_number(ip), ip6_groups(ip)
-    four = [number.between(int(n.network_address), int(n.broadcast_address)) for n in nets if n.version == 4]
 
-    def six(net) -> Column:
-        out = groups.isNotNull()
-        lo, hi = (int(a).to_bytes(16, "big") for a in (net.network_address, net.broadcast_address))
-        for i in range(-(-net.prefixlen // 16)):  # the groups that the prefix reaches
-            out &= F.get(groups, i).between(int.from_bytes(lo[2 * i : 2 * i + 2]), int.from_bytes(hi[2 * i : 2 * i + 2]))
-        return out
+    def among(version: int, value: Column, constant) -> Column:
+        return reduce(or_, (value.between(constant(n.network_address), constant(n.broadcast_address)) for n in nets if n.version == version), F.lit(False))
 
-    return F.coalesce(*(F.when(hit, F.lit(True)) for hit in [*four, *(six(n) for n in nets if n.version == 6)]), F.lit(False))
+    four = once(ip_number(ip), lambda n: among(4, n, int))
+    six = once(ip6_digits(ip), lambda h: among(6, h, lambda a: f"{int(a):032x}"))
+    return F.coalesce(F.when(ip.contains(":"), six).otherwise(four), F.lit(False))
 
 
 @F.pandas_udf(BooleanType())

@@ -40,6 +40,22 @@ def test_networks_limits_and_robots(spark):
     assert [r.miss for r in fetch_policy.cache_misses(t, "d", "at", "ttl").orderBy("at").collect()] == [True, False, True, False]
 
 
+def forms(spark, networks) -> int:
+    """How often the plan of a predicate on so many networks takes an address apart."""
+    df = fetch_policy.block_ips(spark.createDataFrame([("::1",)], "ip string"), "ip", networks)
+    return df._jdf.queryExecution().optimizedPlan().toString().count("split(")
+
+
+def test_ip6_forms_are_made_once(spark):
+    assert forms(spark, ["fe80::/10"]) == forms(spark, [f"{i:x}::1/128" for i in range(1, 40)])
+    odd = ["fe80::1%", "fe80::1%a%b", "fe80::1%a/b", "::1\n", "1:2:3:4:5:6:7f1.2.3.4", "fe80::01.2.3.4", "ff02:0:0:0:0:0:0::", "ff02:0:0:0:0:0:0:0::", "::FFFF", "fc00:1:2:3:4:5:1.2.3.4", "::0001", "::1:"]
+    df = spark.createDataFrame([(i,) for i in odd], "ip string")
+    assert [r.blocked for r in fetch_policy.block_ips(df, "ip").collect()] == [bool(r[0]) for r in df.select(fetch_policy.blocked_address("ip")).collect()]
+    few = spark.createDataFrame([("2001:db8::5",), ("2001:db9::",)], "ip string")
+    assert [r.blocked for r in fetch_policy.block_ips(few, "ip", ["2001:db8::/29", "2001:db8::4/126"]).collect()] == [True, True]
+    assert [r.blocked for r in fetch_policy.block_ips(few, "ip", ["2001:db8::4/126", "10.0.0.0/8"]).collect()] == [True, False]
+
+
 def profiles(spark):
     rows = [("https://a.test/1", "s1", "Jon  Doe"), ("https://a.test/2", "s2", "jon doe"), ("https://a.test/3", "s3", "Jon Doee"), ("https://a.test/4", "s4", "Somebody Else"), ("https://b.test/1", "s5", "me@x.test"), ("https://c.test/1", "s6", "ME@x.test"), ("https://d.test/1", "s7", "  ")]
     return resolution.author_profiles(spark.createDataFrame(rows, "canonical_url string, source_id string, author_hint string"))
