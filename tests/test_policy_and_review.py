@@ -56,6 +56,15 @@ def test_ip6_forms_are_made_once(spark):
     assert [r.blocked for r in fetch_policy.block_ips(few, "ip", ["2001:db8::4/126", "10.0.0.0/8"]).collect()] == [True, False]
 
 
+def test_ip4_forms_are_made_once(spark):
+    assert forms(spark, ["10.0.0.0/8"]) == forms(spark, [f"10.0.{i}.0/24" for i in range(40)]) <= 8
+    odd = ["010.0.0.1", "10.0.0.1\n", " 10.0.0.1", "+10.0.0.1", "10.0.0", "10.0.0.1.", "10.0.0.256", "10.0.0.1%a", "10..0.1", "00.0.0.1", "0.0.0.0", "239.255.255.255", "240.0.0.0", "255.255.255.255", "1.2.3.4444444444444444444444"]
+    df = spark.createDataFrame([(i,) for i in odd], "ip string")
+    native = [r.blocked for r in fetch_policy.block_ips(df, "ip").collect()]
+    assert native == [bool(r[0]) for r in df.select(fetch_policy.blocked_address("ip")).collect()] and sum(native) == 3
+    assert [r.blocked for r in fetch_policy.block_ips(df, "ip", ["::/0"]).collect()] == [False] * len(odd)
+
+
 def profiles(spark):
     rows = [("https://a.test/1", "s1", "Jon  Doe"), ("https://a.test/2", "s2", "jon doe"), ("https://a.test/3", "s3", "Jon Doee"), ("https://a.test/4", "s4", "Somebody Else"), ("https://b.test/1", "s5", "me@x.test"), ("https://c.test/1", "s6", "ME@x.test"), ("https://d.test/1", "s7", "  ")]
     return resolution.author_profiles(spark.createDataFrame(rows, "canonical_url string, source_id string, author_hint string"))
