@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 SPACE = r"(?U)[\s\x1c-\x1f]+"
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 ELLIPSIS = "…"
+#: White space as the SQL of the queries has it: what is a run within a text, and what goes at its ends (space separators).
+PLAIN_SPACE = r"[\t\n\f\r ]+"
+SEPARATORS = " \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 
 
 def collapse(text: Column) -> Column:
@@ -16,6 +19,12 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACE, " "))
 
 
+def collapse_plain(text: Column) -> Column:
+    """Runs of ASCII white space as one blank, no space separators at the ends: trim(regexp_replace(text, '\\s+', ' ', 'g'))
+    of the queries' SQL."""
+    return F.btrim(F.regexp_replace(text, PLAIN_SPACE, " "), F.lit(SEPARATORS))
+
+
 def normalize_name(name: Column) -> Column:
     return collapse(F.lower(name))
 
