@@ -29,9 +29,9 @@ def normalize_name(name: Column) -> Column:
     return collapse(F.lower(name))
 
 
-def paragraphs(text: Column) -> Column:
-    """Each line collapsed, blank lines dropped, lines apart by an empty one."""
-    return F.array_join(F.filter(F.transform(F.split(text, LINE_BREAK), collapse), lambda x: x != ""), "\n\n")
+def paragraphs(text: Column, line_break: str = LINE_BREAK, squeeze=collapse) -> Column:
+    """Each line collapsed (by squeeze), blank lines dropped, lines apart by an empty one."""
+    return F.array_join(F.filter(F.transform(F.split(text, line_break), squeeze), lambda x: x != ""), "\n\n")
 
 
 def truncate(text: Column, limit: int) -> Column:
@@ -41,8 +41,13 @@ def truncate(text: Column, limit: int) -> Column:
     return F.when(F.length(text) <= limit, text).otherwise(F.concat(F.rtrim(F.when(head.contains(" "), cut).otherwise(head)), F.lit(ELLIPSIS)))
 
 
+def exceeds(text: Column, limit: int) -> Column:
+    """Whether clamp changes a text, which a text of limit + 1 characters does not show in its length."""
+    return F.length(text) > limit
+
+
 def clamp(text: Column, limit: int) -> Column:
-    return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit(ELLIPSIS))).otherwise(text)
+    return F.when(exceeds(text, limit), F.concat(F.substring(text, 1, limit), F.lit(ELLIPSIS))).otherwise(text)
 
 
 def split_authors(names: Column) -> Column:
