@@ -1,7 +1,11 @@
 import json
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from inkstrata.schemas import SCHEMAS
 from inkstrata.sources import documents, feeds, pages
@@ -57,6 +61,36 @@ def test_pages_edge_cases():
     assert len(long) <= 121 and long.endswith("alpha\u2026") and pages.parse("u", "<p>" + "x" * 130 + "</p>", limit=120)["text"] == "x" * 120 + "\u2026"
 
 
+def parsing_peak(pages_of_a_batch: int) -> int:
+    """The most bytes that parsing one batch takes, and a check that all of its pages come out, in pieces."""
+    schema = to_arrow_schema(StructType.fromDDL(f"__key long, {SCHEMAS['parsed']}"))
+    n = pages_of_a_batch
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(["https://s.test/a"] * n), pa.array([FULL + "<p>" + "x " * 800] * n), pa.nulls(n, pa.string())], names=["__key", "__url", "__body", "__type"])
+    held = pa.total_allocated_bytes()
+    tracemalloc.start()
+    peak = rows = 0
+    for b in pages.parse_batches(schema)(iter([batch])):
+        assert b.num_rows <= pages.PIECE_ROWS and b.schema == schema
+        peak, rows = max(peak, pa.total_allocated_bytes() - held), rows + b.num_rows
+    own = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == n
+    return peak + own
+
+
+def test_parsing_takes_no_more_memory_for_more_pages():
+    assert parsing_peak(4000) < 1.3 * parsing_peak(1000)
+
+
+def test_parsed_records_of_pages_and_nulls(spark):
+    rows = [(i, f"https://s.test/{i}", FULL if i % 3 else None) for i in range(700)] + [(None, None, "<title>x</title>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r.page_id: r.asDict() for r in pages.parse_pages(df).collect()}
+    assert len(got) == 701
+    for k, u, h in rows:
+        assert got[k] == {"page_id": k, **pages.parse(u, h)}
+
+
 def test_pages_with_content_type(spark):
     df = spark.createDataFrame([(1, "u", "<p>é</p>".encode("cp1252"), "text/html; charset=cp1252"), (2, "u", "<p>é</p>".encode(), None)], "page_id long, url string, html binary, kind string")
     assert [r.text for r in pages.parse_pages(df, content_type="kind").orderBy("page_id").collect()] == ["é", "é"]
